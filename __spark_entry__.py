@@ -41,47 +41,71 @@ DEFAULT_SF = "/root/testdata/sf0.001"
 
 # --------------------------------------------------------------------- loading
 
+class _Views(dict):
+    """The three logical tables of ``sf_dir``, each built on first use."""
+
+    def __init__(self, spark, sf_dir, sales_columns=None):
+        super().__init__()
+        self._t = load_tpch(spark, sf_dir)
+        self._sales_columns = sales_columns
+
+    def __missing__(self, name):
+        build = {EMPLOYEE_CALLS: lambda: employee_calls(self._t),
+                 EMPLOYEE_DETAILS: lambda: employee_details(self._t),
+                 SALES_DETAILS: lambda: sales_details(self._t, self._sales_columns)}
+        if name not in build:
+            raise KeyError(name)
+        self[name] = df = build[name]()
+        return df
+
+    def __contains__(self, name):
+        return name in (EMPLOYEE_CALLS, EMPLOYEE_DETAILS, SALES_DETAILS)
+
+
 def _tables(spark: SparkSession, sf_dir: str, sales_columns: list[str] | None = None):
-    t = load_tpch(spark, sf_dir)
-    return {EMPLOYEE_CALLS: employee_calls(t), EMPLOYEE_DETAILS: employee_details(t),
-            SALES_DETAILS: sales_details(t, sales_columns)}
+    return _Views(spark, sf_dir, sales_columns)
+
+
+def _cd(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return t[EMPLOYEE_CALLS], t[EMPLOYEE_DETAILS]
 
 
-def _three(spark, sf_dir, sales_columns=None):
+def _with_sales(spark, sf_dir, first: str, sales_columns=None):
     t = _tables(spark, sf_dir, sales_columns)
-    return t[EMPLOYEE_CALLS], t[EMPLOYEE_DETAILS], t[SALES_DETAILS]
+    return t[first], t[SALES_DETAILS]
 
 
 # --------------------------------------------------------------------- reports
 
 def q_top_n_by_sales(spark, sf_dir):
-    c, d, _ = _three(spark, sf_dir, [])
+    c, d = _cd(spark, sf_dir)
     return R.top_sales(c, d, None, area=TOP_AREA, n=100)
 
 
 def q_address_split(spark, sf_dir):
-    c, d, _ = _three(spark, sf_dir, [])
+    c, d = _cd(spark, sf_dir)
     return R.address_info(c, d, None, area=SPLIT_AREA)
 
 
 def q_area_breakdown(spark, sf_dir):
-    c, d, _ = _three(spark, sf_dir, [])
+    c, d = _cd(spark, sf_dir)
     out = R.department_breakdown(c, d, None, display=False)
     return out.withColumn("total_sales", F.col("total_sales").cast("double"))
 
 
 def q_area_breakdown_formatted(spark, sf_dir):
-    c, d, _ = _three(spark, sf_dir, [])
+    c, d = _cd(spark, sf_dir)
     return R.department_breakdown(c, d, None)
 
 
 def q_top3_performers(spark, sf_dir):
-    c, d, _ = _three(spark, sf_dir, [])
+    c, d = _cd(spark, sf_dir)
     return R.top_performers(c, d, None)
 
 
 def q_top3_performers_numeric(spark, sf_dir):
-    c, d, _ = _three(spark, sf_dir, [])
+    c, d = _cd(spark, sf_dir)
     return R.top_performers(c, d, None, display=False)
 
 
@@ -90,27 +114,27 @@ _R6_COLS = ["caller_id", "country", "quantity"]
 
 
 def q_top3_products(spark, sf_dir):
-    c, _, s = _three(spark, sf_dir, _R5_COLS)
+    c, s = _with_sales(spark, sf_dir, EMPLOYEE_CALLS, _R5_COLS)
     return R.top_products(c, None, s, country=COUNTRY)
 
 
 def q_top3_products_numeric(spark, sf_dir):
-    c, _, s = _three(spark, sf_dir, _R5_COLS)
+    c, s = _with_sales(spark, sf_dir, EMPLOYEE_CALLS, _R5_COLS)
     return R.top_products(c, None, s, country=COUNTRY, display=False)
 
 
 def q_best_per_country(spark, sf_dir):
-    _, d, s = _three(spark, sf_dir, _R6_COLS)
+    d, s = _with_sales(spark, sf_dir, EMPLOYEE_DETAILS, _R6_COLS)
     return R.best_salesperson(None, d, s)
 
 
 def q_best_per_country_numeric(spark, sf_dir):
-    _, d, s = _three(spark, sf_dir, _R6_COLS)
+    d, s = _with_sales(spark, sf_dir, EMPLOYEE_DETAILS, _R6_COLS)
     return R.best_salesperson(None, d, s, display=False)
 
 
 def q_sales_formatted(spark, sf_dir):
-    _, d, _ = _three(spark, sf_dir, [])
+    d = _tables(spark, sf_dir)[EMPLOYEE_DETAILS]
     return (d.filter(F.col("sales_amount").isNotNull())
             .select("id", money_text("sales_amount").alias("sales_display")))
 
@@ -130,18 +154,18 @@ def q_dq_basic_sales(spark, sf_dir):
 
 
 def q_dq_non_negative(spark, sf_dir):
-    return q.evaluate(_tables(spark, sf_dir, []),
+    return q.evaluate(_tables(spark, sf_dir),
                       q.non_negative(EMPLOYEE_DETAILS, ["sales_amount"]))
 
 
 def q_dq_calls(spark, sf_dir):
     checks = q.calls_successful_le_made(EMPLOYEE_CALLS) + q.rule(
         EMPLOYEE_CALLS, "zero_calls", F.col("calls_made") == 0, ["calls_made"], "calls_made")
-    return q.evaluate(_tables(spark, sf_dir, []), checks)
+    return q.evaluate(_tables(spark, sf_dir), checks)
 
 
 def q_dq_address(spark, sf_dir):
-    return q.evaluate(_tables(spark, sf_dir, []), q.pattern(EMPLOYEE_DETAILS, "address"))
+    return q.evaluate(_tables(spark, sf_dir), q.pattern(EMPLOYEE_DETAILS, "address"))
 
 
 def q_dq_orphans(spark, sf_dir):
@@ -165,24 +189,25 @@ def q_dq_orphan_rows(spark, sf_dir):
 
 
 def q_dq_negative_rows(spark, sf_dir):
-    return _rows(spark, sf_dir, q.non_negative(EMPLOYEE_DETAILS, ["sales_amount"])[0], [])
+    return _rows(spark, sf_dir, q.non_negative(EMPLOYEE_DETAILS, ["sales_amount"])[0])
 
 
 def q_dq_address_rows(spark, sf_dir):
-    return _rows(spark, sf_dir, q.pattern(EMPLOYEE_DETAILS, "address")[0], [])
+    return _rows(spark, sf_dir, q.pattern(EMPLOYEE_DETAILS, "address")[0])
 
 
 # ------------------------------------------------------------- sources, runner
 
 def q_csv_round_trip(spark, sf_dir):
-    _, d, _ = _three(spark, sf_dir, [])
+    d = _tables(spark, sf_dir)[EMPLOYEE_DETAILS]
     path = shared_dir(spark, "csv-round-trip")
     write_csv(d, path)
     return read_csv(spark, path, DETAILS_SCHEMA)
 
 
 def q_report_status(spark, sf_dir):
-    c, d, s = _three(spark, sf_dir)
+    t = _tables(spark, sf_dir)
+    c, d, s = t[EMPLOYEE_CALLS], t[EMPLOYEE_DETAILS], t[SALES_DETAILS]
     runs = {
         "it_data": lambda a, b, x: R.top_sales(a, b, x, area=TOP_AREA),
         "marketing_address_info": lambda a, b, x: R.address_info(a, b, x, area=SPLIT_AREA),

@@ -21,9 +21,11 @@ unused join, and at scale every join of the line-level table is a shuffle.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veritab.sources.schemas import (
     EMPLOYEE_CALLS,
@@ -41,11 +43,63 @@ NULL_SALES_EVERY = 50
 ORPHAN_ORDER_EVERY = 1000
 
 
-def load_tpch(spark: SparkSession, sf_dir: str, names=TPCH_TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")) for n in names}
+# Column types of the TPC-H-like input tables. Declaring them
+# skips footer reads for schema inference at read time.
+_L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), \
+    T.TimestampType()
 
 
-def employee_calls(t: dict[str, DataFrame]) -> DataFrame:
+def _schema(*cols) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in cols])
+
+
+TPCH_SCHEMAS = {
+    "customer": _schema(("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I),
+                        ("c_acctbal", _D), ("c_mktsegment", _S)),
+    "orders": _schema(("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S),
+                      ("o_totalprice", _D), ("o_orderdate", _TS), ("o_orderpriority", _S)),
+    "lineitem": _schema(("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L),
+                        ("l_linenumber", _I), ("l_quantity", _D), ("l_extendedprice", _D),
+                        ("l_discount", _D), ("l_tax", _D), ("l_returnflag", _S),
+                        ("l_linestatus", _S), ("l_shipdate", _TS)),
+    "part": _schema(("p_partkey", _L), ("p_name", _S), ("p_brand", _S), ("p_type", _S),
+                    ("p_size", _I), ("p_retailprice", _D)),
+    "supplier": _schema(("s_suppkey", _L), ("s_name", _S), ("s_nationkey", _I),
+                        ("s_acctbal", _D)),
+    "nation": _schema(("n_nationkey", _I), ("n_name", _S), ("n_regionkey", _I)),
+}
+
+
+class TpchTables(Mapping):
+    """The input tables of one folder, each read (lazily, with its declared
+    schema) the first time a view asks for it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names=TPCH_TABLES):
+        self._spark, self._dir, self._names = spark, sf_dir, tuple(names)
+        self._frames: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._frames:
+            reader = self._spark.read
+            if name in TPCH_SCHEMAS:
+                reader = reader.schema(TPCH_SCHEMAS[name])
+            self._frames[name] = reader.parquet(os.path.join(self._dir, f"{name}.parquet"))
+        return self._frames[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def load_tpch(spark: SparkSession, sf_dir: str, names=TPCH_TABLES) -> TpchTables:
+    return TpchTables(spark, sf_dir, names)
+
+
+def employee_calls(t: Mapping[str, DataFrame]) -> DataFrame:
     """id, area, calls_made, calls_successful - one row per customer."""
     urgent = (
         t["orders"]
@@ -70,7 +124,7 @@ def _zip(custkey: Column, segment: Column) -> Column:
                     F.substring(segment, 1, 2))
 
 
-def employee_details(t: dict[str, DataFrame]) -> DataFrame:
+def employee_details(t: Mapping[str, DataFrame]) -> DataFrame:
     """id, name, address, sales_amount - one row per customer with a nation."""
     c, n = t["customer"], t["nation"]
     key = c["c_custkey"]
@@ -91,7 +145,7 @@ def employee_details(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def sales_details(t: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
+def sales_details(t: Mapping[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
     """id, caller_id, company, recipient, age, country, product_sold, quantity.
 
     ``columns`` restricts the output and skips dimension joins nobody reads.
@@ -102,15 +156,17 @@ def sales_details(t: dict[str, DataFrame], columns: list[str] | None = None) ->
         raise ValueError(f"unknown sales column(s): {sorted(unknown)}")
 
     li = t["lineitem"]
-    # Supplier/nation first: a country filter then turns these lookups into
-    # inner joins on a small filtered side and thins the line table before
-    # the order join shuffles it.
+    # Supplier, then nation, first: a country filter then turns both lookups
+    # into inner joins against filtered sides and thins the line table before
+    # the order join shuffles it. Each lookup joins a base table directly, so
+    # the planner sizes it from that table's own statistics (a join of two
+    # dimensions would be estimated as the product of their sizes).
     if {"company", "country"} & set(wanted):
-        s = t["supplier"]
-        n = t["nation"]
-        sup = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").select(
-            "s_suppkey", "s_name", "n_name")
-        li = li.join(sup, li["l_suppkey"] == sup["s_suppkey"], "left")
+        s = t["supplier"].select("s_suppkey", "s_name", "s_nationkey")
+        li = li.join(s, li["l_suppkey"] == s["s_suppkey"], "left")
+    if "country" in wanted:
+        n = t["nation"].select("n_nationkey", "n_name")
+        li = li.join(n, li["s_nationkey"] == n["n_nationkey"], "left")
     o = t["orders"]
     rows = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     if "product_sold" in wanted:
