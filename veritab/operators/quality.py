@@ -10,7 +10,8 @@ DataFrame with a row per (check, column)::
   i.e. one scan of that table;
 * each further uniqueness column gets its own aggregate (several distinct
   counts in one aggregate make Catalyst copy every row once per column);
-* a referential check is one null-safe anti-join of the child's distinct keys.
+* a referential check is one null-safe left join of the child's aggregated
+  keys with the parent's distinct keys.
 
 All of them are unioned, so the whole suite runs as a single Spark job. The
 offending rows themselves come from ``violations``; ``gate`` decides whether a
@@ -207,24 +208,34 @@ def child_key_counts(child: DataFrame, keys: Sequence[str]) -> DataFrame:
     return child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
 
+def matched_keys(child: DataFrame, keys: Sequence[str], parent: DataFrame,
+                 parent_keys: Sequence[str]) -> DataFrame:
+    """Every distinct child key with ``_rows`` (its row count) and ``_orphan``
+    (true when no parent has that key; null-safe, by position).
+
+    Aggregate first, then join: a left join of the aggregated child keys with
+    the distinct parent keys. (Written as an anti-join, Catalyst would push
+    the join below the aggregate and shuffle every raw child row.)
+    """
+    pk = (parent.select([parent[p].alias(f"_p{i}") for i, p in enumerate(parent_keys)])
+          .distinct().withColumn("_hit", F.lit(True)))
+    keyed = child_key_counts(child, keys)
+    joined = keyed.join(pk, _null_safe_on(keyed, keys, pk, pk.columns[:-1]), "left")
+    return joined.select(*[keyed[k] for k in keys], "_rows",
+                         F.col("_hit").isNull().alias("_orphan"))
+
+
 def orphan_keys(child: DataFrame, keys: Sequence[str], parent: DataFrame,
                 parent_keys: Sequence[str]) -> DataFrame:
-    """Distinct child keys (with ``_rows``) that have no parent - the
-    ``EXCEPT DISTINCT`` of the keys, null-safe, as a left anti-join."""
-    pk = parent.select([parent[p].alias(f"_p{i}") for i, p in enumerate(parent_keys)])
-    keyed = child_key_counts(child, keys)
-    return keyed.join(pk, _null_safe_on(keyed, keys, pk, pk.columns), "left_anti")
+    """Distinct child keys (with ``_rows``) that have no parent: the
+    ``EXCEPT DISTINCT`` of the keys, null-safe."""
+    m = matched_keys(child, keys, parent, parent_keys)
+    return m.filter(F.col("_orphan")).drop("_orphan")
 
 
 def _referential(tables: dict[str, DataFrame], chk: Check) -> DataFrame:
-    child = tables[chk.dataset]
-    orphans = orphan_keys(child, chk.keys, tables[chk.parent], chk.parent_keys)
-    # both branches read the same keyed aggregate; Spark reuses its exchange
-    keyed = child_key_counts(child, chk.keys)
-    flagged = keyed.select(F.lit(0).alias("_orphan")).unionByName(
-        orphans.select(F.lit(1).alias("_orphan")))
-    agg = flagged.agg(F.count_if(F.col("_orphan") == 0).alias("_keys"),
-                      F.count_if(F.col("_orphan") == 1).alias("_orphans"))
+    m = matched_keys(tables[chk.dataset], chk.keys, tables[chk.parent], chk.parent_keys)
+    agg = m.agg(F.count(F.lit(1)).alias("_keys"), F.count_if(F.col("_orphan")).alias("_orphans"))
     return _result_rows(agg, [(chk, F.col("_keys"), F.col("_orphans"))])
 
 
