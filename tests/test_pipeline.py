@@ -1,0 +1,53 @@
+"""The whole job on CSV inputs derived from the test tables."""
+
+import os
+
+import pytest
+
+from veritab.__main__ import halt_set, parse
+from veritab.plans.pipeline import load_inputs, run_pipeline
+from veritab.sources.adapters import employee_calls, employee_details, load_tpch, sales_details
+from veritab.sources.files import write_csv
+from veritab.sources.schemas import EMPLOYEE_CALLS, EMPLOYEE_DETAILS, SALES_DETAILS
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def csv_inputs(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("inputs")
+    t = load_tpch(spark, SF)
+    paths = {}
+    for name, df in {EMPLOYEE_CALLS: employee_calls(t), EMPLOYEE_DETAILS: employee_details(t),
+                     SALES_DETAILS: sales_details(t)}.items():
+        paths[name] = str(base / f"{name}.csv")
+        write_csv(df, paths[name])
+    return paths
+
+
+def test_pipeline_writes_all_reports(spark, csv_inputs, tmp_path):
+    tables = load_inputs(spark, csv_inputs)
+    result = run_pipeline(spark, tables, str(tmp_path), stage=True)
+    assert result.ok
+    assert [s.report for s in result.reports][:6] == [
+        "it_data", "marketing_address_info", "department_breakdown", "top_3",
+        "top_3_most_sold_per_department_netherlands", "best_salesperson"]
+    assert len(result.quality) == 17
+    for s in result.reports:
+        assert os.path.exists(os.path.join(str(tmp_path), s.report, "_SUCCESS"))
+    # segments stand in for departments, so the default areas select nothing
+    breakdown = spark.read.option("header", True).csv(f"{tmp_path}/department_breakdown")
+    assert breakdown.count() == 5
+
+
+def test_pipeline_halts_before_reports(spark, csv_inputs, tmp_path):
+    tables = load_inputs(spark, csv_inputs)
+    with pytest.raises(RuntimeError, match="address_format"):
+        run_pipeline(spark, tables, str(tmp_path), halt_on={"address_format", "row_count"})
+    assert os.listdir(str(tmp_path)) == []
+
+
+def test_cli_halt_set():
+    args = parse(["a", "b", "c", "out", "--halt", " row_count, ,address_format"])
+    assert halt_set(args) == {"row_count", "address_format"}
+    assert len(halt_set(parse(["a", "b", "c", "out", "--halt-all"]))) == 7

@@ -16,6 +16,7 @@ from __future__ import annotations
 import logging
 import os
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,27 +156,39 @@ class ReportStatus:
     error: str | None = None
 
 
+def _run_one(folder: str, fn: Report, tables: tuple, out_dir: str, write) -> ReportStatus:
+    try:
+        write(fn(*tables), os.path.join(out_dir, folder))
+        log.info("%s written", folder)
+        return ReportStatus(folder, SUCCESS)
+    except Exception as exc:  # noqa: BLE001 - isolate one report's failure
+        log.error("%s failed: %s", folder, exc)
+        return ReportStatus(folder, FAILED, f"{folder}: {exc}")
+
+
 def run_reports(calls: DataFrame, details: DataFrame, sales: DataFrame, out_dir: str,
                 reports: dict[str, Report] | None = None, single_file: bool = False,
-                writer: Callable[..., None] | None = None) -> list[ReportStatus]:
+                writer: Callable[..., None] | None = None,
+                parallelism: int = 3) -> list[ReportStatus]:
     """Build and write every report to ``out_dir/<folder>``.
 
     A report that fails (at analysis or while writing) is recorded as FAILED
-    with ``"<folder>: <error>"`` and the others still run. Each write is an
-    ordinary Spark job with the standard output committer: a lost executor's
-    tasks are retried and a half-written folder is never committed.
+    with ``"<folder>: <error>"`` and the others still run. Up to
+    ``parallelism`` reports are submitted at once from driver threads, so the
+    narrow tail stages of one report (final aggregate, top-k merge, commit)
+    overlap with the wide stages of another. Each write is an ordinary Spark
+    job with the standard output committer: a lost executor's tasks are
+    retried and a half-written folder is never committed. Statuses come back
+    in registration order.
     """
-    statuses = []
     write = writer or (lambda df, path: write_csv(df, path, single_file=single_file))
-    for folder, fn in (reports if reports is not None else REPORTS).items():
-        try:
-            write(fn(calls, details, sales), os.path.join(out_dir, folder))
-            statuses.append(ReportStatus(folder, SUCCESS))
-            log.info("%s written", folder)
-        except Exception as exc:  # noqa: BLE001 - isolate one report's failure
-            log.error("%s failed: %s", folder, exc)
-            statuses.append(ReportStatus(folder, FAILED, f"{folder}: {exc}"))
-    return statuses
+    todo = list((reports if reports is not None else REPORTS).items())
+    tables = (calls, details, sales)
+    if parallelism <= 1 or len(todo) <= 1:
+        return [_run_one(f, fn, tables, out_dir, write) for f, fn in todo]
+    with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="report") as pool:
+        futures = [pool.submit(_run_one, f, fn, tables, out_dir, write) for f, fn in todo]
+        return [f.result() for f in futures]
 
 
 def status_frame(spark: SparkSession, statuses: list[ReportStatus]) -> DataFrame:
