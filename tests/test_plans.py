@@ -1,0 +1,88 @@
+"""Physical-plan properties the design relies on (checked on sf0.001 inputs)."""
+
+import re
+
+import __spark_entry__ as E
+from veritab.operators import quality as q
+from veritab.plans.quality import standard_suite
+
+SF = "/root/testdata/sf0.001"
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_r1_filter_reaches_scan_and_uses_top_n(spark):
+    plan = _plan(E.q_top_n_by_sales(spark, SF))
+    assert "TakeOrderedAndProject" in plan
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(c_mktsegment,MACHINERY\)", plan)
+    assert " Sort " not in plan.replace("SortMergeJoin", "")
+
+
+def test_per_group_limits_run_before_the_shuffle(spark):
+    for fn in (E.q_top3_performers, E.q_top3_products, E.q_best_per_country):
+        lines = _plan(fn(spark, SF)).splitlines()
+        final = next(i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Final" in l)
+        partial = next(i for i, l in enumerate(lines)
+                       if "WindowGroupLimit" in l and "Partial" in l)
+        # tree order: final limit, then the exchange on the group key, then the
+        # partial limit that runs in every map task before the shuffle
+        exchange = next(i for i, l in enumerate(lines) if i > final and "Exchange" in l)
+        assert final < exchange < partial, "\n".join(lines)
+
+
+def test_r5_country_filter_reaches_nation_scan_and_skips_customer(spark):
+    df = E.q_top3_products(spark, SF)
+    plan = _plan(df)
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(n_name,NATION_3\)", plan)
+    opt = _optimized(df)
+    assert not re.search(r"o_custkey#\d+L = c_custkey", opt)  # no recipient lookup
+
+
+def test_sales_reports_aggregate_before_the_people_join(spark):
+    for fn in (E.q_top3_products, E.q_best_per_country):
+        opt = _optimized(fn(spark, SF))
+        lines = opt.splitlines()
+        join_at = next(i for i, l in enumerate(lines) if "Join Inner" in l and
+                       "caller_id" in l)
+        # an Aggregate on caller_id sits below (after, in tree order) that join
+        below = "\n".join(lines[join_at:])
+        assert re.search(r"Aggregate \[caller_id", below), opt
+
+
+def test_quality_suite_has_no_expand_and_prunes_sales(spark):
+    t = E._tables(spark, SF, E._DQ_SALES_COLS)
+    res = q.evaluate(t, standard_suite())
+    plan = _plan(res)
+    assert "Expand" not in plan
+    assert "part.parquet" not in plan and "supplier.parquet" not in plan
+    assert "lineitem.parquet" in plan
+
+
+def test_referential_aggregates_child_keys_before_joining(spark):
+    t = E._tables(spark, SF, ["caller_id"])
+    res = q.evaluate(t, q.referential("Sales_details", ["caller_id"], "Employee_calls", ["id"]))
+    opt = _optimized(res)
+    lines = opt.splitlines()
+    join_at = next(i for i, l in enumerate(lines) if "Join LeftOuter" in l)
+    assert re.search(r"Aggregate \[caller_id", "\n".join(lines[join_at:])), opt
+    assert "LeftAnti" not in opt
+
+
+def test_no_broadcast_hints_anywhere(spark):
+    for name, fn in E.queries().items():
+        if name in ("csv_round_trip", "report_status"):
+            continue
+        assert "strategy=broadcast" not in _optimized(fn(spark, SF)), name
+
+
+def test_scans_read_only_used_columns(spark):
+    plan = _plan(E.q_dq_address(spark, SF))
+    schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
+    customer = [s for s in schemas if "c_custkey" in s]
+    assert customer and all("c_acctbal" not in s and "c_name" not in s for s in customer)

@@ -1,0 +1,112 @@
+"""Brute-force comparisons on random inputs, including a caller that holds a
+third of all sales lines (the hot key the pre-aggregation is for)."""
+
+import random
+from collections import defaultdict
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from veritab.operators.topn import top_k_per_group
+from veritab.plans import reports as R
+
+SETTINGS = settings(max_examples=12, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def _ranks(items, key):
+    """rank() semantics: 1 + number of items strictly ahead."""
+    return [1 + sum(1 for o in items if key(o) > key(it)) for it in items]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 6)), min_size=0, max_size=40),
+       st.integers(1, 4))
+def test_top_k_per_group_matches_rank_semantics(spark, rows, k):
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)],
+                               "id long, g string, v long")
+    got = sorted((r["id"], r["rank"]) for r in
+                 top_k_per_group(df, ["g"], [F.col("v").desc()], k).collect())
+    want = []
+    groups = defaultdict(list)
+    for i, (g, v) in enumerate(rows):
+        groups[g].append((i, v))
+    for items in groups.values():
+        for (i, _), r in zip(items, _ranks(items, key=lambda it: it[1])):
+            if r <= k:
+                want.append((i, r))
+    assert got == sorted(want)
+
+
+def _skewed_sales(seed, n=600):
+    rnd = random.Random(seed)
+    hot = 7
+    sales = []
+    for i in range(n):
+        caller = hot if i % 3 == 0 else rnd.randint(0, 30)
+        if i % 97 == 0:
+            caller = -caller - 1  # orphan caller
+        qty = None if i % 89 == 0 else rnd.randint(0, 20)
+        sales.append((i, caller, rnd.choice(["NL", "DE", "FR"]), rnd.choice("pqrstu"), qty))
+    calls = [(c, rnd.choice(["IT", "HR", "Ops"])) for c in range(31)]
+    details = [(c, f"n{c % 9}", None if c % 11 == 0 else float(rnd.randint(0, 5)))
+               for c in range(31)]
+    return calls, details, sales
+
+
+@SETTINGS
+@given(st.integers(0, 10_000))
+def test_top_products_with_hot_caller(spark, seed):
+    calls, _, sales = _skewed_sales(seed)
+    c = spark.createDataFrame(calls, "id long, area string")
+    s = spark.createDataFrame(sales, "id long, caller_id long, country string, "
+                                     "product_sold string, quantity long")
+    got = [tuple(r) for r in R.top_products(c, None, s, country="NL", display=False).collect()]
+    area = dict(calls)
+    totals = defaultdict(lambda: None)
+    for _, caller, country, product, qty in sales:
+        if country == "NL" and caller in area:
+            key = (area[caller], product)
+            totals[key] = totals[key] if qty is None else (totals[key] or 0) + qty
+    items = list(totals.items())
+    want = []
+    for (a, p), t in items:
+        ahead = sum(1 for (a2, _), t2 in items
+                    if a2 == a and t2 is not None and (t is None or t2 > t))
+        if ahead + 1 <= 3:
+            want.append((a, p, t, ahead + 1))
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@SETTINGS
+@given(st.integers(0, 10_000))
+def test_best_salesperson_with_hot_caller(spark, seed):
+    _, details, sales = _skewed_sales(seed)
+    d = spark.createDataFrame(details, "id long, name string, sales_amount double")
+    s = spark.createDataFrame([(cl, co, q) for _, cl, co, _, q in sales],
+                              "caller_id long, country string, quantity long")
+    got = sorted((r["id"], r["country"], r["total_quantity"], r["rank"])
+                 for r in R.best_salesperson(None, d, s, display=False).collect())
+    person = {i: (n, a) for i, n, a in details}
+    totals = {}
+    for _, caller, country, _, qty in sales:
+        if caller in person:
+            key = (caller, country)
+            prev = totals.get(key)
+            totals[key] = prev if qty is None else (prev or 0) + qty
+    def better(x, y):  # x strictly ahead of y: total desc, then sales desc, nulls last
+        (tx, sx), (ty, sy) = x, y
+        if tx != ty:
+            return ty is None or (tx is not None and tx > ty)
+        if sx != sy:
+            return sy is None or (sx is not None and sx > sy)
+        return False
+    want = []
+    for (i, co), t in totals.items():
+        me = (t, person[i][1])
+        ahead = sum(1 for (j, co2), t2 in totals.items()
+                    if co2 == co and better((t2, person[j][1]), me))
+        if ahead == 0:
+            want.append((i, co, t, 1))
+    assert got == sorted(want, key=lambda x: (x[0], x[1]))

@@ -252,3 +252,10 @@ def test_missing_column_fails_before_any_job(tables):
         q.evaluate(tables, q.non_null("Employee_calls", ["nope"]))
     with pytest.raises(ValueError):
         q.evaluate(tables, q.non_null("Nope", ["id"]))
+
+
+def test_address_trailing_newline_follows_java_dollar(spark):
+    # Java's `$` also matches before a final line terminator, so this passes,
+    # exactly as the same rlike check always has
+    assert dq.check_address_format(_addr(spark, ["Main Street, 10, 1234 AB\n"]), "D")
+    assert dq.check_address_format(_addr(spark, ["Main Street, 10, 1234 AB\n\n"]), "D") is False
