@@ -13,7 +13,7 @@ DataFrame with a row per (check, column)::
 * a referential check is one null-safe left join of the child's aggregated
   keys with the parent's distinct keys.
 
-All of them are unioned, so the whole suite runs as a single Spark job. The
+All of them are unioned, so the whole suite runs as a single Spark action. The
 offending rows themselves come from ``violations``; ``gate`` decides whether a
 failure stops the run.
 """
@@ -240,7 +240,7 @@ def _referential(tables: dict[str, DataFrame], chk: Check) -> DataFrame:
 
 
 def evaluate(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """All ``checks`` as one lazy DataFrame of results (one job when collected).
+    """All ``checks`` as one lazy DataFrame of results (one action when collected).
 
     ``total``/``violations`` per kind: rows / offending rows; for ``unique``
     rows / rows beyond the distinct values; for ``row_count`` rows / absolute
