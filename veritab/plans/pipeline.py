@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import os
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veritab.plans.quality import run_quality, standard_suite
 from veritab.plans.reports import ReportStatus, run_reports
-from veritab.sources.files import read_table, shared_dir, write_parquet
+from veritab.sources.files import materialize, read_table
 from veritab.sources.schemas import EMPLOYEE_CALLS, EMPLOYEE_DETAILS, SALES_DETAILS, SPECS
 
 log = logging.getLogger(__name__)
@@ -38,13 +37,7 @@ def stage_inputs(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str,
     they use instead of re-parsing CSV (or re-running derived joins) seven
     times, and the lineage is cut at a durable copy that survives lost
     executors."""
-    base = shared_dir(spark, "inputs")
-    staged = {}
-    for name, df in tables.items():
-        path = os.path.join(base, name)
-        write_parquet(df, path)
-        staged[name] = spark.read.parquet(path)
-    return staged
+    return {name: materialize(df, f"input-{name}") for name, df in tables.items()}
 
 
 def run_pipeline(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,

@@ -58,6 +58,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: for inputs that are expensive to derive and read more than once.
+    The lineage is cut at a durable copy, so a lost executor costs a re-read of
+    that copy, not a recomputation of the joins behind it."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    write_parquet(df, path)
+    return spark.read.parquet(path)
+
+
 # Settings the original job set on its session; AQE re-sizes shuffles at run time,
 # so the shuffle width is left to the caller / cluster defaults.
 SESSION_SETTINGS = {
