@@ -163,11 +163,11 @@ def _result_rows(agg: DataFrame, rows: list[tuple[Check, Column, Column]]) -> Da
     structs = [
         F.struct(F.lit(chk.dataset).alias("dataset"), F.lit(chk.name).alias("check_name"),
                  F.lit(chk.column).cast("string").alias("column_name"),
-                 total.cast("bigint").alias("total"), viol.cast("bigint").alias("violations"))
+                 total.cast("bigint").alias("total"), viol.cast("bigint").alias("violations"),
+                 (viol == 0).alias("passed"))
         for chk, total, viol in rows
     ]
-    out = agg.select(F.inline(F.array(*structs)))
-    return out.withColumn("passed", F.col("violations") == 0)
+    return agg.select(F.inline(F.array(*structs)))
 
 
 def _table_checks(df: DataFrame, checks: list[Check]) -> list[DataFrame]:

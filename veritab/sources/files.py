@@ -95,10 +95,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="veritab-"))
-        base = spark.sparkContext.getCheckpointDir()
+        try:
+            sc = spark.sparkContext
+        except Exception:  # noqa: BLE001 - a remote (Connect) session has none
+            sc = None
+        base = sc.getCheckpointDir() if sc is not None else None
+        if not base:
+            if sc is None or not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="veritab-"))
+            base = sc.getCheckpointDir()
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
