@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.functions import money_text
+from veritab.functions.text import ADDRESS_PATTERN, EDGE_COMMAS, ZIP_PATTERN
 from veritab.operators import quality as q
 from veritab.operators.quality import orphan_keys, violations
 from veritab.plans import reports as R
@@ -337,7 +338,7 @@ def _uniq(col: str) -> str:
             f"coalesce(max(CASE WHEN {col} IS NULL THEN 1 ELSE 0 END), 0))")
 
 
-_ADDRESS_RE = r"^[A-Za-z0-9-\s]+, \d+, \d{4} [A-Z]{2}$"
+_ADDRESS_RE = ADDRESS_PATTERN
 
 
 def _basic(dataset: str, view: str, expected: int, non_negative: list[str]) -> list[str]:
@@ -376,9 +377,9 @@ FROM calls_details WHERE area = '{TOP_AREA}'
 ORDER BY coalesce(sales_amount, 0.0) DESC, id ASC LIMIT 100""",
     "address_split": rf"""
 SELECT name,
-       trim(regexp_replace(regexp_replace(address, '\d{{4}} [A-Z]{{2}},?\s*', '', 'g'),
-                           '^,\s*|,\s*$', '', 'g')) AS address,
-       regexp_extract(address, '(\d{{4}} [A-Z]{{2}})', 1) AS zip_code
+       trim(regexp_replace(regexp_replace(address, '{ZIP_PATTERN},?\s*', '', 'g'),
+                           '{EDGE_COMMAS}', '', 'g')) AS address,
+       regexp_extract(address, '({ZIP_PATTERN})', 1) AS zip_code
 FROM calls_details WHERE area = '{SPLIT_AREA}'""",
     "area_breakdown": """
 SELECT area, CAST(sum(CAST(sales_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The postcode shape (four digits, a space, two capital letters)
-# and the full address layout "street, number, postcode" that the format check
-# accepts.
+# The postcode shape (four digits, a space, two capital letters),
+# the full address layout "street, number, postcode" that the format check
+# accepts, and the leading/trailing comma left behind once a postcode is cut out.
 ZIP_PATTERN = r"\d{4} [A-Z]{2}"
 ADDRESS_PATTERN = r"^[A-Za-z0-9-\s]+, \d+, \d{4} [A-Z]{2}$"
-_EDGE_COMMAS = r"^,\s*|,\s*$"
+EDGE_COMMAS = r"^,\s*|,\s*$"
 
 
 def _col(c) -> Column:
@@ -26,7 +26,7 @@ def strip_pattern(c, pattern: str = ZIP_PATTERN) -> Column:
     """``c`` with every match of ``pattern`` (and a comma right after it) removed,
     then leading/trailing commas and spaces tidied away."""
     removed = F.regexp_replace(_col(c), pattern + r",?\s*", "")
-    return F.trim(F.regexp_replace(removed, _EDGE_COMMAS, ""))
+    return F.trim(F.regexp_replace(removed, EDGE_COMMAS, ""))
 
 
 def not_matching(c, pattern: str = ADDRESS_PATTERN) -> Column:
