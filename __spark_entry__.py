@@ -22,8 +22,15 @@ from veritab.operators import quality as q
 from veritab.operators.quality import orphan_keys, violations
 from veritab.plans import reports as R
 from veritab.plans.quality import standard_suite
-from veritab.sources.adapters import employee_calls, employee_details, load_tpch, sales_details
+from veritab.sources.adapters import (
+    TPCH_SCHEMAS,
+    employee_calls,
+    employee_details,
+    load_tpch,
+    sales_details,
+)
 from veritab.sources.files import read_csv, shared_dir, write_csv
+from veritab.streaming import totals, watch
 from veritab.sources.schemas import (
     DETAILS_SCHEMA,
     EMPLOYEE_CALLS,
@@ -176,6 +183,52 @@ def q_dq_orphans(spark, sf_dir):
                  F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("orphan_rows"))
 
 
+def q_dq_row_count(spark, sf_dir):
+    return q.evaluate(_tables(spark, sf_dir, _DQ_SALES_COLS),
+                      [c for c in standard_suite() if c.kind == "row_count"])
+
+
+def q_dq_non_null(spark, sf_dir):
+    checks = (q.non_null(EMPLOYEE_CALLS, ["id", "area"])
+              + q.non_null(EMPLOYEE_DETAILS, ["id", "address", "sales_amount"])
+              + q.non_null(SALES_DETAILS, ["id", "caller_id"]))
+    return q.evaluate(_tables(spark, sf_dir, _DQ_SALES_COLS), checks)
+
+
+def q_dq_unique(spark, sf_dir):
+    # two columns on details: the second gets an aggregate of its own
+    checks = (q.unique(EMPLOYEE_CALLS, ["id"]) + q.unique(EMPLOYEE_DETAILS, ["id", "name"])
+              + q.unique(SALES_DETAILS, ["id"]))
+    return q.evaluate(_tables(spark, sf_dir, _DQ_SALES_COLS), checks)
+
+
+def q_dq_referential(spark, sf_dir):
+    return q.evaluate(_tables(spark, sf_dir, ["caller_id"]),
+                      q.referential(SALES_DETAILS, ["caller_id"], EMPLOYEE_CALLS, ["id"]))
+
+
+def q_dq_null_rows(spark, sf_dir):
+    return _rows(spark, sf_dir, q.non_null(EMPLOYEE_DETAILS, ["address"])[0])
+
+
+def q_dq_stream(spark, sf_dir):
+    """The customer table as a file stream; details derived per micro-batch by a
+    stream-static join with nation; row-level checks run on every batch and
+    are summed over batches."""
+    customers = (spark.readStream.schema(TPCH_SCHEMAS["customer"])
+                 .parquet(os.path.join(sf_dir, "customer*.parquet")))
+    details = employee_details({"customer": customers, "nation": load_tpch(spark, sf_dir)["nation"]})
+    checks = (q.non_null(EMPLOYEE_DETAILS, ["id"])
+              + q.non_negative(EMPLOYEE_DETAILS, ["sales_amount"])
+              + q.pattern(EMPLOYEE_DETAILS, "address"))
+    results = shared_dir(spark, "stream-results")
+    run = watch(details, EMPLOYEE_DETAILS, checks, results, trigger={"availableNow": True})
+    run.awaitTermination()
+    if run.exception() is not None:
+        raise RuntimeError(str(run.exception()))
+    return totals(spark, results).drop("batches")
+
+
 def _rows(spark, sf_dir, check, sales_columns=None):
     return violations(_tables(spark, sf_dir, sales_columns), check)
 
@@ -244,6 +297,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_orphan_rows": q_dq_orphan_rows,
     "dq_negative_rows": q_dq_negative_rows,
     "dq_address_rows": q_dq_address_rows,
+    "dq_row_count": q_dq_row_count,
+    "dq_non_null": q_dq_non_null,
+    "dq_unique": q_dq_unique,
+    "dq_referential": q_dq_referential,
+    "dq_null_rows": q_dq_null_rows,
+    "dq_stream": q_dq_stream,
     "csv_round_trip": q_csv_round_trip,
     "report_status": q_report_status,
 }
@@ -364,6 +423,22 @@ _REFERENTIAL = _result(
     "(SELECT DISTINCT caller_id FROM sales_details) k")
 
 _SALES_BASIC = _basic("Sales_details", "sales_details", 10000, ["quantity", "age"])
+
+
+def _check(dataset, view, check, column, viol):
+    return _result(dataset, check, column, "count(*)", viol, view)
+
+
+def _non_null(dataset, view, column):
+    return _check(dataset, view, "col_non_null", column, _cnt(f"{column} IS NULL"))
+
+
+def _unique(dataset, view, column):
+    return _check(dataset, view, "col_unique", column, _uniq(column))
+
+
+def _row_count(dataset, view, expected):
+    return _result(dataset, "row_count", None, "count(*)", f"abs(count(*) - {expected})", view)
 _DQ_REPORT = (_basic("Employee_calls", "employee_calls", 1000,
                      ["calls_made", "calls_successful"])
               + _basic("Employee_details", "employee_details", 1000, ["sales_amount"])
@@ -474,6 +549,30 @@ WHERE NOT EXISTS (SELECT 1 FROM employee_calls c WHERE c.id IS NOT DISTINCT FROM
     "dq_address_rows": f"""
 SELECT * FROM employee_details
 WHERE address IS NULL OR NOT regexp_matches(address, '{_ADDRESS_RE}')""",
+    "dq_row_count": "\nUNION ALL\n".join([
+        _row_count("Employee_calls", "employee_calls", 1000),
+        _row_count("Employee_details", "employee_details", 1000),
+        _row_count("Sales_details", "sales_details", 10000)]),
+    "dq_non_null": "\nUNION ALL\n".join([
+        _non_null("Employee_calls", "employee_calls", "id"),
+        _non_null("Employee_calls", "employee_calls", "area"),
+        _non_null("Employee_details", "employee_details", "id"),
+        _non_null("Employee_details", "employee_details", "address"),
+        _non_null("Employee_details", "employee_details", "sales_amount"),
+        _non_null("Sales_details", "sales_details", "id"),
+        _non_null("Sales_details", "sales_details", "caller_id")]),
+    "dq_unique": "\nUNION ALL\n".join([
+        _unique("Employee_calls", "employee_calls", "id"),
+        _unique("Employee_details", "employee_details", "id"),
+        _unique("Employee_details", "employee_details", "name"),
+        _unique("Sales_details", "sales_details", "id")]),
+    "dq_referential": _REFERENTIAL,
+    "dq_null_rows": "SELECT * FROM employee_details WHERE address IS NULL",
+    "dq_stream": "\nUNION ALL\n".join([
+        _non_null("Employee_details", "employee_details", "id"),
+        _check("Employee_details", "employee_details", "col_non_negative", "sales_amount",
+               _cnt("sales_amount < 0")),
+        _ADDRESS]),
     "csv_round_trip": "SELECT * FROM employee_details",
     "report_status": """
 SELECT * FROM (VALUES
