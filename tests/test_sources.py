@@ -66,3 +66,20 @@ def test_sales_column_pruning_keeps_rows(spark):
     assert sorted(full.collect()) == sorted(pruned.collect())
     plan = pruned._jdf.queryExecution().optimizedPlan().toString()
     assert "p_partkey" not in plan and "c_custkey" not in plan
+
+
+def test_csv_columns_matched_by_name(spark, out_dir):
+    path = os.path.join(out_dir, "reordered.csv")
+    with open(path, "w") as f:
+        f.write("sales_amount,address,id,name,extra\n12.5,\"Main Street, 1, 1234 AB\",7,Ann,x\n"
+                "oops,,8,Bob,y\n")
+    rows = {r["id"]: r for r in read_csv(spark, path, DETAILS_SCHEMA).collect()}
+    assert rows[7]["name"] == "Ann" and rows[7]["sales_amount"] == 12.5
+    assert rows[7]["address"] == "Main Street, 1, 1234 AB"
+    assert rows[8]["sales_amount"] is None and rows[8]["address"] is None
+    missing = os.path.join(out_dir, "missing.csv")
+    with open(missing, "w") as f:
+        f.write("id,name\n1,A\n")
+    import pytest
+    with pytest.raises(ValueError, match="address"):
+        read_csv(spark, missing, DETAILS_SCHEMA)

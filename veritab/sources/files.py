@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
@@ -22,15 +23,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = False) -> DataFrame:
     """Read CSV with a header row.
 
-    ``path`` may be one file, a directory or a glob. With ``schema`` the read is
-    lazy (no job). ``infer=True`` falls back to schema inference, one extra pass.
+    ``path`` may be one file, a directory or a glob. With ``schema`` the
+    columns are matched to the header BY NAME (a file whose columns come in
+    another order still loads correctly; a missing column is a ``ValueError``)
+    and each is cast to its declared type, a malformed value becoming null as
+    in Spark's permissive parsing. Spark's CSV column pruning still parses only
+    the columns a query uses. ``infer=True`` (without a schema) falls back to
+    schema inference, which costs one extra pass over the data.
     """
     reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", infer).csv(path)
+    raw = reader.csv(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"Column(s) not found in {path}: {', '.join(missing)}")
+    return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
