@@ -1,0 +1,61 @@
+"""A key holding a third of all rows: AQE splits its partition at run time in
+the row-level joins (no broadcast, sort-merge join forced)."""
+
+import contextlib
+
+from pyspark.sql import functions as F
+
+from veritab.operators import quality as q
+
+
+@contextlib.contextmanager
+def _conf(spark, **settings):
+    keys = {k.replace("__", "."): v for k, v in settings.items()}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _run(df):
+    """Execute ``df``'s own query (so AQE finalises its plan); return rows, plan."""
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_caller_is_split_in_row_level_joins(spark):
+    n = 60_000
+    child = spark.range(n).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000 + 10)
+        .alias("caller_id"))
+    parent = spark.range(5000).select(F.col("id"))
+    tables = {"C": child.repartition(8), "P": parent.repartition(8)}
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    with _conf(spark, **{k.replace(".", "__"): v for k, v in settings.items()}):
+        orphans = q.violations(tables, q.referential("C", ["caller_id"], "P", ["id"])[0])
+        rows, plan = _run(orphans)
+        assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan
+        assert "skew=true" in plan, plan
+        # the hot key (7) has a parent; callers 5000..5009 do not
+        assert len(rows) == sum(1 for i in range(n) if i % 3 and i % 5000 + 10 >= 5000)
+
+        dup = q.violations({"C": tables["C"]}, q.unique("C", ["caller_id"])[0])
+        rows, plan = _run(dup)
+        assert "skew=true" in plan, plan
+        assert len(rows) == n  # every caller value repeats
