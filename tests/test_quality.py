@@ -259,3 +259,9 @@ def test_address_trailing_newline_follows_java_dollar(spark):
     # exactly as the same rlike check always has
     assert dq.check_address_format(_addr(spark, ["Main Street, 10, 1234 AB\n"]), "D")
     assert dq.check_address_format(_addr(spark, ["Main Street, 10, 1234 AB\n\n"]), "D") is False
+
+
+def test_names_with_quotes_survive_the_unpivot(spark):
+    name = "O'Brien \\ sales"
+    res = q.evaluate({name: _ints(spark, [1, None])}, q.non_null(name, ["id"])).collect()
+    assert [(r["dataset"], r["column_name"], r["violations"]) for r in res] == [(name, "id", 1)]

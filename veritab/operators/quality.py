@@ -158,16 +158,25 @@ def _violation_count(chk: Check) -> Column:
     raise ValueError(chk.kind)
 
 
-def _result_rows(agg: DataFrame, rows: list[tuple[Check, Column, Column]]) -> DataFrame:
-    """Unpivot the one-row aggregate into one row per check (no shuffle)."""
-    structs = [
-        F.struct(F.lit(chk.dataset).alias("dataset"), F.lit(chk.name).alias("check_name"),
-                 F.lit(chk.column).cast("string").alias("column_name"),
-                 total.cast("bigint").alias("total"), viol.cast("bigint").alias("violations"),
-                 (viol == 0).alias("passed"))
-        for chk, total, viol in rows
-    ]
-    return agg.select(F.inline(F.array(*structs)))
+def _sql_str(value) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _result_rows(agg: DataFrame, rows: list[tuple[Check, str, str]]) -> DataFrame:
+    """Unpivot the one-row aggregate into one row per check (no shuffle).
+
+    ``rows`` holds (check, total, violations) as SQL over the aggregate's
+    columns; the whole unpivot is one expression (one call into the JVM).
+    """
+    structs = ", ".join(
+        f"named_struct('dataset', {_sql_str(chk.dataset)}, "
+        f"'check_name', {_sql_str(chk.name)}, 'column_name', {_sql_str(chk.column)}, "
+        f"'total', CAST({total} AS BIGINT), 'violations', CAST({viol} AS BIGINT), "
+        f"'passed', ({viol}) = 0)"
+        for chk, total, viol in rows)
+    return agg.select(F.expr(f"inline(array({structs}))"))
 
 
 def _table_checks(df: DataFrame, checks: list[Check]) -> list[DataFrame]:
@@ -179,20 +188,20 @@ def _table_checks(df: DataFrame, checks: list[Check]) -> list[DataFrame]:
     rows = []
     for i, chk in enumerate(local + shared_unique):
         if chk.kind == "row_count":
-            rows.append((chk, F.col("_total"), F.abs(F.col("_total") - F.lit(chk.expected))))
+            rows.append((chk, "_total", f"abs(_total - {int(chk.expected)})"))
             continue
         name = f"_v{i}"
         if chk.kind == "unique":
             aggs.append(_distinct_with_null(F.col(chk.column)).alias(name))
-            rows.append((chk, F.col("_total"), F.col("_total") - F.col(name)))
+            rows.append((chk, "_total", f"_total - {name}"))
         else:
             aggs.append(_violation_count(chk).alias(name))
-            rows.append((chk, F.col("_total"), F.col(name)))
+            rows.append((chk, "_total", name))
     out = [_result_rows(df.agg(*aggs), rows)] if rows else []
     for chk in own_unique:
         agg = df.agg(F.count(F.lit(1)).alias("_total"),
                      _distinct_with_null(F.col(chk.column)).alias("_d"))
-        out.append(_result_rows(agg, [(chk, F.col("_total"), F.col("_total") - F.col("_d"))]))
+        out.append(_result_rows(agg, [(chk, "_total", "_total - _d")]))
     return out
 
 
@@ -236,7 +245,7 @@ def orphan_keys(child: DataFrame, keys: Sequence[str], parent: DataFrame,
 def _referential(tables: dict[str, DataFrame], chk: Check) -> DataFrame:
     m = matched_keys(tables[chk.dataset], chk.keys, tables[chk.parent], chk.parent_keys)
     agg = m.agg(F.count(F.lit(1)).alias("_keys"), F.count_if(F.col("_orphan")).alias("_orphans"))
-    return _result_rows(agg, [(chk, F.col("_keys"), F.col("_orphans"))])
+    return _result_rows(agg, [(chk, "_keys", "_orphans")])
 
 
 def evaluate(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
