@@ -317,12 +317,14 @@ def gate(results: DataFrame | list, halt_on: Iterable[str] = ()) -> list:
     if unknown:
         log.warning("unknown check name(s) in halt list: %s", ", ".join(sorted(unknown)))
     failed = [r for r in rows if not r["passed"]]
+    def where(r) -> str:
+        return r["dataset"] + (f".{r['column_name']}" if r["column_name"] else "")
+
     for r in failed:
-        log.warning("[%s] %s failed on %s: %d violation(s) of %d", r["dataset"],
-                    r["check_name"], r["column_name"], r["violations"], r["total"])
+        log.warning("%s failed on %s: %d violation(s) of %d", r["check_name"], where(r),
+                    r["violations"], r["total"])
     stop = [r for r in failed if "all" in halt or r["check_name"] in halt]
     if stop:
-        detail = "; ".join(f"{r['check_name']} on {r['dataset']}.{r['column_name']}"
-                           for r in stop)
+        detail = "; ".join(f"{r['check_name']} on {where(r)}" for r in stop)
         raise RuntimeError(f"Data quality check(s) failed: {detail}")
     return rows
