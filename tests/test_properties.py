@@ -110,3 +110,64 @@ def test_best_salesperson_with_hot_caller(spark, seed):
         if ahead == 0:
             want.append((i, co, t, 1))
     assert got == sorted(want, key=lambda x: (x[0], x[1]))
+
+
+# ------------------------------------------------------------- R1, R2, R3
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.sampled_from([-5.0, 0.0, 1.5, 2.0, 9.25])),
+                min_size=0, max_size=30),
+       st.integers(1, 12))
+def test_top_sales_matches_sorted_list(spark, amounts, n):
+    calls = spark.createDataFrame([(i, "IT" if i % 4 else "HR") for i in range(len(amounts))],
+                                  "id long, area string")
+    details = spark.createDataFrame(list(enumerate(amounts)), "id long, sales_amount double")
+    got = [(r["id"], r["sales_amount"]) for r in
+           R.top_sales(calls, details, None, area="IT", n=n).collect()]
+    pool = [(i, 0.0 if a is None else a) for i, a in enumerate(amounts) if i % 4]
+    want = sorted(pool, key=lambda x: (-x[1], x[0]))[:n]
+    assert got == want
+
+
+_TOKENS = ["Main Street", "10", "1234 AB", "12345 ABC", "9876 ZZ", "Lindehof 5", "x", "",
+           "4321 xy", "55 AB"]
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.sampled_from(_TOKENS), min_size=0, max_size=4), min_size=1,
+                max_size=8))
+def test_address_split_matches_python_regex(spark, parts):
+    import re
+    addresses = [", ".join(p) for p in parts]
+    calls = spark.createDataFrame([(i, "Marketing") for i in range(len(addresses))],
+                                  "id long, area string")
+    details = spark.createDataFrame([(i, f"n{i}", a) for i, a in enumerate(addresses)],
+                                    "id long, name string, address string")
+    got = {r["name"]: (r["address"], r["zip_code"]) for r in
+           R.address_info(calls, details, None).collect()}
+    zip_re = r"\d{4} [A-Z]{2}"
+    for i, a in enumerate(addresses):
+        m = re.search(zip_re, a)
+        rest = re.sub(r"^,\s*|,\s*$", "", re.sub(zip_re + r",?\s*", "", a)).strip(" ")
+        assert got[f"n{i}"] == (rest, m.group(0) if m else ""), a
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C"]),
+                          st.one_of(st.none(), st.integers(-3, 50)),
+                          st.integers(0, 5), st.integers(0, 5)), min_size=1, max_size=25))
+def test_breakdown_matches_ratio_of_sums(spark, rows):
+    calls = spark.createDataFrame([(i, a, m, s) for i, (a, _, s, m) in enumerate(rows)],
+                                  "id long, area string, calls_made long, calls_successful long")
+    details = spark.createDataFrame([(i, None if v is None else v / 4) for i, (_, v, _, _) in
+                                     enumerate(rows)], "id long, sales_amount double")
+    got = {r["area"]: (r["total_sales"], r["success_rate"]) for r in
+           R.department_breakdown(calls, details, None, display=False).collect()}
+    for area in {a for a, *_ in rows}:
+        mine = [r for r in rows if r[0] == area]
+        amounts = [v / 4 for _, v, _, _ in mine if v is not None]
+        made = sum(m for *_, m in mine)
+        succ = sum(s for _, _, s, _ in mine)
+        total, rate = got[area]
+        assert (None if total is None else float(total)) == (sum(amounts) if amounts else None)
+        assert rate == (None if made == 0 else succ / made * 100)

@@ -197,7 +197,8 @@ def status_frame(spark: SparkSession, statuses: list[ReportStatus]) -> DataFrame
                                  STATUS_SCHEMA)
 
 
-# Names of the original transform functions, for callers switching over.
+# Names of the original decorator and transform functions, for callers switching over.
+transform = report
 transform_it_data = top_sales
 transform_marketing_address_info = address_info
 transform_department_breakdown = department_breakdown
