@@ -5,7 +5,7 @@ import os
 import pytest
 
 from veritab.__main__ import halt_set, parse
-from veritab.plans.pipeline import load_inputs, run_pipeline
+from veritab.plans.job import load_inputs, run_job
 from veritab.sources.adapters import employee_calls, employee_details, load_tpch, sales_details
 from veritab.sources.files import write_csv
 from veritab.sources.schemas import EMPLOYEE_CALLS, EMPLOYEE_DETAILS, SALES_DETAILS
@@ -25,9 +25,9 @@ def csv_inputs(spark, tmp_path_factory):
     return paths
 
 
-def test_pipeline_writes_all_reports(spark, csv_inputs, tmp_path):
+def test_job_writes_all_reports(spark, csv_inputs, tmp_path):
     tables = load_inputs(spark, csv_inputs)
-    result = run_pipeline(spark, tables, str(tmp_path), stage=True)
+    result = run_job(spark, tables, str(tmp_path), stage=True)
     assert result.ok
     assert [s.report for s in result.reports][:6] == [
         "it_data", "marketing_address_info", "department_breakdown", "top_3",
@@ -40,10 +40,10 @@ def test_pipeline_writes_all_reports(spark, csv_inputs, tmp_path):
     assert breakdown.count() == 5
 
 
-def test_pipeline_halts_before_reports(spark, csv_inputs, tmp_path):
+def test_job_halts_before_reports(spark, csv_inputs, tmp_path):
     tables = load_inputs(spark, csv_inputs)
     with pytest.raises(RuntimeError, match="address_format"):
-        run_pipeline(spark, tables, str(tmp_path), halt_on={"address_format", "row_count"})
+        run_job(spark, tables, str(tmp_path), halt_on={"address_format", "row_count"})
     assert os.listdir(str(tmp_path)) == []
 
 

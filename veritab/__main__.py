@@ -16,7 +16,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from veritab.operators.quality import CHECK_NAMES
-from veritab.plans.pipeline import load_inputs, run_pipeline
+from veritab.plans.job import load_inputs, run_job
 from veritab.sources.files import configure
 from veritab.sources.schemas import EMPLOYEE_CALLS, EMPLOYEE_DETAILS, SALES_DETAILS
 
@@ -48,7 +48,7 @@ def main(argv=None) -> int:
     tables = load_inputs(spark, {EMPLOYEE_CALLS: args.calls, EMPLOYEE_DETAILS: args.details,
                                  SALES_DETAILS: args.sales})
     try:
-        result = run_pipeline(spark, tables, args.output_dir, halt_set(args), stage=args.stage,
+        result = run_job(spark, tables, args.output_dir, halt_set(args), stage=args.stage,
                               single_file=args.single_file)
     except RuntimeError as exc:
         logging.getLogger("veritab").error("stopped: %s", exc)

@@ -1,6 +1,6 @@
 """Configured work: the reports and their runner, the quality suite, the job."""
 
-from veritab.plans.pipeline import PipelineResult, load_inputs, run_pipeline, stage_inputs
+from veritab.plans.job import JobResult, load_inputs, run_job, stage_inputs
 from veritab.plans.quality import (
     basic_checks,
     intermediate_checks,

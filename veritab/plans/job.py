@@ -17,7 +17,7 @@ log = logging.getLogger(__name__)
 
 
 @dataclass
-class PipelineResult:
+class JobResult:
     quality: list
     reports: list[ReportStatus]
 
@@ -40,9 +40,9 @@ def stage_inputs(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str,
     return {name: materialize(df, f"input-{name}") for name, df in tables.items()}
 
 
-def run_pipeline(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
+def run_job(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
                  halt_on: Iterable[str] = (), expected_rows: dict | None = None,
-                 stage: bool = False, single_file: bool = False) -> PipelineResult:
+                 stage: bool = False, single_file: bool = False) -> JobResult:
     """Quality suite (raises if a halting check fails, before any report is
     written), then all registered reports with per-report failure isolation."""
     if stage:
@@ -53,4 +53,4 @@ def run_pipeline(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str
     for s in statuses:
         if s.error:
             log.error(s.error)
-    return PipelineResult(quality, statuses)
+    return JobResult(quality, statuses)
