@@ -265,3 +265,28 @@ def test_names_with_quotes_survive_the_unpivot(spark):
     name = "O'Brien \\ sales"
     res = q.evaluate({name: _ints(spark, [1, None])}, q.non_null(name, ["id"])).collect()
     assert [(r["dataset"], r["column_name"], r["violations"]) for r in res] == [(name, "id", 1)]
+
+
+def test_referential_generic_path_for_other_key_types(spark):
+    import datetime as dt
+    d = [dt.date(2020, 1, i) for i in range(1, 4)]
+    tables = {"P": spark.createDataFrame([(d[0],), (d[1],)], "k date"),
+              "C": spark.createDataFrame([(d[0],), (d[2],), (d[2],), (None,)], "k date")}
+    row = q.evaluate(tables, q.referential("C", ["k"], "P", ["k"])).collect()[0]
+    assert (row["total"], row["violations"]) == (3, 2)
+    orphans = q.orphan_keys(tables["C"], ["k"], tables["P"], ["k"]).collect()
+    assert sorted((r["k"] is None, r["_rows"]) for r in orphans) == [(False, 2), (True, 1)]
+
+
+def test_referential_shuffles_each_side_once(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = {"P": _ints(spark, range(50)), "C": _ints(spark, [1, 2, 99, None] * 5, "caller_id")}
+        res = q.evaluate(tables, q.referential("C", ["caller_id"], "P", ["id"]))
+        plan = res._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2, plan
+        row = res.collect()[0]
+        assert (row["total"], row["violations"]) == (4, 2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

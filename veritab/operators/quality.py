@@ -211,6 +211,27 @@ def _null_safe_on(left: DataFrame, lkeys: Sequence[str], right: DataFrame,
                   [left[lk].eqNullSafe(right[rk]) for lk, rk in zip(lkeys, rkeys)])
 
 
+# Placeholder a null key is coalesced to; ``isnull`` travels next to it, so the
+# pair (coalesce(k, placeholder), isnull(k)) is equal exactly when the keys are
+# null-safe equal. Types without an entry use ``<=>`` directly.
+_PLACEHOLDERS = {"byte": 0, "short": 0, "integer": 0, "long": 0, "float": 0.0, "double": 0.0,
+                 "decimal": 0, "string": "", "boolean": False}
+
+
+def _null_safe_pairs(df: DataFrame, keys: Sequence[str]) -> list[tuple[Column, Column]] | None:
+    pairs = []
+    for k in keys:
+        kind = df.schema[k].dataType.typeName()
+        if kind not in _PLACEHOLDERS:
+            return None
+        pairs.append((F.coalesce(F.col(k), F.lit(_PLACEHOLDERS[kind])), F.col(k).isNull()))
+    return pairs
+
+
+def _same_types(a: DataFrame, akeys: Sequence[str], b: DataFrame, bkeys: Sequence[str]) -> bool:
+    return all(a.schema[x].dataType == b.schema[y].dataType for x, y in zip(akeys, bkeys))
+
+
 def child_key_counts(child: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct child keys with their row counts. Partial aggregation collapses
     a hot key inside each map task, so no task sees a key's rows whole."""
@@ -224,8 +245,32 @@ def matched_keys(child: DataFrame, keys: Sequence[str], parent: DataFrame,
 
     Aggregate first, then join: a left join of the aggregated child keys with
     the distinct parent keys. (Written as an anti-join, Catalyst would push
-    the join below the aggregate and shuffle every raw child row.)
+    the join below the aggregate and shuffle every raw child row.) Both sides
+    are grouped on the null-safe key pairs themselves, so the join reuses the
+    aggregates' partitioning instead of shuffling them a second time (safe
+    here: both sides hold one row per key, so neither side can be skewed).
     """
+    cp = _null_safe_pairs(child, keys)
+    pp = _null_safe_pairs(parent, parent_keys)
+    if cp is None or pp is None or not _same_types(child, keys, parent, parent_keys):
+        return _matched_keys_generic(child, keys, parent, parent_keys)
+    n = len(keys)
+    keyed = child.groupBy(*[c for i, (k, z) in enumerate(cp)
+                            for c in (k.alias(f"_k{i}"), z.alias(f"_z{i}"))]) \
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    pk = (parent.select(*[c for i, (k, z) in enumerate(pp)
+                          for c in (k.alias(f"_pk{i}"), z.alias(f"_pz{i}"))])
+          .distinct().withColumn("_hit", F.lit(True)))
+    on = reduce(lambda a, b: a & b,
+                [(keyed[f"_k{i}"] == pk[f"_pk{i}"]) & (keyed[f"_z{i}"] == pk[f"_pz{i}"])
+                 for i in range(n)])
+    joined = keyed.join(pk, on, "left")
+    restored = [F.when(keyed[f"_z{i}"], F.lit(None)).otherwise(keyed[f"_k{i}"])
+                .cast(child.schema[k].dataType).alias(k) for i, k in enumerate(keys)]
+    return joined.select(*restored, "_rows", F.col("_hit").isNull().alias("_orphan"))
+
+
+def _matched_keys_generic(child, keys, parent, parent_keys) -> DataFrame:
     pk = (parent.select([parent[p].alias(f"_p{i}") for i, p in enumerate(parent_keys)])
           .distinct().withColumn("_hit", F.lit(True)))
     keyed = child_key_counts(child, keys)
@@ -284,6 +329,10 @@ def violations(tables: dict[str, DataFrame], chk: Check) -> DataFrame:
     if chk.kind == "row_count":
         return df.limit(0)
     if chk.kind == "unique":
+        # The duplicated values are shuffled once more for the join on purpose:
+        # with both join inputs fresh from a shuffle, AQE can split a hot
+        # value's partition on the raw side (it cannot when one side is an
+        # aggregate that reuses its own partitioning).
         dup = (df.groupBy(chk.column).agg(F.count(F.lit(1)).alias("_n"))
                .filter(F.col("_n") > 1).select(F.col(chk.column).alias("_dup")))
         return df.join(dup, df[chk.column].eqNullSafe(dup["_dup"]), "left_semi")
