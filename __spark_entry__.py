@@ -11,32 +11,38 @@ views; the adapter views are repeated there as CTEs.
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.functions import money_text
-from veritab.functions.text import ADDRESS_PATTERN, EDGE_COMMAS, ZIP_PATTERN
-from veritab.operators import quality as q
-from veritab.operators.quality import orphan_keys, violations
-from veritab.plans import reports as R
-from veritab.plans.quality import standard_suite
-from veritab.sources.adapters import (
+# the package sits next to this file; make it importable however the file is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
+from veritab.functions import money_text  # noqa: E402
+from veritab.functions.text import ADDRESS_PATTERN, EDGE_COMMAS, ZIP_PATTERN  # noqa: E402
+from veritab.operators import quality as q  # noqa: E402
+from veritab.operators.quality import orphan_keys, violations  # noqa: E402
+from veritab.plans import reports as R  # noqa: E402
+from veritab.plans.quality import standard_suite  # noqa: E402
+from veritab.sources.adapters import (  # noqa: E402
     TPCH_SCHEMAS,
     employee_calls,
     employee_details,
     load_tpch,
     sales_details,
 )
-from veritab.sources.files import read_csv, shared_dir, write_csv
-from veritab.sources.schemas import (
+from veritab.sources.files import read_csv, shared_dir, write_csv  # noqa: E402
+from veritab.sources.schemas import (  # noqa: E402
     DETAILS_SCHEMA,
     EMPLOYEE_CALLS,
     EMPLOYEE_DETAILS,
     SALES_DETAILS,
 )
-from veritab.streaming import totals, watch
+from veritab.streaming import totals, watch  # noqa: E402
 
 # Report parameters that select real groups in the test data
 # (segments and nation names stand in for departments and countries).
