@@ -51,3 +51,14 @@ def test_cli_halt_set():
     args = parse(["a", "b", "c", "out", "--halt", " row_count, ,address_format"])
     assert halt_set(args) == {"row_count", "address_format"}
     assert len(halt_set(parse(["a", "b", "c", "out", "--halt-all"]))) == 7
+
+
+def test_cli_main_exit_codes(spark, csv_inputs, tmp_path):
+    from veritab.__main__ import main
+    args = [csv_inputs[EMPLOYEE_CALLS], csv_inputs[EMPLOYEE_DETAILS], csv_inputs[SALES_DETAILS]]
+    assert main(args + [str(tmp_path / "warn")]) == 0
+    assert os.path.exists(str(tmp_path / "warn" / "best_salesperson" / "_SUCCESS"))
+    assert main(args + [str(tmp_path / "halt"), "--halt", "address_format"]) == 1
+    assert not os.path.exists(str(tmp_path / "halt"))
+    # the session's SQL settings were applied
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
