@@ -1,7 +1,6 @@
 """Column functions: display formats, exact money sums, safe ratio, patterns."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from veritab.functions import (
     count_text,
