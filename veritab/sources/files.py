@@ -56,7 +56,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bo
 
     Parallel by default: every partition writes its own part file. ``single_file``
     adds one shuffle into a single partition, so the plan above it keeps its full
-    width (``coalesce(1)`` would pull the whole last stage into one task).
+    width (``coalesce(1)`` would pull the whole last stage into one task); the
+    write itself is then one task, so it is meant for small results (a top-N,
+    per-group totals), not for row-level outputs.
     """
     out = df.repartition(1) if single_file else df
     out.write.mode(mode).option("header", True).csv(path)
