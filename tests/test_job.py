@@ -62,3 +62,11 @@ def test_cli_main_exit_codes(spark, csv_inputs, tmp_path):
     assert not os.path.exists(str(tmp_path / "halt"))
     # the session's SQL settings were applied
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_cli_stages_csv_by_default():
+    from veritab.__main__ import should_stage
+    assert should_stage(parse(["a.csv", "b.csv", "c.csv", "out"]))
+    assert not should_stage(parse(["a.csv", "b.csv", "c.csv", "out", "--no-stage"]))
+    assert not should_stage(parse(["a", "b", "c", "out"]))
+    assert should_stage(parse(["a", "b", "c", "out", "--stage"]))
