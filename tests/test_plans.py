@@ -89,3 +89,12 @@ def test_scans_read_only_used_columns(spark):
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     customer = [s for s in schemas if "c_custkey" in s]
     assert customer and all("c_acctbal" not in s and "c_name" not in s for s in customer)
+
+
+def test_two_unique_columns_do_not_expand_rows(spark):
+    plan = _plan(E.q_dq_unique(spark, SF))
+    assert "Expand" not in plan
+    res = E.q_dq_unique(spark, SF).collect()
+    assert sorted((r["dataset"], r["column_name"]) for r in res) == [
+        ("Employee_calls", "id"), ("Employee_details", "id"), ("Employee_details", "name"),
+        ("Sales_details", "id")]
