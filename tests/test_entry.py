@@ -1,6 +1,5 @@
 """The driver contract: every query matches its DuckDB oracle on sf0.001."""
 
-
 import pytest
 
 import __spark_entry__ as E
