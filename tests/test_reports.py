@@ -304,3 +304,9 @@ def test_runner_single_file(spark, out_dir):
     R.run_reports(df, df, df, out_dir, {"one": lambda a, b, c: a}, single_file=True)
     parts = [f for f in os.listdir(f"{out_dir}/one") if f.startswith("part-")]
     assert len(parts) == 1
+
+
+def test_transforms_view_maps_function_to_folder():
+    view = R.transforms()
+    assert view[R.transform_it_data] == "it_data"
+    assert view[R.transform_best_salesperson_per_country] == "best_salesperson"

@@ -83,3 +83,12 @@ def test_csv_columns_matched_by_name(spark, out_dir):
     import pytest
     with pytest.raises(ValueError, match="address"):
         read_csv(spark, missing, DETAILS_SCHEMA)
+
+
+def test_original_io_names(spark, out_dir):
+    from veritab.sources.files import read_csv_with_header, write_df_to_csv
+    path = os.path.join(out_dir, "orig")
+    write_df_to_csv(spark.range(30).repartition(3).selectExpr("id", "id * 1.5 AS x"), path)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 1
+    back = read_csv_with_header(spark, path)
+    assert dict(back.dtypes) == {"id": "int", "x": "double"} and back.count() == 30

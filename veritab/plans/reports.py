@@ -35,6 +35,11 @@ Report = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
 REPORTS: dict[str, Report] = {}
 
 
+def transforms() -> dict[Report, str]:
+    """The registry the other way round (function -> folder), as the original exposed it."""
+    return {fn: folder for folder, fn in REPORTS.items()}
+
+
 def report(folder: str) -> Callable[[Report], Report]:
     """Register a report under its output folder; registration order is run order."""
     def register(fn: Report) -> Report:

@@ -79,6 +79,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_csv_with_header(spark: SparkSession, path: str) -> DataFrame:
+    """The original reader's behaviour (header, inferred schema), for callers
+    switching over; prefer ``read_csv`` with a schema."""
+    return read_csv(spark, path, infer=True)
+
+
+def write_df_to_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The original writer's behaviour (one CSV part file), for small results."""
+    write_csv(df, path, mode=mode, single_file=True)
+
+
 # Settings the original job set on its session; AQE re-sizes shuffles at run time,
 # so the shuffle width is left to the caller / cluster defaults.
 SESSION_SETTINGS = {
