@@ -250,33 +250,36 @@ def matched_keys(child: DataFrame, keys: Sequence[str], parent: DataFrame,
     aggregates' partitioning instead of shuffling them a second time (safe
     here: both sides hold one row per key, so neither side can be skewed).
     """
+    joined, restored = _keyed_join(child, keys, parent, parent_keys)
+    return joined.select(*restored, "_rows", F.col("_hit").isNull().alias("_orphan"))
+
+
+def _keyed_join(child, keys, parent, parent_keys) -> tuple[DataFrame, list[Column]]:
+    """The left join behind ``matched_keys`` and the columns restoring the keys."""
     cp = _null_safe_pairs(child, keys)
     pp = _null_safe_pairs(parent, parent_keys)
     if cp is None or pp is None or not _same_types(child, keys, parent, parent_keys):
-        return _matched_keys_generic(child, keys, parent, parent_keys)
-    n = len(keys)
+        return _keyed_join_generic(child, keys, parent, parent_keys)
     keyed = child.groupBy(*[c for i, (k, z) in enumerate(cp)
                             for c in (k.alias(f"_k{i}"), z.alias(f"_z{i}"))]) \
         .agg(F.count(F.lit(1)).alias("_rows"))
-    pk = (parent.select(*[c for i, (k, z) in enumerate(pp)
-                          for c in (k.alias(f"_pk{i}"), z.alias(f"_pz{i}"))])
-          .distinct().withColumn("_hit", F.lit(True)))
+    pk = parent.groupBy(*[c for i, (k, z) in enumerate(pp)
+                          for c in (k.alias(f"_pk{i}"), z.alias(f"_pz{i}"))]) \
+        .agg(F.max(F.lit(True)).alias("_hit"))
     on = reduce(lambda a, b: a & b,
                 [(keyed[f"_k{i}"] == pk[f"_pk{i}"]) & (keyed[f"_z{i}"] == pk[f"_pz{i}"])
-                 for i in range(n)])
-    joined = keyed.join(pk, on, "left")
+                 for i in range(len(keys))])
     restored = [F.when(keyed[f"_z{i}"], F.lit(None)).otherwise(keyed[f"_k{i}"])
                 .cast(child.schema[k].dataType).alias(k) for i, k in enumerate(keys)]
-    return joined.select(*restored, "_rows", F.col("_hit").isNull().alias("_orphan"))
+    return keyed.join(pk, on, "left"), restored
 
 
-def _matched_keys_generic(child, keys, parent, parent_keys) -> DataFrame:
-    pk = (parent.select([parent[p].alias(f"_p{i}") for i, p in enumerate(parent_keys)])
-          .distinct().withColumn("_hit", F.lit(True)))
+def _keyed_join_generic(child, keys, parent, parent_keys) -> tuple[DataFrame, list[Column]]:
+    pk = parent.groupBy(*[parent[p].alias(f"_p{i}") for i, p in enumerate(parent_keys)]) \
+        .agg(F.max(F.lit(True)).alias("_hit"))
     keyed = child_key_counts(child, keys)
-    joined = keyed.join(pk, _null_safe_on(keyed, keys, pk, pk.columns[:-1]), "left")
-    return joined.select(*[keyed[k] for k in keys], "_rows",
-                         F.col("_hit").isNull().alias("_orphan"))
+    on = _null_safe_on(keyed, keys, pk, [f"_p{i}" for i in range(len(parent_keys))])
+    return keyed.join(pk, on, "left"), [keyed[k] for k in keys]
 
 
 def orphan_keys(child: DataFrame, keys: Sequence[str], parent: DataFrame,
@@ -288,8 +291,9 @@ def orphan_keys(child: DataFrame, keys: Sequence[str], parent: DataFrame,
 
 
 def _referential(tables: dict[str, DataFrame], chk: Check) -> DataFrame:
-    m = matched_keys(tables[chk.dataset], chk.keys, tables[chk.parent], chk.parent_keys)
-    agg = m.agg(F.count(F.lit(1)).alias("_keys"), F.count_if(F.col("_orphan")).alias("_orphans"))
+    joined, _ = _keyed_join(tables[chk.dataset], chk.keys, tables[chk.parent], chk.parent_keys)
+    agg = joined.agg(F.count(F.lit(1)).alias("_keys"),
+                     F.count_if(F.col("_hit").isNull()).alias("_orphans"))
     return _result_rows(agg, [(chk, "_keys", "_orphans")])
 
 
