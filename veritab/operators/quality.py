@@ -316,7 +316,8 @@ def evaluate(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame
         parts.extend(_referential(tables, c) for c in group if c.kind == "referential")
     if not parts:
         raise ValueError("no checks given")
-    return reduce(DataFrame.unionByName, parts)
+    # every part comes from ``_result_rows``: same columns in the same order
+    return reduce(DataFrame.union, parts)
 
 
 # ----------------------------------------------------------- offending rows
