@@ -171,3 +171,54 @@ def test_breakdown_matches_ratio_of_sums(spark, rows):
         total, rate = got[area]
         assert (None if total is None else float(total)) == (sum(amounts) if amounts else None)
         assert rate == (None if made == 0 else succ / made * 100)
+
+
+# ------------------------------------------------------------ quality suite
+
+_ADDRESSES = [None, "", "Main Street, 10, 1234 AB", "Main Street 10", "Oak-Avenue, 5, 4321 XY",
+              "Main Street, 10, 1234 ab"]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)),
+                          st.one_of(st.none(), st.integers(-2, 3)),
+                          st.one_of(st.none(), st.integers(-1, 4)),
+                          st.sampled_from(_ADDRESSES)), min_size=0, max_size=25),
+       st.lists(st.one_of(st.none(), st.integers(0, 8)), min_size=0, max_size=8))
+def test_quality_evaluator_matches_python(spark, rows, parent_ids):
+    import re
+    from veritab.operators import quality as q
+    child = spark.createDataFrame(
+        rows, "id long, calls_made long, calls_successful long, address string")
+    parent = spark.createDataFrame([(p,) for p in parent_ids], "pid long")
+    checks = (q.row_count("C", 7) + q.unique("C", ["id", "address"]) + q.non_null("C", ["id"])
+              + q.non_negative("C", ["calls_made", "calls_successful"])
+              + q.calls_successful_le_made("C") + q.pattern("C", "address")
+              + q.referential("C", ["id"], "P", ["pid"]))
+    got = {(r["check_name"], r["column_name"]): (r["total"], r["violations"], r["passed"])
+           for r in q.evaluate({"C": child, "P": parent}, checks).collect()}
+
+    n = len(rows)
+    ids = [r[0] for r in rows]
+    addr_re = re.compile(r"^[A-Za-z0-9-\s]+, \d+, \d{4} [A-Z]{2}$")
+
+    def triple(total, bad):
+        return (total, bad, bad == 0)
+
+    want = {
+        ("row_count", None): triple(n, abs(n - 7)),
+        ("col_unique", "id"): triple(n, n - len(set(ids))),
+        ("col_unique", "address"): triple(n, n - len({r[3] for r in rows})),
+        ("col_non_null", "id"): triple(n, sum(i is None for i in ids)),
+        ("col_non_negative", "calls_made"): triple(n, sum(r[1] is not None and r[1] < 0
+                                                          for r in rows)),
+        ("col_non_negative", "calls_successful"): triple(n, sum(r[2] is not None and r[2] < 0
+                                                                for r in rows)),
+        ("calls_successful_gt_made", "calls_successful"): triple(
+            n, sum(r[1] is not None and r[2] is not None and r[2] > r[1] for r in rows)),
+        ("address_format", "address"): triple(
+            n, sum(a is None or not addr_re.match(a) for a in (r[3] for r in rows))),
+        ("referential_integrity", "id"): triple(
+            len(set(ids)), len(set(ids) - set(parent_ids))),
+    }
+    assert got == want
