@@ -56,3 +56,7 @@ def test_restart_resumes_from_checkpoint(spark, tmp_path):
     run_once()  # only the new file is checked
     row = totals(spark, results).collect()[0]
     assert (row["total"], row["violations"], row["batches"]) == (3, 1, 2)
+
+
+def test_totals_before_any_batch_is_empty(spark, tmp_path):
+    assert totals(spark, str(tmp_path / "nothing-yet")).count() == 0

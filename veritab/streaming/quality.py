@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,9 +60,21 @@ def watch(stream: DataFrame, dataset: str, checks: Sequence[Check], results_path
     return writer.start()
 
 
+_RESULT_SCHEMA = T.StructType([
+    T.StructField("dataset", T.StringType()), T.StructField("check_name", T.StringType()),
+    T.StructField("column_name", T.StringType()), T.StructField("total", T.LongType()),
+    T.StructField("violations", T.LongType()), T.StructField("passed", T.BooleanType()),
+])
+
+
 def totals(spark: SparkSession, results_path: str) -> DataFrame:
-    """Violations and rows per check summed over every batch written so far."""
-    return (spark.read.parquet(results_path)
+    """Violations and rows per check summed over every batch written so far
+    (empty before the first batch)."""
+    try:
+        results = spark.read.parquet(results_path)
+    except AnalysisException:  # no batch has run yet
+        results = spark.createDataFrame([], _RESULT_SCHEMA)
+    return (results
             .groupBy("dataset", "check_name", "column_name")
             .agg(F.sum("total").alias("total"), F.sum("violations").alias("violations"),
                  F.count(F.lit(1)).alias("batches"))
