@@ -92,3 +92,15 @@ def test_original_io_names(spark, out_dir):
     assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 1
     back = read_csv_with_header(spark, path)
     assert dict(back.dtypes) == {"id": "int", "x": "double"} and back.count() == 30
+
+
+def test_configure_applies_settings_and_overrides(spark):
+    from veritab.sources.files import SESSION_SETTINGS, configure
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        configure(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB"})
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "256MB"
+        for key in set(SESSION_SETTINGS) - {"spark.sql.adaptive.advisoryPartitionSizeInBytes"}:
+            assert spark.conf.get(key) == SESSION_SETTINGS[key]
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
