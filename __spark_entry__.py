@@ -44,6 +44,11 @@ from veritab.sources.schemas import (  # noqa: E402
 )
 from veritab.streaming import totals, watch  # noqa: E402
 
+try:  # the corpus operators are an optional subpackage
+    from veritab.llm import queries as corpus  # noqa: E402
+except ImportError:
+    corpus = None
+
 # Report parameters that select real groups in the test data
 # (segments and nation names stand in for departments and countries).
 TOP_AREA = "MACHINERY"
@@ -320,7 +325,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | (corpus.QUERIES if corpus else {})
 
 
 # ================================================================== oracle SQL
@@ -592,7 +597,8 @@ SELECT * FROM (VALUES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _VIEWS + v for k, v in _ORACLE_BODIES.items()}
+    return ({k: _VIEWS + v for k, v in _ORACLE_BODIES.items()}
+            | (corpus.ORACLE_SQL if corpus else {}))
 
 
 if __name__ == "__main__":  # manual smoke run
