@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,3 +84,59 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return (cur.select(F.col("hi").alias("id"), F.col("lo").alias("component_id"))
             .unionByName(cur.select(F.col("lo").alias("id"), F.col("lo").alias("component_id"))
                          .distinct()))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers (once per application),
+    so a caller need not have it on the cluster's path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(root):
+        name = os.path.basename(root)
+        archive = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, files in os.walk(root):
+                for f in sorted(files):
+                    if f.endswith(".py"):
+                        path = os.path.join(folder, f)
+                        z.write(path, os.path.join(name, os.path.relpath(path, root)))
+        sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_texts(df: DataFrame, make, schema: str, keep=("doc_id",), text: str = "text",
+              extra=()) -> DataFrame:
+    """Run a text function over every row in Arrow batches.
+
+    ``make()`` is called once in each task and returns a function from a list of whole
+    texts (null as '') - and a list for each column of ``extra`` - to a list for each
+    field of ``schema``. The ``keep`` columns pass through as they are."""
+    from pyspark.sql import types as T
+
+    added = T.StructType.fromDDL(schema)
+    kept = T.StructType([df.schema[c] for c in keep])
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        fields = to_arrow_schema(T.StructType(kept.fields + added.fields))
+        work = make()
+        for batch in batches:
+            texts = ["" if x is None else x for x in batch.column(text).to_pylist()]
+            got = work(texts, *[batch.column(c).to_pylist() for c in extra])
+            arrays = [batch.column(c) for c in keep]
+            arrays += [x if isinstance(x, pa.Array) else pa.array(x, type=f.type)
+                       for x, f in zip(got, list(fields)[len(keep):])]
+            yield pa.RecordBatch.from_arrays(
+                [a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, fields)],
+                schema=fields)
+
+    ship(df.sparkSession)
+    columns = list(dict.fromkeys([*keep, text, *extra]))
+    return df.select(*columns).mapInArrow(run, T.StructType(kept.fields + added.fields))

@@ -6,21 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritab.llm import fingerprint, mixing
+from veritab.llm import fingerprint, langid, mixing, secret_scan
 from veritab.llm.common import table
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.learn(docs))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     weight = mixing.quality_weight(table(spark, sf_dir, "labels"))
     return mixing.mix(table(spark, sf_dir, "documents"), weight).drop("text_hash")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_langid": op4_langid,
     "op5_mixing": op5_mixing,
+    "op8_secrets": op8_secrets,
     "op10_fingerprint": op10_fingerprint,
 }
 
