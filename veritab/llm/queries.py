@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritab.llm import fingerprint, langid, mixing, secret_scan
+from veritab.llm import fingerprint, langid, mixing, secret_scan, toxicity
 from veritab.llm.common import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.learn(docs))
@@ -29,6 +34,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op4_langid": op4_langid,
     "op5_mixing": op5_mixing,
     "op8_secrets": op8_secrets,
