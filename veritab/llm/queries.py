@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritab.llm import fingerprint, langid, mixing, secret_scan, toxicity
+from veritab.llm import fingerprint, langid, mixing, secret_scan, token_store, toxicity
 from veritab.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weight).drop("text_hash")
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.digest_report(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_langid": op4_langid,
     "op5_mixing": op5_mixing,
+    "op7_token_store": op7_token_store,
     "op8_secrets": op8_secrets,
     "op10_fingerprint": op10_fingerprint,
 }
