@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritab.llm import fingerprint, langid, mixing, secret_scan, token_store, toxicity
+from veritab.llm import fingerprint, html_main, langid, mixing, secret_scan, token_store, toxicity
 from veritab.llm.common import table
 
 
@@ -33,6 +33,11 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_main.extract(pages, html_main.learn(pages))
+
+
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_report(table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op7_token_store": op7_token_store,
     "op8_secrets": op8_secrets,
+    "op9_html_main": op9_html_main,
     "op10_fingerprint": op10_fingerprint,
 }
 
