@@ -140,3 +140,18 @@ def map_texts(df: DataFrame, make, schema: str, keep=("doc_id",), text: str = "t
     ship(df.sparkSession)
     columns = list(dict.fromkeys([*keep, text, *extra]))
     return df.select(*columns).mapInArrow(run, T.StructType(kept.fields + added.fields))
+
+
+def chunks(texts: list[str], chars: int = 4_000_000):
+    """Lists of neighbouring texts of about ``chars`` characters; a longer text is a
+    list of its own. Bounds what a task holds of words at a time."""
+    held: list[str] = []
+    size = 0
+    for t in texts:
+        if held and size + len(t) > chars:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t)
+    if held:
+        yield held

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.llm.common import map_texts, ship
+from veritab.llm.common import chunks, map_texts, ship
 from veritab.sources.files import materialize, shared_dir
 
 MAGIC = b"TIDS0001"
@@ -171,8 +171,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None) -> str
 
         def work(texts):
             sizes, frames = [], []
-            for lo in range(0, len(texts), 500):
-                for ids in encode(texts[lo:lo + 500]):
+            for some in chunks(texts):
+                for ids in encode(some):
                     sizes.append(len(ids) // 4)
                     frames.append(press.compress(ids))
             return [sizes, frames]

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import held_out, map_texts
+from veritab.llm.common import chunks, held_out, map_texts
 
 SAMPLE_TOXIC = 1000      # bound: toxic documents that are learned from
 SAMPLE_CLEAN = 2000      # bound: other documents that are learned from
@@ -314,8 +314,8 @@ def score(docs: DataFrame, model: Field, keep=("doc_id",)) -> DataFrame:
 
         def work(texts):
             got = []
-            for lo in range(0, len(texts), 2000):
-                got += tag(texts[lo:lo + 2000])
+            for some in chunks(texts):
+                got += tag(some)
             return [[g[0] for g in got],
                     [[{"start": a, "end": b} for a, b in g[1]] for g in got]]
         return work
