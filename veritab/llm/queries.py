@@ -6,15 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritab.llm import fingerprint, html_main, langid, mixing, secret_scan, token_store, toxicity
+from veritab.llm import (embed_dedup, fingerprint, html_main, langid, mixing, pieces, secret_scan,
+                         token_store, toxicity)
 from veritab.llm.common import table
 
 
+def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.predict(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.learn(docs))
@@ -43,7 +52,9 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pieces": op1_pieces,
     "op2_toxicity": op2_toxicity,
+    "op3_embed_dedup": op3_embed_dedup,
     "op4_langid": op4_langid,
     "op5_mixing": op5_mixing,
     "op7_token_store": op7_token_store,
