@@ -48,6 +48,21 @@ def bounded_sample(df: DataFrame, keys: list[str], per_key: int, order: list) ->
             .where(F.col("_rank") <= per_key).drop("_rank"))
 
 
+def aliased(df: DataFrame):
+    """``(renamed, names, back)``: ``df`` with its columns named by place, so that columns
+    an operator adds never clash with any of them; where each name went (the first
+    of that name); and a function that selects the columns under their names again."""
+    plain = [f"_{i}" for i in range(len(df.columns))]
+    names: dict[str, str] = {}
+    for name, alias in zip(df.columns, plain):
+        names.setdefault(name, alias)
+
+    def back(result: DataFrame, **replaced) -> DataFrame:
+        return result.select(*[replaced.get(n, F.col(p)).alias(n) for n, p in zip(df.columns, plain)])
+
+    return df.toDF(*plain), names, back
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges(a, b)`` of longs.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.llm.common import WORD_PATTERN
+from veritab.llm.common import WORD_PATTERN, aliased
 from veritab.sources.files import materialize
 
 WEIGHTS = (5, 2, 1)   # by source in code point order, null last, repeating
@@ -133,11 +133,9 @@ def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     times). Documents without words take no budget and stay once."""
     times = (mixed.groupBy("doc_id", "text_hash")
              .agg(F.max(F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size")))
-                        .otherwise(1)).cast("int").alias("_times")))
-    keyed = docs.withColumn("_hash", F.xxhash64("text"))
-    joined = keyed.alias("d").join(
-        times.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))
-        & (F.col("d._hash") == F.col("m.text_hash")))
-    return (joined.where("_times > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .select(*[F.col(f"d.`{c}`") for c in docs.columns]))
+                        .otherwise(1)).cast("int").alias("times")))
+    rows, at, back = aliased(docs)
+    joined = rows.withColumn("hash", F.xxhash64(at["text"])).join(
+        times, F.col(at["doc_id"]).eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")))
+    return back(joined.where("times > 0")
+                .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))))

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritab.llm import (embed_dedup, fingerprint, html_main, langid, mixing, pieces, secret_scan,
-                         token_store, toxicity)
+from veritab.llm import (embed_dedup, fingerprint, html_main, jaccard, langid, mixing, pieces,
+                         secret_scan, token_store, toxicity)
 from veritab.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weight).drop("text_hash")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest_report(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embed_dedup": op3_embed_dedup,
     "op4_langid": op4_langid,
     "op5_mixing": op5_mixing,
+    "op6_jaccard": op6_jaccard,
     "op7_token_store": op7_token_store,
     "op8_secrets": op8_secrets,
     "op9_html_main": op9_html_main,

@@ -19,7 +19,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import map_texts
+from veritab.llm.common import aliased, map_texts
 
 # The base kinds in their listed order.
 ASSIGN = r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -187,11 +187,10 @@ def redact(docs: DataFrame) -> DataFrame:
             return "".join([*out, text[at:]])
         return lambda texts: [[clean(t) for t in texts]]
 
-    columns = docs.columns
-    done = map_texts(docs, make, "_clean string", keep=tuple(columns))
-    changed = F.col("_clean").isNotNull()
-    new = {"text": F.coalesce("_clean", "text")}
-    if "n_chars" in columns:
-        new["n_chars"] = F.when(changed, F.char_length("_clean")).otherwise(
-            F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return done.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
+    rows, at, back = aliased(docs)
+    done = map_texts(rows, make, "clean string", keep=tuple(rows.columns), text=at["text"])
+    new = {"text": F.coalesce("clean", at["text"])}
+    if "n_chars" in at:
+        new["n_chars"] = F.when(F.col("clean").isNotNull(), F.char_length("clean")).otherwise(
+            F.col(at["n_chars"])).cast(docs.schema["n_chars"].dataType)
+    return back(done, **new)

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.common import chunks, held_out, map_texts
+from veritab.llm.common import aliased, chunks, held_out, map_texts
 
 SAMPLE_TOXIC = 1000      # bound: toxic documents that are learned from
 SAMPLE_CLEAN = 2000      # bound: other documents that are learned from
@@ -303,7 +303,7 @@ class Tagger:
 SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
-def score(docs: DataFrame, model: Field, keep=("doc_id",)) -> DataFrame:
+def score(docs: DataFrame, model: Field, keep=("doc_id",), text: str = "text") -> DataFrame:
     """The ``keep`` columns, ``score`` (from the words' marginals) and ``spans``.
 
     Null and empty texts, and texts without words, get the score of a text without any
@@ -320,7 +320,7 @@ def score(docs: DataFrame, model: Field, keep=("doc_id",)) -> DataFrame:
                     [[{"start": a, "end": b} for a, b in g[1]] for g in got]]
         return work
 
-    return map_texts(docs, make, f"score double, spans {SPANS}", keep=keep)
+    return map_texts(docs, make, f"score double, spans {SPANS}", keep=keep, text=text)
 
 
 def predict(docs: DataFrame, model: Field, threshold: float = THRESHOLD) -> DataFrame:
@@ -333,6 +333,5 @@ def predict(docs: DataFrame, model: Field, threshold: float = THRESHOLD) -> Data
 
 def keep_clean(docs: DataFrame, model: Field, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more."""
-    columns = docs.columns
-    got = score(docs, model, keep=tuple(columns))
-    return got.where(F.col("score") < threshold).select(*[F.col(f"`{c}`") for c in columns])
+    rows, at, back = aliased(docs)
+    return back(score(rows, model, keep=tuple(rows.columns), text=at["text"]).where(F.col("score") < threshold))
