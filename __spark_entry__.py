@@ -44,10 +44,14 @@ from veritab.sources.schemas import (  # noqa: E402
 )
 from veritab.streaming import totals, watch  # noqa: E402
 
-try:  # the corpus operators are an optional subpackage
+try:  # the corpus operators and their pipeline are optional
+    import corpus_pipeline  # noqa: E402
     from veritab.llm import queries as corpus  # noqa: E402
 except ImportError:
-    corpus = None
+    CORPUS, CORPUS_SQL = {}, {}
+else:
+    CORPUS = corpus.QUERIES | {"pipeline": corpus_pipeline.run}
+    CORPUS_SQL = corpus.ORACLE_SQL
 
 # Report parameters that select real groups in the test data
 # (segments and nation names stand in for departments and countries).
@@ -325,7 +329,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _QUERIES | (corpus.QUERIES if corpus else {})
+    return _QUERIES | CORPUS
 
 
 # ================================================================== oracle SQL
@@ -598,7 +602,7 @@ SELECT * FROM (VALUES
 
 def oracle_sql() -> dict[str, str]:
     return ({k: _VIEWS + v for k, v in _ORACLE_BODIES.items()}
-            | (corpus.ORACLE_SQL if corpus else {}))
+            | CORPUS_SQL)
 
 
 if __name__ == "__main__":  # manual smoke run
