@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # the package sits next to this file; make it importable however the file is loaded
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -23,7 +24,6 @@ if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
 from veritab.functions import money_text  # noqa: E402
-from veritab.functions.text import ADDRESS_PATTERN, EDGE_COMMAS, ZIP_PATTERN  # noqa: E402
 from veritab.operators import quality as q  # noqa: E402
 from veritab.operators.quality import orphan_keys, violations  # noqa: E402
 from veritab.plans import reports as R  # noqa: E402
@@ -35,12 +35,19 @@ from veritab.sources.adapters import (  # noqa: E402
     load_tpch,
     sales_details,
 )
-from veritab.sources.files import read_csv, shared_dir, write_csv  # noqa: E402
+from veritab.sources.files import (  # noqa: E402
+    materialize,
+    read_csv,
+    remove_dir,
+    shared_dir,
+    write_csv,
+)
 from veritab.sources.schemas import (  # noqa: E402
     DETAILS_SCHEMA,
     EMPLOYEE_CALLS,
     EMPLOYEE_DETAILS,
     SALES_DETAILS,
+    SALES_SCHEMA,
 )
 from veritab.streaming import totals, watch  # noqa: E402
 
@@ -113,8 +120,9 @@ def q_address_split(spark, sf_dir):
 
 def q_area_breakdown(spark, sf_dir):
     c, d = _cd(spark, sf_dir)
-    out = R.department_breakdown(c, d, None, display=False)
-    return out.withColumn("total_sales", F.col("total_sales").cast("double"))
+    # rounded to compare: the total's last digits depend on the order of addition in SQL
+    return (R.department_breakdown(c, d, None, display=False)
+            .withColumn("total_sales", F.round("total_sales", 4)))
 
 
 def q_area_breakdown_formatted(spark, sf_dir):
@@ -122,6 +130,12 @@ def q_area_breakdown_formatted(spark, sf_dir):
     return R.department_breakdown(c, d, None)
 
 
+def q_area_breakdown_thirds(spark, sf_dir):
+    """Totals of amounts with more than two decimals."""
+    c, d = _cd(spark, sf_dir)
+    return R.department_breakdown(c, d.withColumn("sales_amount", F.col("sales_amount") / 3), None)
+
+
 def q_top3_performers(spark, sf_dir):
     c, d = _cd(spark, sf_dir)
     return R.top_performers(c, d, None)
@@ -168,7 +182,19 @@ _DQ_SALES_COLS = ["id", "caller_id", "age", "quantity"]
 
 
 def q_dq_report(spark, sf_dir):
-    return q.evaluate(_tables(spark, sf_dir, _DQ_SALES_COLS), standard_suite())
+    """The whole suite. The sales view is written once with the four columns the checks
+    read: its own checks and the caller keys would each join lineitem and orders."""
+    t = _tables(spark, sf_dir, _DQ_SALES_COLS)
+    t[SALES_DETAILS] = materialize(t[SALES_DETAILS], "dq-sales")
+    return q.evaluate(t, standard_suite())
+
+
+def q_dq_halt(spark, sf_dir):
+    """Which failed checks would stop a run under a given halt list."""
+    t = _tables(spark, sf_dir)
+    checks = [c for c in standard_suite() if c.dataset != SALES_DETAILS] + q.rule(
+        EMPLOYEE_CALLS, "zero_calls", F.col("calls_made") == 0, ["calls_made"], "calls_made")
+    return q.halting(q.evaluate(t, checks), ["address_format", " zero_calls", "col_unique", ""])
 
 
 def q_dq_basic_sales(spark, sf_dir):
@@ -231,7 +257,7 @@ def q_dq_stream(spark, sf_dir):
     stream-static join with nation; row-level checks run on every batch and
     are summed over batches."""
     customers = (spark.readStream.schema(TPCH_SCHEMAS["customer"])
-                 .parquet(os.path.join(sf_dir, "customer*.parquet")))
+                 .parquet(os.path.join(sf_dir, "customer.parque[t]")))  # a glob: a file, too, is found by its folder
     details = employee_details({"customer": customers, "nation": load_tpch(spark, sf_dir)["nation"]})
     checks = (q.non_null(EMPLOYEE_DETAILS, ["id"])
               + q.non_negative(EMPLOYEE_DETAILS, ["sales_amount"])
@@ -249,12 +275,20 @@ def _rows(spark, sf_dir, check, sales_columns=None):
 
 
 def q_dq_duplicate_rows(spark, sf_dir):
-    return _rows(spark, sf_dir, q.unique(SALES_DETAILS, ["id"])[0])
+    """The repeated lines are found on lineitem and orders alone; the dimensions are
+    joined to what is left."""
+    t = load_tpch(spark, sf_dir)
+    chk = q.unique(SALES_DETAILS, ["id"])[0]
+    ids = sales_details(t, ["id"])
+    return sales_details(t, keep=lambda rows: violations({SALES_DETAILS: rows}, chk, keys=ids))
 
 
 def q_dq_orphan_rows(spark, sf_dir):
-    return _rows(spark, sf_dir,
-                 q.referential(SALES_DETAILS, ["caller_id"], EMPLOYEE_CALLS, ["id"])[0])
+    t = load_tpch(spark, sf_dir)
+    chk = q.referential(SALES_DETAILS, ["caller_id"], EMPLOYEE_CALLS, ["id"])[0]
+    known = t["customer"].select(F.col("c_custkey").alias("id"))   # the calls view's ids
+    return sales_details(t, keep=lambda rows: violations(
+        {SALES_DETAILS: rows, EMPLOYEE_CALLS: known}, chk))
 
 
 def q_dq_negative_rows(spark, sf_dir):
@@ -274,26 +308,59 @@ def q_csv_round_trip(spark, sf_dir):
     return read_csv(spark, path, DETAILS_SCHEMA)
 
 
+def q_csv_malformed(spark, sf_dir):
+    """Order lines written as CSV with broken cells - no number, a fraction, a whole
+    number written as ``3.0`` - and the columns in another order, read back and checked."""
+    line = F.col("l_linenumber")
+    quantity = F.col("l_quantity").cast("int").cast("string")
+    lines = load_tpch(spark, sf_dir)["lineitem"].select(
+        F.when(line == 7, "n/a").when(line == 6, "2.5")
+        .when(line == 3, F.concat(quantity, F.lit(".0"))).otherwise(quantity).alias("quantity"),
+        F.col("l_orderkey").alias("caller_id"), (F.col("l_orderkey") * 10 + line).alias("id"))
+    path = shared_dir(spark, "csv-malformed")
+    write_csv(lines, path)
+    schema = T.StructType([f for f in SALES_SCHEMA if f.name in lines.columns])
+    table = {SALES_DETAILS: read_csv(spark, path, schema, malformed=True)}
+    return q.evaluate(table, q.readable(SALES_DETAILS) + q.non_null(SALES_DETAILS, ["quantity", "id"])
+                      + q.rule(SALES_DETAILS, "large", F.col("quantity") > 25, ["quantity"], "quantity"))
+
+
+BROKEN = "broken_report"
+
+
 def q_report_status(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    c, d, s = t[EMPLOYEE_CALLS], t[EMPLOYEE_DETAILS], t[SALES_DETAILS]
-    runs = {
-        "it_data": lambda a, b, x: R.top_sales(a, b, x, area=TOP_AREA),
-        "marketing_address_info": lambda a, b, x: R.address_info(a, b, x, area=SPLIT_AREA),
-        "department_breakdown": R.department_breakdown,
-        "top_3": R.top_performers,
-        "top_3_most_sold_per_department_netherlands":
-            lambda a, b, x: R.top_products(a, b, x, country=COUNTRY),
-        "best_salesperson": R.best_salesperson,
-    }
+    """Every registered report and one that fails, through the runner: status, rows read
+    back from what was written, and whether the error names the report."""
+    t = load_tpch(spark, sf_dir)
+    bound = {"it_data": {"area": TOP_AREA}, "marketing_address_info": {"area": SPLIT_AREA},
+             "top_3_most_sold_per_department_netherlands": {"country": COUNTRY}}
+    lines = {"top_3_most_sold_per_department_netherlands": sales_details(t, _R5_COLS),
+             "best_salesperson": sales_details(t, _R6_COLS)}
+
+    def bind(folder, fn):
+        return lambda calls, details, _: fn(calls, details, lines.get(folder), **bound.get(folder, {}))
+
+    runs = {BROKEN: lambda calls, details, _: calls.select("no_such_column")}
+    runs |= {folder: bind(folder, fn) for folder, fn in R.REPORTS.items()}
     out = shared_dir(spark, "reports")
-    return R.status_frame(spark, R.run_reports(c, d, s, out, runs))
+    rows = []
+    try:
+        for s in R.run_reports(employee_calls(t), employee_details(t), None, out, runs):
+            n = None
+            if s.status == R.SUCCESS:
+                n = spark.read.option("header", True).csv(os.path.join(out, s.report)).count()
+            rows.append((s.report, s.status, n, s.error is not None and s.report in s.error))
+    finally:
+        remove_dir(spark, out)
+    return spark.createDataFrame(rows, "report string, status string, n_rows bigint, "
+                                       "error_names_report boolean")
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_n_by_sales": q_top_n_by_sales,
     "address_split": q_address_split,
     "area_breakdown": q_area_breakdown,
+    "area_breakdown_thirds": q_area_breakdown_thirds,
     "area_breakdown_formatted": q_area_breakdown_formatted,
     "top3_performers": q_top3_performers,
     "top3_performers_numeric": q_top3_performers_numeric,
@@ -303,6 +370,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_per_country_numeric": q_best_per_country_numeric,
     "sales_formatted": q_sales_formatted,
     "dq_report": q_dq_report,
+    "dq_halt": q_dq_halt,
     "dq_basic_sales": q_dq_basic_sales,
     "dq_non_negative": q_dq_non_negative,
     "dq_calls": q_dq_calls,
@@ -318,6 +386,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_referential": q_dq_referential,
     "dq_null_rows": q_dq_null_rows,
     "dq_stream": q_dq_stream,
+    "csv_malformed": q_csv_malformed,
     "csv_round_trip": q_csv_round_trip,
     "report_status": q_report_status,
 }
@@ -412,7 +481,10 @@ def _uniq(col: str) -> str:
             f"coalesce(max(CASE WHEN {col} IS NULL THEN 1 ELSE 0 END), 0))")
 
 
-_ADDRESS_RE = ADDRESS_PATTERN
+# Fixed values, written out here so that the expected results do not follow the library's.
+_ZIP_RE = r"\d{4} [A-Z]{2}"
+_ADDRESS_RE = r"^[A-Za-z0-9-\s]+, \d+, \d{4} [A-Z]{2}$"
+_EDGE_RE = r"^,\s*|,\s*$"
 
 
 def _basic(dataset: str, view: str, expected: int, non_negative: list[str]) -> list[str]:
@@ -459,6 +531,21 @@ _DQ_REPORT = (_basic("Employee_calls", "employee_calls", 1000,
               + _basic("Employee_details", "employee_details", 1000, ["sales_amount"])
               + _SALES_BASIC + [_CALLS_RULE, _ADDRESS, _REFERENTIAL])
 
+def _breakdown(amount: str) -> str:
+    return f"""
+SELECT area, {_money('total_sales')} AS total_sales_amount,
+       {_pct('success_rate')} AS success_rate_pct
+FROM (SELECT area, fsum({amount}) AS total_sales,
+             CAST(sum(calls_successful) AS DOUBLE)
+               / nullif(CAST(sum(calls_made) AS DOUBLE), 0) * 100 AS success_rate
+      FROM calls_details GROUP BY area) b"""
+
+
+def _written(report: str, key: str) -> str:
+    return (f"SELECT '{report}' AS report, 'SUCCESS' AS status, count(*) AS n_rows, "
+            f"false AS error_names_report FROM ({_ORACLE_BODIES[key]}) q")
+
+
 _ORACLE_BODIES = {
     "top_n_by_sales": f"""
 SELECT id, area, calls_made, calls_successful, name, address,
@@ -467,22 +554,17 @@ FROM calls_details WHERE area = '{TOP_AREA}'
 ORDER BY coalesce(sales_amount, 0.0) DESC, id ASC LIMIT 100""",
     "address_split": rf"""
 SELECT name,
-       trim(regexp_replace(regexp_replace(address, '{ZIP_PATTERN},?\s*', '', 'g'),
-                           '{EDGE_COMMAS}', '', 'g')) AS address,
-       regexp_extract(address, '({ZIP_PATTERN})', 1) AS zip_code
+       trim(regexp_replace(regexp_replace(address, '{_ZIP_RE},?\s*', '', 'g'),
+                           '{_EDGE_RE}', '', 'g')) AS address,
+       regexp_extract(address, '({_ZIP_RE})', 1) AS zip_code
 FROM calls_details WHERE area = '{SPLIT_AREA}'""",
     "area_breakdown": """
-SELECT area, CAST(sum(CAST(sales_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
+SELECT area, round(fsum(sales_amount), 4) AS total_sales,
        CAST(sum(calls_successful) AS DOUBLE) / nullif(CAST(sum(calls_made) AS DOUBLE), 0) * 100
          AS success_rate
 FROM calls_details GROUP BY area""",
-    "area_breakdown_formatted": f"""
-SELECT area, {_money('total_sales')} AS total_sales_amount,
-       {_pct('success_rate')} AS success_rate_pct
-FROM (SELECT area, CAST(sum(CAST(sales_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
-             CAST(sum(calls_successful) AS DOUBLE)
-               / nullif(CAST(sum(calls_made) AS DOUBLE), 0) * 100 AS success_rate
-      FROM calls_details GROUP BY area) b""",
+    "area_breakdown_formatted": _breakdown("sales_amount"),
+    "area_breakdown_thirds": _breakdown("sales_amount / 3"),
     "top3_performers": f"""
 SELECT area, name, {_money('sales_amount')} AS sales_amount,
        {_pct('success_rate * 100')} AS success_rate_pct, rank
@@ -589,15 +671,29 @@ WHERE address IS NULL OR NOT regexp_matches(address, '{_ADDRESS_RE}')""",
                _cnt("sales_amount < 0")),
         _ADDRESS]),
     "csv_round_trip": "SELECT * FROM employee_details",
-    "report_status": """
-SELECT * FROM (VALUES
-  ('it_data', 'SUCCESS', CAST(NULL AS VARCHAR)),
-  ('marketing_address_info', 'SUCCESS', NULL),
-  ('department_breakdown', 'SUCCESS', NULL),
-  ('top_3', 'SUCCESS', NULL),
-  ('top_3_most_sold_per_department_netherlands', 'SUCCESS', NULL),
-  ('best_salesperson', 'SUCCESS', NULL)) AS t(report, status, error)""",
+    "dq_halt": "SELECT *, NOT passed AND check_name IN ('address_format', 'zero_calls', 'col_unique') "
+               "AS halts FROM (" + "\nUNION ALL\n".join(
+                   _basic("Employee_calls", "employee_calls", 1000, ["calls_made", "calls_successful"])
+                   + _basic("Employee_details", "employee_details", 1000, ["sales_amount"])
+                   + [_CALLS_RULE, _ADDRESS, _result("Employee_calls", "zero_calls", "calls_made",
+                                                     "count(*)", _cnt("calls_made = 0"),
+                                                     "employee_calls")]) + ") r",
+    "csv_malformed": "\nUNION ALL\n".join([
+        _check("Sales_details", "lineitem", "csv_malformed", None, _cnt("l_linenumber IN (6, 7)")),
+        _check("Sales_details", "lineitem", "col_non_null", "quantity", _cnt("l_linenumber IN (6, 7)")),
+        _check("Sales_details", "lineitem", "col_non_null", "id", _cnt("false")),
+        _check("Sales_details", "lineitem", "large", "quantity",
+               _cnt("l_linenumber NOT IN (6, 7) AND l_quantity > 25"))]),
 }
+_ORACLE_BODIES["report_status"] = "\nUNION ALL\n".join([
+    f"SELECT '{BROKEN}' AS report, 'FAILED' AS status, CAST(NULL AS BIGINT) AS n_rows, "
+    "true AS error_names_report",
+    _written("it_data", "top_n_by_sales"),
+    _written("marketing_address_info", "address_split"),
+    _written("department_breakdown", "area_breakdown_formatted"),
+    _written("top_3", "top3_performers"),
+    _written("top_3_most_sold_per_department_netherlands", "top3_products"),
+    _written("best_salesperson", "best_per_country")])
 
 
 def oracle_sql() -> dict[str, str]:

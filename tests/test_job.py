@@ -27,12 +27,15 @@ def csv_inputs(spark, tmp_path_factory):
 
 def test_job_writes_all_reports(spark, csv_inputs, tmp_path):
     tables = load_inputs(spark, csv_inputs)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared)) if os.path.exists(shared) else set()
     result = run_job(spark, tables, str(tmp_path), stage=True)
     assert result.ok
+    assert set(os.listdir(shared)) - before == set()   # the staged copies are gone
     assert [s.report for s in result.reports][:6] == [
         "it_data", "marketing_address_info", "department_breakdown", "top_3",
         "top_3_most_sold_per_department_netherlands", "best_salesperson"]
-    assert len(result.quality) == 17
+    assert len(result.quality) == 20   # the suite, and that each CSV table could be read
     for s in result.reports:
         assert os.path.exists(os.path.join(str(tmp_path), s.report, "_SUCCESS"))
     # segments stand in for departments, so the default areas select nothing
@@ -50,7 +53,7 @@ def test_job_halts_before_reports(spark, csv_inputs, tmp_path):
 def test_cli_halt_set():
     args = parse(["a", "b", "c", "out", "--halt", " row_count, ,address_format"])
     assert halt_set(args) == {"row_count", "address_format"}
-    assert len(halt_set(parse(["a", "b", "c", "out", "--halt-all"]))) == 7
+    assert len(halt_set(parse(["a", "b", "c", "out", "--halt-all"]))) == 8
 
 
 def test_cli_main_exit_codes(spark, csv_inputs, tmp_path):

@@ -2,11 +2,21 @@
 
 import os
 
+import pytest
 from pyspark.sql import types as T
 
+from veritab.operators import quality as q
+from veritab.plans.quality import run_quality
 from veritab.sources import adapters as A
-from veritab.sources.files import read_csv, read_table, shared_dir, write_csv
-from veritab.sources.schemas import DETAILS_SCHEMA
+from veritab.sources.files import (
+    materialize_at,
+    read_csv,
+    read_table,
+    remove_dir,
+    shared_dir,
+    write_csv,
+)
+from veritab.sources.schemas import CALLS_SCHEMA, DETAILS_SCHEMA
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,30 +78,68 @@ def test_sales_column_pruning_keeps_rows(spark):
     assert "p_partkey" not in plan and "c_custkey" not in plan
 
 
+def _csv(folder, **files):
+    os.makedirs(folder, exist_ok=True)
+    for name, text in files.items():
+        with open(os.path.join(folder, f"{name}.csv"), "w") as f:
+            f.write(text)
+    return folder
+
+
 def test_csv_columns_matched_by_name(spark, out_dir):
-    path = os.path.join(out_dir, "reordered.csv")
-    with open(path, "w") as f:
-        f.write("sales_amount,address,id,name,extra\n12.5,\"Main Street, 1, 1234 AB\",7,Ann,x\n"
-                "oops,,8,Bob,y\n")
+    path = _csv(os.path.join(out_dir, "reordered"), a="sales_amount,address,id,name,extra\n"
+                "12.5,\"Kade, 3, 7001 QX\",7,Uma,x\n,,8,Wen,y\n")
     rows = {r["id"]: r for r in read_csv(spark, path, DETAILS_SCHEMA).collect()}
-    assert rows[7]["name"] == "Ann" and rows[7]["sales_amount"] == 12.5
-    assert rows[7]["address"] == "Main Street, 1, 1234 AB"
-    assert rows[8]["sales_amount"] is None and rows[8]["address"] is None
-    missing = os.path.join(out_dir, "missing.csv")
-    with open(missing, "w") as f:
-        f.write("id,name\n1,A\n")
-    import pytest
+    assert tuple(rows[7]) == (7, "Uma", "Kade, 3, 7001 QX", 12.5)
+    assert tuple(rows[8]) == (8, "Wen", None, None)
+    missing = _csv(os.path.join(out_dir, "missing"), a="id,name\n1,Uma\n")
     with pytest.raises(ValueError, match="address"):
         read_csv(spark, missing, DETAILS_SCHEMA)
 
 
-def test_original_io_names(spark, out_dir):
-    from veritab.sources.files import read_csv_with_header, write_df_to_csv
-    path = os.path.join(out_dir, "orig")
-    write_df_to_csv(spark.range(30).repartition(3).selectExpr("id", "id * 1.5 AS x"), path)
-    assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 1
-    back = read_csv_with_header(spark, path)
-    assert dict(back.dtypes) == {"id": "int", "x": "double"} and back.count() == 30
+CALLS_HEAD = "id,area,calls_made,calls_successful\n"
+
+
+def test_csv_file_with_columns_in_another_order_fails_loudly(spark, out_dir):
+    path = _csv(out_dir, a=CALLS_HEAD + "1,Depot,9,4\n",
+                b="id,area,calls_successful,calls_made\n2,Depot,4,9\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, path, CALLS_SCHEMA).collect()
+    with pytest.raises(Exception, match="(?i)header"):   # also if only these columns are read
+        read_csv(spark, path, CALLS_SCHEMA).select("calls_made").collect()
+    good = _csv(os.path.join(out_dir, "good"), a=CALLS_HEAD + "1,Depot,9,4\n", b=CALLS_HEAD + "2,Depot,8,3\n")
+    assert sorted(tuple(r) for r in read_csv(spark, good, CALLS_SCHEMA).collect()) == [
+        (1, "Depot", 9, 4), (2, "Depot", 8, 3)]
+
+
+def test_csv_integers_written_as_decimals_and_cells_that_are_none(spark, out_dir):
+    path = _csv(out_dir, a=CALLS_HEAD + "1,Depot,3.0,2\n2,Depot,abc,1\n3,Press,2.5,-4.00\n4,,,\n"
+                                        "5,Press,99999999999999999999,1e2\n")
+    df = read_csv(spark, path, CALLS_SCHEMA, malformed=True)
+    assert df.dtypes[2:] == [("calls_made", "bigint"), ("calls_successful", "bigint"),
+                             ("_malformed", "array<string>")]
+    got = {r["id"]: (r["calls_made"], r["calls_successful"], r["_malformed"]) for r in df.collect()}
+    assert got == {1: (3, 2, []), 2: (None, 1, ["calls_made"]), 3: (None, -4, ["calls_made"]),
+                   4: (None, None, []), 5: (None, 100, ["calls_made"])}
+    assert "_malformed" not in read_csv(spark, path, CALLS_SCHEMA).columns
+
+
+def test_unreadable_cells_fail_the_suite(spark, out_dir):
+    path = _csv(out_dir, a=CALLS_HEAD + "1,Depot,3.0,2\n2,Depot,abc,1\n")
+    tables = {"Employee_calls": read_csv(spark, path, CALLS_SCHEMA, malformed=True)}
+    checks = q.non_negative("Employee_calls", ["calls_made"])
+    rows = {r["check_name"]: r for r in run_quality(tables, checks=checks)}
+    assert rows["col_non_negative"]["passed"] and not rows["csv_malformed"]["passed"]
+    assert (rows["csv_malformed"]["total"], rows["csv_malformed"]["violations"]) == (2, 1)
+    with pytest.raises(RuntimeError, match="csv_malformed"):
+        run_quality(tables, ["csv_malformed"], checks)
+
+
+def test_remove_dir(spark, out_dir):
+    path = os.path.join(out_dir, "gone")
+    materialize_at(spark.range(3), path)
+    remove_dir(spark, path)
+    assert not os.path.exists(path)
 
 
 def test_configure_applies_settings_and_overrides(spark):

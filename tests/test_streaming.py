@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
 
 from veritab.operators import quality as q
 from veritab.sources.schemas import CALLS_SCHEMA
@@ -58,5 +59,32 @@ def test_restart_resumes_from_checkpoint(spark, tmp_path):
     assert (row["total"], row["violations"], row["batches"]) == (3, 1, 2)
 
 
-def test_totals_before_any_batch_is_empty(spark, tmp_path):
-    assert totals(spark, str(tmp_path / "nothing-yet")).count() == 0
+def test_totals_without_a_batch_and_of_a_wrong_path(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    assert totals(spark, str(tmp_path / "empty")).count() == 0
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        totals(spark, str(tmp_path / "mistyped"))
+
+
+def _run(spark, tmp_path, **files):
+    src = tmp_path / "in"
+    src.mkdir()
+    for name, text in files.items():
+        (src / f"{name}.csv").write_text(text)
+    checks = q.readable("Employee_calls") + q.calls_successful_le_made("Employee_calls")
+    stream = read_stream(spark, str(src), CALLS_SCHEMA, malformed=True)
+    query = watch(stream, "Employee_calls", checks, str(tmp_path / "results"),
+                  checkpoint=str(tmp_path / "ckpt"), trigger={"availableNow": True})
+    query.awaitTermination(120)
+    return {r["check_name"]: r["violations"] for r in totals(spark, str(tmp_path / "results")).collect()}
+
+
+def test_stream_counts_unreadable_cells_and_takes_whole_decimals(spark, tmp_path):
+    head = "id,area,calls_made,calls_successful\n"
+    got = _run(spark, tmp_path, a=head + "1,Depot,3.0,2\n2,Depot,many,1\n3,Press,1,4\n")
+    assert got == {"csv_malformed": 1, "calls_successful_gt_made": 1}
+
+
+def test_stream_refuses_a_file_with_another_header(spark, tmp_path):
+    with pytest.raises(StreamingQueryException, match="(?i)header"):
+        _run(spark, tmp_path, a="id,area,calls_successful,calls_made\n1,Depot,2,9\n")

@@ -36,7 +36,7 @@ def parse(argv=None) -> argparse.Namespace:
                             "(default when any input is CSV)")
     stage.add_argument("--no-stage", dest="stage", action="store_false",
                        help="read the inputs directly in every pass")
-    p.add_argument("--single-file", action="store_true", help="one CSV part per report")
+    p.add_argument("--single-file", action="store_true", help="one CSV part per summary report (row-level reports stay parallel)")
     return p.parse_args(argv)
 
 

@@ -1,7 +1,7 @@
 """Column functions: text patterns, safe numerics, display formats."""
 
 from veritab.functions.display import count_text, money_text, percent_text
-from veritab.functions.numeric import money, money_sum, ratio
+from veritab.functions.numeric import money_sum, ratio
 from veritab.functions.text import (
     ADDRESS_PATTERN,
     ZIP_PATTERN,
@@ -11,6 +11,6 @@ from veritab.functions.text import (
 )
 
 __all__ = [
-    "ADDRESS_PATTERN", "ZIP_PATTERN", "count_text", "extract_first", "money",
+    "ADDRESS_PATTERN", "ZIP_PATTERN", "count_text", "extract_first",
     "money_sum", "money_text", "not_matching", "percent_text", "ratio", "strip_pattern",
 ]

@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
+# Wide enough that a double's shortest decimal form is kept as it is.
+EXACT = T.DecimalType(38, 18)
 
 
 def _col(c) -> Column:
@@ -18,10 +19,14 @@ def ratio(num, den) -> Column:
     return F.try_divide(_col(num), _col(den))
 
 
-def money(c) -> Column:
-    """Exact cents: sums of this type do not depend on the order rows arrive in."""
-    return _col(c).cast(MONEY)
-
-
 def money_sum(c) -> Column:
-    return F.sum(money(c))
+    """The sum of amounts as a double, nothing rounded before the end.
+
+    Amounts are added as wide decimals, so the result does not depend on the order rows
+    arrive in. A group that holds a NaN, an infinity or an amount beyond the decimal's range
+    (or whose total is) is summed as doubles instead: no row is left out or fails the sum.
+    """
+    value = _col(c).cast("double")
+    exact = value.try_cast(EXACT)
+    whole = F.when(F.count(value) == F.count(exact), F.try_sum(exact).cast("double"))
+    return F.coalesce(whole, F.sum(value))

@@ -14,7 +14,7 @@ from veritab.operators.topn import top_k_per_group
 def ratio_breakdown(df: DataFrame, by: Sequence[str], amount: str, numerator: str,
                     denominator: str, total_col: str = "total_sales",
                     rate_col: str = "success_rate", scale: float = 100) -> DataFrame:
-    """Per group: exact money total of ``amount`` and ``sum(numerator) /
+    """Per group: total of ``amount`` (summed at full precision) and ``sum(numerator) /
     sum(denominator) * scale`` - a ratio of sums, not a mean of ratios.
 
     A zero or null denominator gives a null rate. Partial aggregation runs

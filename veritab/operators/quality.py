@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritab.functions.text import ADDRESS_PATTERN, not_matching
+from veritab.sources.files import MALFORMED
 from veritab.sources.schemas import require_columns
 
 log = logging.getLogger(__name__)
@@ -41,8 +42,10 @@ COL_NON_NEGATIVE = "col_non_negative"
 REFERENTIAL_INTEGRITY = "referential_integrity"
 CALLS_SUCCESSFUL_GT_MADE = "calls_successful_gt_made"
 ADDRESS_FORMAT = "address_format"
+# and of the check this library adds for CSV inputs
+CSV_MALFORMED = "csv_malformed"
 CHECK_NAMES = (ROW_COUNT, COL_UNIQUE, COL_NON_NULL, COL_NON_NEGATIVE,
-               REFERENTIAL_INTEGRITY, CALLS_SUCCESSFUL_GT_MADE, ADDRESS_FORMAT)
+               REFERENTIAL_INTEGRITY, CALLS_SUCCESSFUL_GT_MADE, ADDRESS_FORMAT, CSV_MALFORMED)
 
 RESULT_COLUMNS = ["dataset", "check_name", "column_name", "total", "violations", "passed"]
 
@@ -109,6 +112,12 @@ def pattern(dataset: str, column: str = "address", regex: str = ADDRESS_PATTERN,
     return [Check(name, "pattern", dataset, column, pattern=regex)]
 
 
+def readable(dataset: str) -> list[Check]:
+    """Rows of a CSV table with a cell that is no value of its column's type (the reader's
+    ``malformed`` column names them)."""
+    return rule(dataset, CSV_MALFORMED, F.size(MALFORMED) > 0, (MALFORMED,))
+
+
 def referential(dataset: str, keys: Sequence[str], parent: str, parent_keys: Sequence[str],
                 name: str = REFERENTIAL_INTEGRITY) -> list[Check]:
     if len(keys) != len(parent_keys):
@@ -322,11 +331,13 @@ def evaluate(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame
 
 # ----------------------------------------------------------- offending rows
 
-def violations(tables: dict[str, DataFrame], chk: Check) -> DataFrame:
+def violations(tables: dict[str, DataFrame], chk: Check, keys: DataFrame | None = None) -> DataFrame:
     """The rows of ``chk.dataset`` that break ``chk`` (all of them, distributed).
 
     ``unique``: every row whose value repeats (a group-by count, then a
-    null-safe semi-join back; AQE splits a hot key on the big side).
+    null-safe semi-join back; AQE splits a hot key on the big side). The values are
+    counted over ``keys`` if given: the same rows with nothing but the column, for a table
+    that is a view whose other columns cost joins.
     ``referential``: every child row without a parent (null-safe anti-join).
     """
     validate(tables, [chk])
@@ -338,7 +349,7 @@ def violations(tables: dict[str, DataFrame], chk: Check) -> DataFrame:
         # with both join inputs fresh from a shuffle, AQE can split a hot
         # value's partition on the raw side (it cannot when one side is an
         # aggregate that reuses its own partitioning).
-        dup = (df.groupBy(chk.column).agg(F.count(F.lit(1)).alias("_n"))
+        dup = ((df if keys is None else keys).groupBy(chk.column).agg(F.count(F.lit(1)).alias("_n"))
                .filter(F.col("_n") > 1).select(F.col(chk.column).alias("_dup")))
         return df.join(dup, df[chk.column].eqNullSafe(dup["_dup"]), "left_semi")
     if chk.kind == "referential":
@@ -359,15 +370,26 @@ def violations(tables: dict[str, DataFrame], chk: Check) -> DataFrame:
 
 # ------------------------------------------------------------------------ gate
 
-def gate(results: DataFrame | list, halt_on: Iterable[str] = ()) -> list:
+def halt_names(halt_on: Iterable[str]) -> set[str]:
+    return {h.strip() for h in halt_on if h and h.strip()}
+
+
+def halting(results: DataFrame, halt_on: Iterable[str] = ()) -> DataFrame:
+    """The results with ``halts``: true for a failed check that stops a run under this
+    halt list (``"all"`` names every check)."""
+    halt = halt_names(halt_on)
+    named = F.lit(True) if "all" in halt else F.col("check_name").isin(sorted(halt))
+    return results.withColumn("halts", ~F.col("passed") & named)
+
+
+def gate(results: DataFrame, halt_on: Iterable[str] = ()) -> list:
     """Log every failed check; raise one ``RuntimeError`` naming every failure
     whose check name is in ``halt_on`` (``"all"`` halts on any).
 
     Collects the result table only: one row per check, never data rows.
     """
-    rows = results.collect() if isinstance(results, DataFrame) else list(results)
-    halt = {h.strip() for h in halt_on if h and h.strip()}
-    unknown = halt - set(CHECK_NAMES) - {"all"}
+    rows = halting(results, halt_on).collect()
+    unknown = halt_names(halt_on) - set(CHECK_NAMES) - {"all"} - {r["check_name"] for r in rows}
     if unknown:
         log.warning("unknown check name(s) in halt list: %s", ", ".join(sorted(unknown)))
     failed = [r for r in rows if not r["passed"]]
@@ -377,7 +399,7 @@ def gate(results: DataFrame | list, halt_on: Iterable[str] = ()) -> list:
     for r in failed:
         log.warning("%s failed on %s: %d violation(s) of %d", r["check_name"], where(r),
                     r["violations"], r["total"])
-    stop = [r for r in failed if "all" in halt or r["check_name"] in halt]
+    stop = [r for r in failed if r["halts"]]
     if stop:
         detail = "; ".join(f"{r['check_name']} on {where(r)}" for r in stop)
         raise RuntimeError(f"Data quality check(s) failed: {detail}")

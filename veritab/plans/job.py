@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import os
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from veritab.plans.quality import run_quality, standard_suite
 from veritab.plans.reports import ReportStatus, run_reports
-from veritab.sources.files import materialize, read_table
+from veritab.sources.files import MALFORMED, materialize_at, read_table, remove_dir, shared_dir
 from veritab.sources.schemas import EMPLOYEE_CALLS, EMPLOYEE_DETAILS, SALES_DETAILS, SPECS
 
 log = logging.getLogger(__name__)
@@ -28,19 +29,21 @@ class JobResult:
 
 
 def load_inputs(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """Read each logical table (CSV or Parquet) with its fixed schema."""
-    return {name: read_table(spark, path, SPECS[name].schema) for name, path in paths.items()}
+    """Read each logical table (CSV or Parquet) with its fixed schema; a CSV table also
+    lists its cells that could not be read, for the suite to count."""
+    return {name: read_table(spark, path, SPECS[name].schema, malformed=True)
+            for name, path in paths.items()}
 
 
-def stage_inputs(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Write each input once as Parquet under the shared checkpoint folder and
+def stage_inputs(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Write each input once as Parquet under ``folder`` (on the shared file system) and
     read it back: the suite and the six reports then scan only the columns
     they use instead of re-parsing CSV (or re-running derived joins) seven
     times, and the lineage is cut at a durable copy that survives lost
-    executors. The copies are written concurrently."""
+    executors. The copies are written concurrently; the caller removes them."""
     with ThreadPoolExecutor(max_workers=max(1, len(tables)),
                             thread_name_prefix="stage") as pool:
-        futures = {name: pool.submit(materialize, df, f"input-{name}")
+        futures = {name: pool.submit(materialize_at, df, os.path.join(folder, name))
                    for name, df in tables.items()}
         return {name: f.result() for name, f in futures.items()}
 
@@ -49,12 +52,22 @@ def run_job(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
             halt_on: Iterable[str] = (), expected_rows: dict | None = None,
             stage: bool = False, single_file: bool = False) -> JobResult:
     """Quality suite (raises if a halting check fails, before any report is
-    written), then all registered reports with per-report failure isolation."""
-    if stage:
-        tables = stage_inputs(spark, tables)
+    written), then all registered reports with per-report failure isolation.
+    Staged copies of the inputs are removed when the job ends, however it ends."""
+    if not stage:
+        return _run(tables, out_dir, halt_on, expected_rows, single_file)
+    folder = shared_dir(spark, "inputs")
+    try:
+        return _run(stage_inputs(spark, tables, folder), out_dir, halt_on, expected_rows, single_file)
+    finally:
+        remove_dir(spark, folder)
+
+
+def _run(tables, out_dir, halt_on, expected_rows, single_file) -> JobResult:
     quality = run_quality(tables, halt_on, standard_suite(expected_rows))
-    statuses = run_reports(tables[EMPLOYEE_CALLS], tables[EMPLOYEE_DETAILS],
-                           tables[SALES_DETAILS], out_dir, single_file=single_file)
+    clean = {name: df.drop(MALFORMED) for name, df in tables.items()}
+    statuses = run_reports(clean[EMPLOYEE_CALLS], clean[EMPLOYEE_DETAILS],
+                           clean[SALES_DETAILS], out_dir, single_file=single_file)
     for s in statuses:
         if s.error:
             log.error(s.error)

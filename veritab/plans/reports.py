@@ -35,14 +35,12 @@ Report = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
 REPORTS: dict[str, Report] = {}
 
 
-def transforms() -> dict[Report, str]:
-    """The registry the other way round (function -> folder), as the original exposed it."""
-    return {fn: folder for folder, fn in REPORTS.items()}
-
-
 def report(folder: str) -> Callable[[Report], Report]:
-    """Register a report under its output folder; registration order is run order."""
+    """Register a report under its output folder; registration order is run order.
+    A folder that is taken is a ``ValueError``: one report would replace the other's output."""
     def register(fn: Report) -> Report:
+        if folder in REPORTS:
+            raise ValueError(f"a report for folder {folder!r} is registered already")
         REPORTS[folder] = fn
         return fn
     return register
@@ -56,6 +54,9 @@ RATE_THRESHOLD = 0.75
 TOP_K = 3
 PRODUCT_COUNTRY = "Netherlands"
 
+# Reports whose rows grow with the inputs; the others return a top-k or one row a group.
+ROW_LEVEL = {"marketing_address_info"}
+
 
 @report("it_data")
 def top_sales(calls: DataFrame, details: DataFrame, sales: DataFrame | None = None,
@@ -146,6 +147,9 @@ def best_salesperson(calls: DataFrame | None, details: DataFrame, sales: DataFra
                          money_text("sales_amount").alias("sales_amount"))
 
 
+SUMMARIES = set(REPORTS) - ROW_LEVEL
+
+
 # ------------------------------------------------------------------- runner
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
@@ -184,9 +188,15 @@ def run_reports(calls: DataFrame, details: DataFrame, sales: DataFrame, out_dir:
     overlap with the wide stages of another. Each write is an ordinary Spark
     job with the standard output committer: a lost executor's tasks are
     retried and a half-written folder is never committed. Statuses come back
-    in registration order.
+    in registration order. ``single_file`` writes each summary report as one part;
+    row-level reports (``ROW_LEVEL``) and unknown ones are written in parallel all the
+    same, since one task would have to hold as many rows as the inputs have.
     """
-    write = writer or (lambda df, path: write_csv(df, path, single_file=single_file))
+    def write_one(df: DataFrame, path: str) -> None:
+        name = os.path.basename(path)
+        write_csv(df, path, single_file=single_file and name in SUMMARIES)
+
+    write = writer or write_one
     todo = list((reports if reports is not None else REPORTS).items())
     tables = (calls, details, sales)
     if parallelism <= 1 or len(todo) <= 1:
@@ -200,13 +210,3 @@ def status_frame(spark: SparkSession, statuses: list[ReportStatus]) -> DataFrame
     """The statuses as a DataFrame (one row per report)."""
     return spark.createDataFrame([(s.report, s.status, s.error) for s in statuses],
                                  STATUS_SCHEMA)
-
-
-# Names of the original decorator and transform functions, for callers switching over.
-transform = report
-transform_it_data = top_sales
-transform_marketing_address_info = address_info
-transform_department_breakdown = department_breakdown
-transform_best_performer_per_department = top_performers
-transform_top_3_sold_products_nl = top_products
-transform_best_salesperson_per_country = best_salesperson

@@ -21,7 +21,7 @@ unused join, and at scale every join of the line-level table is a shuffle.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,10 +145,13 @@ def employee_details(t: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def sales_details(t: Mapping[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
+def sales_details(t: Mapping[str, DataFrame], columns: list[str] | None = None,
+                  keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """id, caller_id, company, recipient, age, country, product_sold, quantity.
 
-    ``columns`` restricts the output and skips dimension joins nobody reads.
+    ``columns`` restricts the output and skips dimension joins nobody reads. ``keep``
+    thins the order lines (with their id, caller_id, age and quantity) before any
+    dimension is joined to them; it must return them with all their columns.
     """
     wanted = [f.name for f in SALES_SCHEMA.fields] if columns is None else list(columns)
     unknown = set(wanted) - {f.name for f in SALES_SCHEMA.fields}
@@ -156,6 +159,9 @@ def sales_details(t: Mapping[str, DataFrame], columns: list[str] | None = None)
         raise ValueError(f"unknown sales column(s): {sorted(unknown)}")
 
     li = t["lineitem"]
+    o = t["orders"]
+    if keep is not None:
+        li = keep(_with_keys(li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")))
     # Supplier, then nation, first: a country filter then turns both lookups
     # into inner joins against filtered sides and thins the line table before
     # the order join shuffles it. Each lookup joins a base table directly, so
@@ -169,8 +175,8 @@ def sales_details(t: Mapping[str, DataFrame], columns: list[str] | None = None)
     if "country" in wanted:
         n = t["nation"]
         li = li.join(n, li["s_nationkey"] == n["n_nationkey"], "left")
-    o = t["orders"]
-    rows = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+    rows = li if keep is not None else _with_keys(
+        li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner"))
     if "product_sold" in wanted:
         p = t["part"]
         rows = rows.join(p, rows["l_partkey"] == p["p_partkey"], "left")
@@ -178,19 +184,21 @@ def sales_details(t: Mapping[str, DataFrame], columns: list[str] | None = None)
         c = t["customer"]
         rows = rows.join(c, rows["o_custkey"] == c["c_custkey"], "left")
 
+    names = {"company": "s_name", "recipient": "c_name", "country": "n_name",
+             "product_sold": "p_name"}
+    return rows.select([F.col(names.get(c, c)).alias(c) for c in wanted])
+
+
+def _with_keys(rows: DataFrame) -> DataFrame:
+    """Order lines joined to their orders, with the columns that need no dimension."""
     cust = F.col("o_custkey")
-    exprs = {
+    return rows.withColumns({
         "id": (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint"),
         "caller_id": F.when(F.col("o_orderkey") % ORPHAN_ORDER_EVERY == 0, F.lit(-1) - cust)
         .otherwise(cust),
-        "company": F.col("s_name"),
-        "recipient": F.col("c_name"),
         "age": (F.lit(18) + cust % 60).cast("int"),
-        "country": F.col("n_name"),
-        "product_sold": F.col("p_name"),
         "quantity": F.col("l_quantity").cast("bigint"),
-    }
-    return rows.select([exprs[c].alias(c) for c in wanted])
+    })
 
 
 def adapter_tables(spark: SparkSession, sf_dir: str,

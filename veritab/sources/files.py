@@ -12,39 +12,75 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
 
+MALFORMED = "_malformed"   # names of a row's columns whose cell could not be read
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _cell(name: str, kind: T.DataType) -> Column:
+    """A text cell as ``kind``; an integer may be written as ``3.0``. Null where it is not
+    a value of that type."""
+    text = F.col(f"`{name}`")
+    if isinstance(kind, T.StringType):
+        return text
+    value = text.try_cast(kind)
+    if isinstance(kind, _INTEGERS):
+        number = text.try_cast(T.DecimalType(38, 10))
+        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
+    return value
+
+
+def parse_cells(raw: DataFrame, schema: T.StructType, malformed: bool = False) -> DataFrame:
+    """Text columns to the types of ``schema``, by name.
+
+    With ``malformed`` a column of that name lists, per row, the columns whose cell
+    held a text that is no value of its type (such a cell is null in its own column)."""
+    out = [_cell(f.name, f.dataType).alias(f.name) for f in schema.fields]
+    if malformed:
+        lost = [F.when(F.col(f"`{f.name}`").isNotNull() & _cell(f.name, f.dataType).isNull(), f.name)
+                for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+        out.append(F.array_compact(F.array(*lost)).alias(MALFORMED) if lost
+                   else F.array().cast("array<string>").alias(MALFORMED))
+    return raw.select(out)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             infer: bool = False) -> DataFrame:
+             infer: bool = False, malformed: bool = False) -> DataFrame:
     """Read CSV with a header row.
 
-    ``path`` may be one file, a directory or a glob. With ``schema`` the
-    columns are matched to the header BY NAME (a file whose columns come in
-    another order still loads correctly; a missing column is a ``ValueError``)
-    and each is cast to its declared type, a malformed value becoming null as
-    in Spark's permissive parsing. Spark's CSV column pruning still parses only
-    the columns a query uses. ``infer=True`` (without a schema) falls back to
-    schema inference, which costs one extra pass over the data.
+    ``path`` may be one file, a directory or a glob. With ``schema`` the columns are
+    found in the header by name, in any order; a missing one is a ``ValueError``. Every
+    file's own header is compared with the first one's when it is read: a file with
+    its columns in another order fails the read instead of loading into the wrong ones.
+    Cells are read as in ``parse_cells``; ask for ``malformed`` to see what was lost.
+    Spark's column pruning still parses only the columns a query uses. ``infer=True``
+    (without a schema) falls back to schema inference, at the cost of one extra pass.
     """
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", infer).csv(path)
-    raw = reader.csv(path)
-    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    header = reader.csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
     if missing:
-        raise ValueError(f"Column(s) not found in {path}: {', '.join(missing)}")
-    return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    raw = reader.schema(texts).option("enforceSchema", False).csv(path)
+    return parse_cells(raw, schema, malformed)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read Parquet, or CSV when ``path`` ends in ``.csv``; the schema applies to CSV."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
+               malformed: bool = False) -> DataFrame:
+    """Read Parquet, or CSV when ``path`` ends in ``.csv``; the schema applies to both.
+    ``malformed`` adds that column to a CSV table (Parquet has no such cells)."""
     if path.lower().endswith(".csv"):
-        return read_csv(spark, path, schema, infer=schema is None)
+        return read_csv(spark, path, schema, infer=schema is None,
+                        malformed=malformed and schema is not None)
     df = spark.read.parquet(path)
     if schema is not None:
         df = df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -73,21 +109,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     it back: for inputs that are expensive to derive and read more than once.
     The lineage is cut at a durable copy, so a lost executor costs a re-read of
     that copy, not a recomputation of the joins behind it."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    write_parquet(df, path)
-    return spark.read.parquet(path)
-
+    return materialize_at(df, shared_dir(df.sparkSession, name))
 
-def read_csv_with_header(spark: SparkSession, path: str) -> DataFrame:
-    """The original reader's behaviour (header, inferred schema), for callers
-    switching over; prefer ``read_csv`` with a schema."""
-    return read_csv(spark, path, infer=True)
 
-
-def write_df_to_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The original writer's behaviour (one CSV part file), for small results."""
-    write_csv(df, path, mode=mode, single_file=True)
+def materialize_at(df: DataFrame, path: str) -> DataFrame:
+    """As ``materialize``, at a place the caller chose (and may remove)."""
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
 
 
 # Settings the original job set on its session; AQE re-sizes shuffles at run time,
@@ -127,3 +155,20 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="veritab-"))
             base = sc.getCheckpointDir()
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    """Make a folder on the file system it lies on; one that is there stays."""
+    fs, target = _hadoop_path(spark, path)
+    fs.mkdirs(target)
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it lies on."""
+    fs, target = _hadoop_path(spark, path)
+    fs.delete(target, True)

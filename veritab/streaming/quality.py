@@ -24,20 +24,26 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from veritab.operators.quality import Check, evaluate
-from veritab.sources.files import shared_dir
+from veritab.sources.files import make_dir, parse_cells, shared_dir
 
 ROW_LEVEL = {"non_null", "non_negative", "rule", "pattern"}
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType,
-                fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file stream over ``path`` with a fixed schema (header row for CSV)."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True)
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
+                max_files_per_trigger: int | None = None, malformed: bool = False) -> DataFrame:
+    """A file stream over ``path`` with a fixed schema.
+
+    CSV files must carry a header with the columns of ``schema`` in that order - a
+    file with another header fails its batch, it is never loaded by position - and their
+    cells are read as in batch (``malformed`` lists those that are no value of their type)."""
+    reader = spark.readStream.format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    if fmt != "csv":
+        return reader.schema(schema).load(path)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = reader.schema(texts).option("header", True).option("enforceSchema", False).load(path)
+    return parse_cells(raw, schema, malformed)
 
 
 def watch(stream: DataFrame, dataset: str, checks: Sequence[Check], results_path: str,
@@ -49,6 +55,7 @@ def watch(stream: DataFrame, dataset: str, checks: Sequence[Check], results_path
         raise ValueError(f"not row-level checks of {dataset}: {', '.join(wrong)}")
     spark = stream.sparkSession
     checkpoint = checkpoint or shared_dir(spark, "quality-stream")
+    make_dir(spark, results_path)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         out = evaluate({dataset: batch}, checks)
@@ -68,11 +75,13 @@ _RESULT_SCHEMA = T.StructType([
 
 
 def totals(spark: SparkSession, results_path: str) -> DataFrame:
-    """Violations and rows per check summed over every batch written so far
-    (empty before the first batch)."""
+    """Violations and rows per check summed over every batch written so far. The results
+    folder must exist (``watch`` makes it); one without a batch gives no rows."""
     try:
         results = spark.read.parquet(results_path)
-    except AnalysisException:  # no batch has run yet
+    except AnalysisException as exc:
+        if exc.getCondition() != "UNABLE_TO_INFER_SCHEMA":   # a folder without a file
+            raise
         results = spark.createDataFrame([], _RESULT_SCHEMA)
     return (results
             .groupBy("dataset", "check_name", "column_name")
