@@ -1,0 +1,89 @@
+"""Document fingerprints: against plain Python, the algebra of the hash, odd inputs."""
+
+import hashlib
+import re
+
+from pyspark.sql import functions as F
+
+from veritab.llm import fingerprint as fp
+
+SCHEMA = "doc_id long, text string"
+ROWS = [(5, "One. Two!\nThree"), (3, "ab"), (9, ""), (7, None), (-4, "é中🙂x" * 3), (8, "same"), (8, "same"),
+        (6, "Two! One.\nThree\n\n"), (12, "x"), (20, "lang. " * 5000), (21, "Three\nOne. Two!"), (8, "other")]
+
+
+def brute(rows):
+    order = sorted([(i, t or "") for i, t in rows], key=lambda r: -r[0])
+    return order
+
+
+def collected(spark, rows, buckets=None):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    return fp.edit_report(docs).collect()
+
+
+def test_edited_text_takes_the_next_beginning(spark):
+    rows = [r for r in ROWS if r[0] != 8] + [(8, "same")]
+    order = brute(rows)
+    want = {}
+    for k, (i, t) in enumerate(order):
+        half = len(t) // 2
+        edited = t[:len(t) - half] + order[(k + 1) % len(order)][1][:half]
+        want[i] = (len(t), hashlib.sha256(edited.encode()).hexdigest())
+    got = {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in collected(spark, rows)}
+    assert got == want
+
+
+def test_any_number_of_buckets_gives_the_same_next_text(spark):
+    rows = [(i * 37 % 101, f"text {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    order = sorted(rows, reverse=True)
+    want = {i: order[(k + 1) % len(order)][1] for k, (i, _) in enumerate(order)}
+    for n in (2, 7, 100):
+        assert {r["doc_id"]: r["next_text"] for r in fp.with_next(docs, n).collect()} == want
+
+
+def test_equal_texts_and_reordered_paragraphs_are_equal(spark):
+    got = collected(spark, ROWS)
+    assert len(got) == len(ROWS)
+    prints = {}
+    for r, (i, t) in zip(sorted(got, key=lambda r: r["doc_id"]), sorted(ROWS, key=lambda r: r[0])):
+        prints.setdefault(i, set()).add(r["fingerprint"])
+    assert prints[5] == prints[21] == prints[6]
+    assert len(prints[8]) == 2 and prints[9] == prints[7]       # null counts as empty
+    assert all(re.fullmatch("[0-9a-f]+", p) for s in prints.values() for p in s)
+    assert len({p for s in prints.values() for p in s}) == 8
+    assert all(0 <= r[c] <= 1 for r in got for c in ("near_edited", "near_next"))
+
+
+def test_insertion_and_deletion_are_sums(spark):
+    df = spark.createDataFrame([("a b.\nc", "d\nd\nd", "a b.\nc\nd\nd\nd")], "x string, y string, z string")
+    w = {c: fp.fingerprint_words(F.col(c)) for c in "xyz"}
+    row = df.select((fp.combine(w["x"], w["y"]) == w["z"]).alias("put"),
+                    (fp.combine(w["z"], w["y"], -1) == w["x"]).alias("taken"),
+                    (fp.combine(w["z"], w["x"], -1) == w["y"]).alias("rest"),
+                    (w["z"] == w["x"]).alias("no")).first()
+    assert tuple(row) == (True, True, True, False)
+
+
+def test_likeness_follows_the_common_share(spark):
+    own = "\n".join(f"line {i}" for i in range(200))
+    half = "\n".join(f"line {i}" for i in range(100)) + "\n" + "\n".join(f"other {i}" for i in range(100))
+    none = "\n".join(f"fresh {i}" for i in range(200))
+    repeated = "\n".join(["line 1"] * 30000)
+    df = spark.createDataFrame([(own, half, none, repeated)], "a string, b string, c string, d string")
+    for c in "abcd":
+        df = df.withColumn(c + "w", fp.fingerprint_words(F.col(c)))
+    df = df.select("*", *[fp.counters(F.col(c + "w")).alias(c + "s") for c in "abcd"])
+    row = df.select(*[fp.likeness("aw", c + "w", "as", c + "s").alias(c) for c in "abcd"]).first()
+    assert row["a"] == 1.0 and 0.25 < row["b"] < 0.75 and row["c"] < 0.35 and row["d"] < 0.5
+
+
+def test_empty_table_one_row_null_ids_and_other_columns(spark):
+    assert collected(spark, []) == []
+    one = collected(spark, [(1, "abcd")])[0]
+    assert one["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and one["near_next"] == 1.0
+    docs = spark.createDataFrame([(None, "zz", 1, "b"), (2, "abcd", 2, "t")],
+                                 SCHEMA + ", bucket int, words string")
+    got = {r["doc_id"]: r["edited_sha256"] for r in fp.edit_report(docs).collect()}
+    assert got == {2: hashlib.sha256(b"abzz").hexdigest(), None: hashlib.sha256(b"za").hexdigest()}

@@ -59,7 +59,7 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
     if sign < 0:  # a + (2^k - b) lane-wise; for packed counters, borrow from the guard bits
         guard = F.array(*[F.lit(_SUM + 1)] * 3, *[F.lit(_ONES << 14)] * SHIFTS)
         both = F.arrays_zip(a.alias("x"), b.alias("y"), guard.alias("q"), _masks().alias("m"))
-        return F.transform(both, lambda t: (t["0"] + t["2"] - t["1"]).bitwiseAND(t["3"]))
+        return F.transform(both, lambda t: (t["x"] + t["q"] - t["y"]).bitwiseAND(t["m"]))
     summed = F.zip_with(a, b, lambda x, y: x + y)
     return F.zip_with(summed, _masks(), lambda x, m: x.bitwiseAND(m))
 

@@ -31,7 +31,8 @@ from veritab.sources.files import materialize
 
 WORDS = 4                  # words of a shingle, unless a caller says otherwise
 PERCENT = 85               # sets link from this percentage of common shingles, likewise
-GROUPS = 64                # coordinates of a point
+GROUPS = 64                # coordinates of a point; of a long text's, four times as many, or 16 ...
+PER_GROUP = 24             # ... so that no more shingles than this fall into a group on average
 LEAF = 16                  # points of a tree's leaf
 COMMON_WORDS = 200_000     # bound: words with a rarity class; all others are rarest
 LOCAL_MIN = 4              # uses within a task from which a word is counted
@@ -132,9 +133,32 @@ def from_bytes(data: bytes) -> np.ndarray:
 
 
 def point(keys: np.ndarray) -> np.ndarray:
-    """How many shingles fall into each group."""
+    """How many shingles fall into each group. By chance two texts of n shingles have
+    common minima of about n - 0.56 sqrt(n * groups): a bound that tells them apart needs
+    groups in proportion to n."""
+    groups = GROUPS
+    while groups * PER_GROUP < len(keys):
+        groups *= 4
     mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return np.bincount((mixed >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
+    return np.bincount((mixed >> np.uint64(65 - groups.bit_length())).astype(np.int64),
+                       minlength=groups).astype("<u4")
+
+
+def fold(data: bytes, groups: int = GROUPS) -> np.ndarray:
+    """A point's counts over fewer groups: each takes up a run of the finer ones."""
+    fine = np.frombuffer(data, "<u4")
+    return fine if len(fine) == groups else fine.reshape(groups, -1).sum(1)
+
+
+def most_common(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Summed minima of pairs of points, over the groups of the coarser one of each."""
+    out = np.zeros(len(a), np.int64)
+    size = np.array([min(len(x), len(y)) // 4 for x, y in zip(a, b)], np.int64)
+    for groups in np.unique(size):
+        for some in np.array_split(at := np.flatnonzero(size == groups), 1 + len(at) * int(groups) // 500_000):
+            x, y = (np.array([fold(p[i], int(groups)) for i in some]).reshape(-1, int(groups)) for p in (a, b))
+            out[some] = np.minimum(x, y).sum(1)
+    return out
 
 
 def prefix_size(n, percent: int = PERCENT):
@@ -232,9 +256,8 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> Data
             n = [b.column(c).to_numpy() for c in ("na", "nb")]
             if not len(n[0]):
                 continue
-            p = [np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(-1, GROUPS)
-                 for c in ("pa", "pb")]
-            ok = ((np.minimum(*p).sum(1) >= overlap_needed(n[0] + n[1], percent))
+            p = [b.column(c).to_pylist() for c in ("pa", "pb")]
+            ok = ((most_common(*p) >= overlap_needed(n[0] + n[1], percent))
                   & (100 * np.minimum(*n) >= percent * np.maximum(*n)))
             yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(ok)) for c in ("a", "b")],
                                              names=["a", "b"])
@@ -280,11 +303,13 @@ def cross_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
             if not rows:
                 return None
             uid, n, comp = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 4))
-            pts = np.frombuffer(b"".join(r[3] for r in rows), "<u4").reshape(-1, GROUPS)
-            got = search(pts, n, comp, percent)
+            got = search(np.array([fold(r[3]) for r in rows]), n, comp, percent)
             if not got:
                 return None
-            r, c = (uid[np.concatenate([g[k] for g in got])] for k in (0, 1))
+            i, j = (np.concatenate([g[k] for g in got]) for k in (0, 1))
+            fine = most_common([rows[k][3] for k in i], [rows[k][3] for k in j])
+            ok = fine >= overlap_needed(n[i] + n[j], percent)
+            r, c = uid[i[ok]], uid[j[ok]]
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(r, c)), pa.array(np.maximum(r, c))],
                                               names=["a", "b"])
 
@@ -319,7 +344,7 @@ def shingle_table(docs: DataFrame, words: int = WORDS, keep=("doc_id",), text: s
                 keys = shingles(t)
                 data = to_bytes(keys)
                 out.append((len(keys), xxh3_128_digest(keys.tobytes()), data,
-                            point(from_bytes(data)).astype("<u4").tobytes()))
+                            point(from_bytes(data)).tobytes()))
             return [list(c) for c in zip(*out)] if out else [[]] * 4
         return work
 

@@ -32,6 +32,7 @@ SPAN = 0.5               # marginal from which a word belongs to a toxic span
 PREFIXES = (3, 4, 5, 6)
 SUFFIX = 3
 ROUNDS = 40
+RIDGE, RIDGE_OWN = 0.05, 0.02   # the latter times the number of toxic words
 SKETCH = 16              # words by which copies within the sample are told
 WORD = re.compile(r"\w+")
 _LANES = 512             # texts that go through the recursions together
@@ -241,6 +242,9 @@ def fit(rows: list[tuple[str, bool]], rounds: int = ROUNDS, clean_weight: float
     theta = np.zeros(len(names) + 6)   # features, bias, start, four transitions
     theta[-6] = model.bias
     speed = np.full(len(theta), 1e-8)
+    # features that few words share are held back, so that prefixes carry the weight
+    own = tuple(f"p{n}:" for n in PREFIXES[2:]) + ("w:", "s:")
+    ridge = np.array([RIDGE_OWN * gold.sum() if f.startswith(own) else RIDGE for f in names] + [RIDGE] * 6)
     for _ in range(rounds):
         emit = np.bincount(owner, theta[flat], len(feats)) + theta[-6]
         emit = np.clip(emit, -30, 30)
@@ -251,7 +255,7 @@ def fit(rows: list[tuple[str, bool]], rounds: int = ROUNDS, clean_weight: float
             np.bincount(flat, miss[owner], len(names)),
             [miss.sum(), gold_start - sum(x[0] for x in p if len(x))],
             (gold_steps - steps).ravel()])
-        grad -= 0.05 * theta
+        grad -= ridge * theta
         speed += grad * grad
         theta += 0.7 * grad / np.sqrt(speed)
     kept = {name: float(theta[i]) for name, i in names.items() if abs(theta[i]) > 0.01}
