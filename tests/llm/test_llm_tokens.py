@@ -24,9 +24,13 @@ def test_word_encoder_matches_whole_texts(library, monkeypatch):
     rng = random.Random(9)
     letters = "abcDEéñß 　\n\t\r.,!?'0123ÜΣЖ中🙂́ﬁ \x1c\x85"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(2500)]
+    pieces = ["The", "straße", "ÀÉ", "ÿ", "don't", "!!", "(", "<|", "|>", "endoftext", "_", "x", "9", "'s", "ª", "×", "ÇA"]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 4))) for _ in range(2500)]
     texts += ["don't we'll 's", "ΑΣ ΟΔΟΣ ΑΣ.", "<|endoftext|> ab<|startoftext|>c", "ab</w> c", "İstanbul", "e ́", ""]
     monkeypatch.setattr(t, "WORD_CACHE", 300)
+    monkeypatch.setattr(t, "RUN_CACHE", 100)
     encode = t.WordEncoder(t.tokenizer_path())
+    assert encode.plain
     for lo in range(0, len(texts), 100):
         for text, got in zip(texts[lo:lo + 100], encode(texts[lo:lo + 100])):
             assert np.frombuffer(got, "<u4").tolist() == whole(library, text), text

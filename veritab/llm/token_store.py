@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+from array import array
 from functools import lru_cache
 from zlib import crc32
 
@@ -36,7 +38,8 @@ DICTIONARY_BYTES = 65536
 LEVEL = 3
 SHARD_BYTES = 4 << 20      # a shard is closed beyond this many bytes of frames
 BROADCAST_SHARDS = 200_000  # up to so many, the shards' 16-byte starts are broadcast
-WORD_CACHE = 400_000       # words whose ids a worker remembers (memory only)
+WORD_CACHE = 300_000       # parts, and runs of letters, whose ids a worker remembers
+RUN_CACHE = 400_000        # (memory only)
 
 _HEAD = np.dtype([("magic", "S8"), ("hash", "S32"), ("n", "<u4")])
 INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n_tokens", "<u8"), ("offset", "<u8")])
@@ -48,31 +51,87 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+# A run of letters, each one code point with a lower case of one, among ASCII punctuation.
+_PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PROBES = ["Abc", "ÉTÉ", "x!!", "(Zß)", "##a_", "größe,", "</w>", "the:the"]
+
+
 class WordEncoder:
     """``Tokenizer.encode`` of whole texts by way of their distinct words.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its parts between blanks and line breaks, each encoded once by the library."""
+    The tokenizer drops white space and never joins across it, so a text's ids are those of
+    its parts between blanks and line breaks, each encoded once by the library. It also
+    separates letters from punctuation and ignores case; so where a part is one run of letters
+    among punctuation, the run's lower case goes to the library's model alone, which costs a
+    third, and is remembered for every spelling. A tokenizer that differs on the probes is
+    asked for whole parts only."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known = Parts(self.part)
+        self.runs: dict[str, bytes] = {}       # lower-case letters, or punctuation
+        letters = [chr(c) for c in range(0xDF, 0x100) if chr(c) != "÷"]
+        self.mapped = str.maketrans({c: "".join(x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c))
+                                     for c in letters}) if self.tokenizer.pre_tokenizer else {}
+        self.plain = bool(self.mapped) and all(self._by_runs(p) in (None, self._whole([p])[0]) for p in _PROBES)
+
+    def _whole(self, parts: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in coded]
+
+    def _letters(self, run: str) -> bytes:
+        got = self.runs.get(run)
+        if got is None:
+            mapped = run if run.isascii() else run.translate(self.mapped)
+            got = self.runs[run] = array("I", [x.id for x in self.tokenizer.model.tokenize(mapped)]).tobytes()
+        return got
+
+    def _signs(self, run: str) -> bytes:
+        if not run:
+            return b""
+        got = self.runs.get(run)
+        if got is None:
+            got = self.runs[run] = self._whole([run])[0]
+        return got
+
+    def _by_runs(self, part: str) -> bytes | None:
+        """The ids of a part of letters among punctuation; None for any other part."""
+        m = _PLAIN.fullmatch(part)
+        if m is None or "<|" in part:          # special tokens look so
+            return None
+        before, letters, after = m.groups()
+        return self._signs(before) + self._letters(letters.lower()) + self._signs(after)
+
+    def part(self, part: str) -> bytes:
+        """The ids of a text without blanks and line breaks."""
+        if self.plain:
+            if part.isascii() and part.isalpha():
+                return self._letters(part.lower())
+            if (got := self._by_runs(part)) is not None:
+                return got
+        return self._whole([part])[0]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, end id included, as little-endian unsigned 32-bit integers."""
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        wanted = set().union(*parts) if parts else set()
-        new = sorted(w for w in wanted if w not in self.known)
-        if len(self.known) + len(new) > WORD_CACHE:
-            self.known = {w: self.known[w] for w in wanted if w in self.known}
-        for lo in range(0, len(new), 50_000):
-            chunk = new[lo:lo + 50_000]
-            coded = self.tokenizer.encode_batch_fast(chunk, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(chunk, coded))
+        if len(self.runs) > RUN_CACHE:
+            self.runs.clear()
         look = self.known.__getitem__
-        return [b"".join([*map(look, p), END]) for p in parts]
+        return [b"".join([*map(look, t.replace("\n", " ").split(" ")), END]) for t in texts]
+
+
+class Parts(dict):
+    """Parts of texts with their ids, made when first asked for."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= WORD_CACHE:
+            self.clear()
+        self[part] = ids = self.make(part)
+        return ids
 
 
 @lru_cache(1)
