@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +102,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                          .distinct()))
 
 
+TASK_ROWS = 1024   # rows whose texts and results a Python worker holds at a time
+
 _SHIPPED: set[str] = set()
 
 
@@ -142,21 +145,36 @@ def map_texts(df: DataFrame, make, schema: str, keep=("doc_id",), text: str = "t
 
         fields = to_arrow_schema(T.StructType(kept.fields + added.fields))
         work = make()
-        for batch in batches:
-            texts = ["" if x is None else x for x in batch.column(text).to_pylist()]
-            got = work(texts, *[batch.column(c).to_pylist() for c in extra])
-            arrays = [batch.column(c) for c in keep]
-            arrays += [x if isinstance(x, pa.Array) else pa.array(x, type=f.type)
-                       for x, f in zip(got, list(fields)[len(keep):])]
-            yield pa.RecordBatch.from_arrays(
-                [a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, fields)],
-                schema=fields)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, TASK_ROWS):
+                batch = whole.slice(lo, TASK_ROWS)
+                texts = ["" if x is None else x for x in batch.column(text).to_pylist()]
+                got = work(texts, *[batch.column(c).to_pylist() for c in extra])
+                arrays = [batch.column(c) for c in keep]
+                arrays += [x if isinstance(x, pa.Array) else pa.array(x, type=f.type)
+                           for x, f in zip(got, list(fields)[len(keep):])]
+                yield pa.RecordBatch.from_arrays(
+                    [a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, fields)],
+                    schema=fields)
 
     ship(df.sparkSession)
     columns = list(dict.fromkeys([*keep, text, *extra]))
     return df.select(*columns).mapInArrow(run, T.StructType(kept.fields + added.fields))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within it, Spark hands Python workers at most ``rows`` rows at a time: for actions
+    on rows that are large by themselves. The session's own setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def chunks(texts: list[str], chars: int = 4_000_000):
     """Lists of neighbouring texts of about ``chars`` characters; a longer text is a
     list of its own. Bounds what a task holds of words at a time."""

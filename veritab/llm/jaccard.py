@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.llm.common import aliased, components, map_texts, ship
+from veritab.llm.common import aliased, arrow_rows, components, map_texts, ship
 from veritab.sources.files import materialize
 
 WORDS = 4                  # words of a shingle, unless a caller says otherwise
@@ -39,6 +39,7 @@ LOCAL_MIN = 4              # uses within a task from which a word is counted
 WORD_CACHE = 400_000       # words whose hash a worker remembers (memory only)
 BROADCAST_ROWS = 500_000   # up to so many 8-byte ids are broadcast; else they are joined by shuffle
 KEY_BYTES = 6
+SET_ROWS = 256             # sets, or pairs of sets, that a Python worker is handed at a time
 
 
 def split_words(text: str) -> list[bytes]:
@@ -71,7 +72,7 @@ def word_levels(docs: DataFrame, bound: int = COMMON_WORDS) -> dict[int, int]:
         for batch in batches:
             for text in batch.column("text"):
                 held.update(set(split_words(text.as_py() or "")))
-                if len(held) > 600_000:
+                if len(held) > 400_000:
                     yield flush()
         yield flush()
 
@@ -293,6 +294,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return pairs.join(one, "a").join(two, "b").mapInArrow(keep, "a bigint, b bigint")
 
 
+def verified_links(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    links = verified(materialize(pairs, "join-pairs"), sets, percent)
+    with arrow_rows(sets.sparkSession, SET_ROWS):
+        return materialize(links, "links")
+
+
 def cross_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
     """R-tree search within every cell ``(cell, uid, n, point, comp)`` for pairs across
     components, a cell at a time."""
@@ -381,11 +388,12 @@ def classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     entries = (unique.select("uid", "n", "keys").mapInArrow(explode, "cell bigint, uid bigint")
                .withColumn("lo", F.min("uid").over(cell)).withColumn("hi", F.max("uid").over(cell))
                .where("lo <> hi").withColumn("members", F.count("*").over(cell)))
-    entries = materialize(entries, "join-cells")
+    with arrow_rows(spark, SET_ROWS):
+        entries = materialize(entries, "join-cells")
     pair = F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("uid").alias("b")),
                              F.struct(F.col("uid").alias("a"), F.col("hi").alias("b"))))
     stars = entries.select(pair.alias("p")).select("p.a", "p.b").where("a <> b").distinct()
-    one = materialize(verified(materialize(bounded(stars, points, percent), "join-pairs"), sets, percent), "links")
+    one = verified_links(bounded(stars, points, percent), sets, percent)
 
     comps = components(one).select(F.col("id").alias("uid"), F.col("component_id").alias("c"))
     labelled = (entries.where("members > 3").select("cell", "uid").join(comps, "uid", "left")
@@ -393,7 +401,7 @@ def classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
                 .withColumn("c0", F.min("comp").over(cell)).withColumn("c1", F.max("comp").over(cell))
                 .where("c0 <> c1").select("cell", "uid", "comp"))
     across = cross_pairs(labelled.join(points, "uid"), percent).distinct()
-    two = materialize(verified(materialize(across, "join-pairs"), sets, percent), "links")
+    two = verified_links(across, sets, percent)
 
     final = components(one.unionByName(two)).select(F.col("id").alias("rep"), F.col("component_id").alias("class"))
     return node.join(final, "rep", "left").select("uid", F.coalesce("class", "rep").alias("class"))

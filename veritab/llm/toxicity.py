@@ -35,7 +35,7 @@ ROUNDS = 40
 RIDGE, RIDGE_OWN = 0.05, 0.02   # the latter times the number of toxic words
 SKETCH = 16              # words by which copies within the sample are told
 WORD = re.compile(r"\w+")
-_LANES = 512             # texts that go through the recursions together
+_LANES = 256             # texts that go through the recursions together
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC,
@@ -228,9 +228,11 @@ def fit(rows: list[tuple[str, bool]], rounds: int = ROUNDS, clean_weight: float
     flat = np.concatenate([np.array(f) for f in feats])
     owner = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
     flags = np.array(flagged)
-    ids = [np.array([word_ids[w] for w in ws], np.int64) for ws in texts]
+    ids = [np.array([word_ids[w] for w in ws], np.int32) for ws in texts]
+    del texts, word_ids
     truth = [flags[i] & x for i, x in zip(ids, toxic)]
     everything = np.concatenate(ids)
+    del rows
     gold = np.bincount(everything, np.concatenate(truth).astype(float), len(feats))
     gold_steps = np.zeros((2, 2))
     for y in truth:
