@@ -11,7 +11,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.sources.files import materialize
+from veritab.sources.files import materialize_at, remove_dir, shared_dir
 
 # Fixed value: what separates words in the size and shingle definitions
 # (space and the ASCII controls 9 to 13).
@@ -64,6 +64,25 @@ def aliased(df: DataFrame):
     return df.toDF(*plain), names, back
 
 
+class Scratch:
+    """Tables that an operator writes to the shared folder on its way; ``drop`` removes
+    those that nothing will read any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, list[str]] = {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_dir(self.spark, name)
+        self.paths.setdefault(name, []).append(path)
+        return materialize_at(df, path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            for path in self.paths.pop(name, []):
+                remove_dir(self.spark, path)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges(a, b)`` of longs.
 
@@ -76,9 +95,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     re-read. Nothing but two counters reaches the driver.
     """
     lo, hi = F.least("a", "b"), F.greatest("a", "b")
-    cur = materialize(edges.select(lo.alias("lo"), hi.alias("hi"))
-                      .where("lo <> hi").distinct(), "edges")
-    for _ in range(max_rounds):
+    scratch = Scratch(edges.sparkSession)
+    cur = scratch.keep(edges.select(lo.alias("lo"), hi.alias("hi"))
+                       .where("lo <> hi").distinct(), "edges-0")
+    for k in range(max_rounds):
         tangled = (cur.groupBy("hi").agg(F.count("*").alias("n")).where("n > 1")
                    .select(F.col("hi").alias("x"))
                    .unionByName(cur.join(cur.select(F.col("hi").alias("lo")), "lo", "left_semi")
@@ -93,8 +113,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # small star: a node and its smaller neighbours point to the smallest of them
         down = large.groupBy("hi").agg(F.min("lo").alias("m"))
         linked = large.join(down, "hi").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
-        cur = materialize(linked.unionByName(down.select(F.col("m").alias("lo"), "hi"))
-                          .where("lo <> hi").distinct(), "edges")
+        cur = scratch.keep(linked.unionByName(down.select(F.col("m").alias("lo"), "hi"))
+                           .where("lo <> hi").distinct(), f"edges-{k + 1}")
+        scratch.drop(f"edges-{k}")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return (cur.select(F.col("hi").alias("id"), F.col("lo").alias("component_id"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.llm.common import aliased, arrow_rows, components, map_texts, ship
+from veritab.llm.common import Scratch, aliased, arrow_rows, components, map_texts, ship
 from veritab.sources.files import materialize
 
 WORDS = 4                  # words of a shingle, unless a caller says otherwise
@@ -240,12 +240,13 @@ def search(points: np.ndarray, sizes: np.ndarray, comps: np.ndarray,
 
 # ----------------------------------------------------------------------- join
 
-def restrict(table: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``table`` with (``left_semi``) or without (``left_anti``) their uid in
-    ``ids``; ids are broadcast while they are few, else joined by shuffle."""
-    if ids.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    return table.join(ids, "uid", how)
+def restrict(table: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of ``table`` with (``left_semi``) or without (``left_anti``) their key among
+    ``keys``, joined on all columns of the latter; keys are broadcast while they are few,
+    else joined by shuffle."""
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    return table.join(keys, keys.columns, how)
 
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -268,9 +269,11 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> Data
     return pairs.join(one, "a").join(two, "b").mapInArrow(keep, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
     """The pairs that link, compared on their whole sets. Only sets of these pairs move,
     and a task holds one batch of pairs."""
+    pairs = scratch.keep(pairs, "join-pairs")
+
     def keep(batches):
         import pyarrow as pa
 
@@ -287,17 +290,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
             mask = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([x.filter(mask) for x in cols[:2]], names=["a", "b"])
 
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "join-ids")
+    ids = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "join-ids")
     some = restrict(sets.select("uid", "n", "keys"), ids, "left_semi")
     one = some.select(F.col("uid").alias("a"), F.col("n").alias("na"), F.col("keys").alias("sa"))
     two = some.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("keys").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").mapInArrow(keep, "a bigint, b bigint")
-
-
-def verified_links(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    links = verified(materialize(pairs, "join-pairs"), sets, percent)
+    links = pairs.join(one, "a").join(two, "b").mapInArrow(keep, "a bigint, b bigint")
     with arrow_rows(sets.sparkSession, SET_ROWS):
-        return materialize(links, "links")
+        links = scratch.keep(links, "join-links")
+    scratch.drop("join-pairs", "join-ids")
+    return links
 
 
 def cross_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -335,10 +336,10 @@ def cross_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
             .sortWithinPartitions("cell").mapInArrow(run, "a bigint, b bigint"))
 
 
-def shingle_table(docs: DataFrame, words: int = WORDS, keep=("doc_id",), text: str = "text") -> DataFrame:
+def shingle_table(docs: DataFrame, words: int = WORDS, keep=("doc_id",)) -> DataFrame:
     """Every row's shingle set: ``uid`` (of the row), the ``keep`` columns, ``n``, ``same``
     (a 128-bit hash of the set), ``keys`` and ``point``; written to the shared folder."""
-    levels = word_levels(docs.select(F.col(text).alias("text")))
+    levels = word_levels(docs)
 
     def make():
         from xxhash import xxh3_128_digest
@@ -355,8 +356,7 @@ def shingle_table(docs: DataFrame, words: int = WORDS, keep=("doc_id",), text: s
             return [list(c) for c in zip(*out)] if out else [[]] * 4
         return work
 
-    made = map_texts(docs, make, "n bigint, same binary, keys binary, point binary", keep=keep,
-                     text=text)
+    made = map_texts(docs, make, "n bigint, same binary, keys binary, point binary", keep=keep)
     return materialize(made.withColumn("uid", F.monotonically_increasing_id()), "shingles")
 
 
@@ -364,6 +364,7 @@ def classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``(uid, class)`` of every set that is not empty; the class is the least uid that is
     reachable by links."""
     spark = sets.sparkSession
+    scratch = Scratch(spark)
     ship(spark)
     some = sets.where("n > 0")
     first = some.groupBy("same").agg(F.min("uid").alias("rep"))
@@ -389,11 +390,11 @@ def classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
                .withColumn("lo", F.min("uid").over(cell)).withColumn("hi", F.max("uid").over(cell))
                .where("lo <> hi").withColumn("members", F.count("*").over(cell)))
     with arrow_rows(spark, SET_ROWS):
-        entries = materialize(entries, "join-cells")
+        entries = scratch.keep(entries, "join-cells")
     pair = F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("uid").alias("b")),
                              F.struct(F.col("uid").alias("a"), F.col("hi").alias("b"))))
     stars = entries.select(pair.alias("p")).select("p.a", "p.b").where("a <> b").distinct()
-    one = verified_links(bounded(stars, points, percent), sets, percent)
+    one = verified(bounded(stars, points, percent), sets, scratch, percent)
 
     comps = components(one).select(F.col("id").alias("uid"), F.col("component_id").alias("c"))
     labelled = (entries.where("members > 3").select("cell", "uid").join(comps, "uid", "left")
@@ -401,9 +402,10 @@ def classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
                 .withColumn("c0", F.min("comp").over(cell)).withColumn("c1", F.max("comp").over(cell))
                 .where("c0 <> c1").select("cell", "uid", "comp"))
     across = cross_pairs(labelled.join(points, "uid"), percent).distinct()
-    two = verified_links(across, sets, percent)
+    two = verified(across, sets, scratch, percent)
 
     final = components(one.unionByName(two)).select(F.col("id").alias("rep"), F.col("component_id").alias("class"))
+    scratch.drop("join-cells", "join-links")
     return node.join(final, "rep", "left").select("uid", F.coalesce("class", "rep").alias("class"))
 
 
@@ -422,14 +424,23 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group of linked texts: that of least id (then of least
-    place in the table; rows without an id come last). Texts without words stay."""
+    """``docs`` with one row of each group of linked texts: that of least id (rows without
+    an id come last; of rows equal in id and text any one). Texts without words stay.
+
+    Only ids and 128-bit row keys go through the join; the rows themselves are read again
+    and lose those whose key is on the list to drop."""
+    scratch = Scratch(docs.sparkSession)
     rows, at, back = aliased(docs)
-    sets = shingle_table(rows, words, keep=tuple(rows.columns), text=at["text"])
-    grouped = classes(sets, percent)
-    doc_id = F.col(at["doc_id"])
-    first = F.min(F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), F.col("uid").alias("u")))
-    best = (sets.select("uid", at["doc_id"]).join(grouped, "uid")
-            .groupBy("class").agg(first["u"].alias("uid")))
-    drop = materialize(grouped.select("uid").join(best.select("uid"), "uid", "left_anti"), "join-drop")
-    return back(restrict(sets.select("uid", *rows.columns), drop, "left_anti"))
+    doc_id, text = F.col(at["doc_id"]), F.col(at["text"])
+    rows = rows.withColumns({"k1": F.xxhash64(doc_id, text), "k2": F.xxhash64(F.lit(1), text, doc_id)})
+    sets = shingle_table(rows.select(doc_id.alias("doc_id"), text.alias("text"), "k1", "k2"), words,
+                         keep=("doc_id", "k1", "k2"))
+    keyed = sets.select("uid", "doc_id", "k1", "k2").join(classes(sets, percent), "uid")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid", "k1", "k2"))
+    best = keyed.groupBy("class").agg(first.alias("w")).select("w.k1", "w.k2")
+    counted = keyed.groupBy("k1", "k2").agg(F.count("*").alias("copies"))
+    counted = scratch.keep(counted.join(best.withColumn("best", F.lit(True)), ["k1", "k2"], "left"), "row-keys")
+    left = restrict(rows, counted.where("best IS NULL").select("k1", "k2"), "left_anti")
+    repeated = counted.where("best AND copies > 1").select("k1", "k2")
+    once = restrict(left, repeated, "left_anti")
+    return back(once.unionByName(restrict(left, repeated, "left_semi").dropDuplicates(["k1", "k2"])))

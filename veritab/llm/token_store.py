@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.llm.common import chunks, map_texts, ship
-from veritab.sources.files import materialize, shared_dir
+from veritab.llm.common import Scratch, chunks, map_texts, ship
+from veritab.sources.files import shared_dir
 
 MAGIC = b"TIDS0001"
 END_ID = 1                 # appended to each document
@@ -237,7 +237,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None) -> str
             return [sizes, frames]
         return work
 
-    frames = materialize(map_texts(docs.select("doc_id", "text"), make,
+    scratch = Scratch(spark)
+    frames = scratch.keep(map_texts(docs.select("doc_id", "text"), make,
                                    "n_tokens bigint, frame binary"), "token-frames")
     ordered = (frames.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("n_tokens"))
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", "frame"))
@@ -273,6 +274,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None) -> str
     ship(spark)
     ordered.mapInArrow(shards, T.StructType.fromDDL(SHARD_SCHEMA)).write.parquet(
         os.path.join(path, "shards"))
+    scratch.drop("token-frames")
     return path
 
 
