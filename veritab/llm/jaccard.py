@@ -78,11 +78,12 @@ def word_levels(docs: DataFrame, bound: int = COMMON_WORDS) -> dict[int, int]:
 
     ship(docs.sparkSession)
     top = (docs.select("text").mapInArrow(count, schema).groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.col("n").desc(), "word").limit(bound).collect())
-    if not top:
+           .orderBy(F.col("n").desc(), "word").limit(bound).toArrow())
+    if not top.num_rows:
         return {}
-    least = top[-1]["n"]
-    return {r["word"] & (2 ** 64 - 1): min(15, 1 + int(r["n"] // least).bit_length() - 1) for r in top}
+    n = top.column("n").to_numpy()
+    level = np.minimum(15, 1 + np.log2(n // n.min()).astype(np.int64))
+    return dict(zip(top.column("word").to_numpy().view(np.uint64).tolist(), level.tolist()))
 
 
 # ------------------------------------------------------------------- shingles

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from veritab.llm.common import aliased, chunks, held_out, map_texts
 
-SAMPLE_TOXIC = 1000      # bound: toxic documents that are learned from
-SAMPLE_CLEAN = 2000      # bound: other documents that are learned from
+SAMPLE_TOXIC = 800       # bound: toxic documents that are learned from
+SAMPLE_CLEAN = 1600      # bound: other documents that are learned from
 SAMPLE_CHARS = 20_000    # bound: longer documents are not learned from
 THRESHOLD = 0.3          # a document with this score or more is predicted toxic
 RATE, SURE = 12, 9      # how much more frequent, and how sure, a toxic feature must be
@@ -149,28 +149,26 @@ def label_words(texts: list[list[str]], toxic: list[bool]) -> set[str]:
     """Features that mark a word of a toxic document as toxic: in at least a fiftieth of
     the toxic documents, many times more frequent there than elsewhere, and in too many
     of them for chance. Copies of a document count once, or their rare words would pass."""
-    fresh = originals(texts)
+    fresh = [(w, bool(t)) for w, t, new in zip(texts, toxic, originals(texts)) if new]
+    n1 = sum(t for _, t in fresh)
+    n0 = len(fresh) - n1
+    if not n0 or not n1:
+        return set()
+    # first what is common among the toxic; only that is counted further
+    common = Counter(f for words, t in fresh if t for f in {f for w in set(words) for f in features(w)})
+    common = {f for f, k in common.items() if k >= max(3, 0.02 * n1) and not f.startswith("s:")}
     docs, uses = (Counter(), Counter()), (Counter(), Counter())
-    size = [0, 0]
-    for words, t, new in zip(texts, toxic, fresh):
-        if not new:
-            continue
-        size[bool(t)] += 1
+    for words, t in fresh:
         once: Counter = Counter()
         for w, n in Counter(words).items():
             for f in features(w):
-                if not f.startswith("s:"):
+                if f in common:
                     once[f] += n
         for f, n in once.items():
-            docs[bool(t)][f] += 1
-            uses[bool(t)][f] += min(n, USES)
-    n0, n1 = size
-    if not n0 or not n1:
-        return set()
+            docs[t][f] += 1
+            uses[t][f] += min(n, USES)
     marks = set()
     for f, k in docs[True].items():
-        if k < max(3, 0.02 * n1):
-            continue
         expected = (k + docs[False][f]) * n1 / (n0 + n1)
         rate = (uses[True][f] / n1) / ((uses[False][f] + 0.5) / n0)
         if rate >= RATE and k * np.log(k / expected) - (k - expected) >= SURE:
