@@ -63,6 +63,7 @@ def test_unigram_models_take_the_best_sum(monkeypatch):
     m.ids = {x: i for i, x in enumerate(names)}
     m.scores = [-rng.uniform(1, 5) for _ in names]
     m.longest = 3
+    m.joined = {x[k:k + 2] for x in names for k in range(len(x) - 1)}
 
     def best(word):
         if not word:
@@ -77,6 +78,7 @@ def test_unigram_models_take_the_best_sum(monkeypatch):
         assert "".join(got) == "▁" + word
         assert sum(m.scores[m.ids[x]] for x in got) == pytest.approx(best("▁" + word)[0])   # ties are free
         encode.known.clear()
+        encode.segments.clear()
 
 
 def test_odd_rows(spark, library):

@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding by a shared-prefix Viterbi search.
 
-A text's words, each with its space marks, are taken once per batch, sorted and walked
-depth-first as a trie: the forward scores of a prefix are computed once and reused by every
-word that begins with it. No piece has a mark after another character, so words can be
-encoded apart and joined.
+A text's words, each with its space marks, are taken once per batch, cut where no piece of
+the model has the two characters side by side, sorted and walked depth-first as a trie: the
+forward scores of a prefix are computed once and reused by everything that begins with it.
+No piece crosses a cut, nor a mark after another character, so what is encoded apart can be
+joined.
 
 The forward state of a prefix is its best path's score and last piece. For a unigram model
 a path's score is the sum of its pieces' scores. For a BPE model a path counts only if each
@@ -27,7 +28,7 @@ from veritab.llm.common import chunks, map_texts
 
 MARK = "▁"          # fixed value: stands for a space
 UNIGRAM, BPE = 1, 2      # fixed values: model types in a model file
-WORD_CACHE = 400_000     # words whose ids a worker remembers (memory only)
+WORD_CACHE = 300_000     # words, and segments, whose ids a worker remembers (memory only)
 PAIR_CACHE = 2_000_000   # neighbours whose standing a worker remembers (memory only)
 
 _MARKED = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -111,6 +112,8 @@ class Model:
             if len(p) > 2:
                 ends.setdefault(p[-3:], set()).add(len(p))
         self.lengths = {e: sorted(n, reverse=True) for e, n in ends.items()}
+        # characters that stand side by side in some piece; between any others no piece crosses
+        self.joined = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece crosses a word's beginning")
 
@@ -134,7 +137,8 @@ class Encoder:
 
     def __init__(self, path: str):
         self.model = Model(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}       # words without their first mark
+        self.segments: dict[str, bytes] = {}    # words' segments between cuts
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
 
@@ -200,7 +204,7 @@ class Encoder:
             while i:
                 path.append(last[i])
                 i -= len(last[i])
-            self.known[word[1:]] = self._to_bytes(reversed(path))
+            self.segments[word] = self._to_bytes(reversed(path))
 
     def _best_unigram(self, word: str, i: int, score: list[float]) -> tuple[float, str]:
         model = self.model
@@ -229,6 +233,11 @@ class Encoder:
 
     # ---- texts
 
+    def _cut(self, word: str) -> list[str]:
+        joined = self.model.joined
+        at = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in joined]
+        return [word[a:b] for a, b in zip([0, *at], [*at, len(word)])] if at else [word]
+
     def words(self, text: str) -> list[str]:
         """A text's words without their first mark."""
         if not text:
@@ -246,11 +255,14 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [self.words(t) for t in texts]
         wanted = set().union(*parts) if parts else set()
-        new = [MARK + w for w in wanted if w not in self.known]
+        new = {w: self._cut(MARK + w) for w in wanted if w not in self.known}
         if len(self.known) + len(new) > WORD_CACHE:
             self.known = {w: self.known[w] for w in wanted if w in self.known}
-        new.sort()
-        self._walk(new)
+        if len(self.segments) > WORD_CACHE:
+            self.segments.clear()
+        self._walk(sorted({s for cut in new.values() for s in cut if s not in self.segments}))
+        made = self.segments.__getitem__
+        self.known.update((w, b"".join(map(made, cut))) for w, cut in new.items())
         look = self.known.__getitem__
         return [b"".join(map(look, p)) for p in parts]
 
