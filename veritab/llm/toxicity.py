@@ -29,6 +29,7 @@ THRESHOLD = 0.3          # a document with this score or more is predicted toxic
 RATE, SURE = 12, 9      # how much more frequent, and how sure, a toxic feature must be
 USES = 8                 # uses of a feature within one document that count
 SPAN = 0.5               # marginal from which a word belongs to a toxic span
+FAINT = 0.4              # marginal from which a word counts for its document's score
 PREFIXES = (3, 4, 5, 6)
 SUFFIX = 3
 ROUNDS = 40
@@ -154,37 +155,43 @@ def label_words(texts: list[list[str]], toxic: list[bool]) -> set[str]:
     n0 = len(fresh) - n1
     if not n0 or not n1:
         return set()
+    counts = [(Counter(words), t) for words, t in fresh]
     # first what is common among the toxic; only that is counted further
-    common = Counter(f for words, t in fresh if t for f in {f for w in set(words) for f in features(w)})
-    common = {f for f, k in common.items() if k >= max(3, 0.02 * n1) and not f.startswith("s:")}
-    docs, uses = (Counter(), Counter()), (Counter(), Counter())
-    for words, t in fresh:
-        once: Counter = Counter()
-        for w, n in Counter(words).items():
-            for f in features(w):
-                if f in common:
+    common = Counter(f for words, t in counts if t for f in {f for w in words for f in features(w)})
+    common = {f for f, k in common.items() if k >= max(3, 0.02 * n1)}
+    # whole words first, then prefixes from the longest: a prefix is judged by the words that
+    # nothing longer has marked, or a common beginning of clean words would pass with them
+    marks: set[str] = set()
+    for kind in ["w:", *(f"p{n}:" for n in sorted(PREFIXES, reverse=True))]:
+        docs, uses = (Counter(), Counter()), (Counter(), Counter())
+        for words, t in counts:
+            once: Counter = Counter()
+            for w, n in words.items():
+                fs = features(w)
+                f = next((f for f in fs if f.startswith(kind)), None)
+                if f in common and marks.isdisjoint(fs):
                     once[f] += n
-        for f, n in once.items():
-            docs[t][f] += 1
-            uses[t][f] += min(n, USES)
-    marks = set()
-    for f, k in docs[True].items():
-        expected = (k + docs[False][f]) * n1 / (n0 + n1)
-        rate = (uses[True][f] / n1) / ((uses[False][f] + 0.5) / n0)
-        if rate >= RATE and k * np.log(k / expected) - (k - expected) >= SURE:
-            marks.add(f)
+            for f, n in once.items():
+                docs[t][f] += 1
+                uses[t][f] += min(n, USES)
+        for f, k in docs[True].items():
+            expected = (k + docs[False][f]) * n1 / (n0 + n1)
+            rate = (uses[True][f] / n1) / ((uses[False][f] + 0.5) / n0)
+            if rate >= RATE and k * np.log(k / expected) - (k - expected) >= SURE:
+                marks.add(f)
     return marks
 
 
 def document_features(p: np.ndarray) -> np.ndarray:
     """What a document's score is made from: the expected number of toxic words, the
-    chance of two or more, and their share of the words."""
-    if not len(p):
+    chance of two or more, and their share of the words. Words below ``FAINT`` do not count:
+    thousands of them, in a long text, would make up for none that is toxic."""
+    q = np.minimum(p[p >= FAINT], 1 - 1e-9)
+    if not len(q):
         return np.array([1.0, 0.0, 0.0, 0.0])
-    p = np.minimum(p, 1 - 1e-9)
-    none = np.exp(np.log1p(-p).sum())
-    two = 1 - none * (1 + (p / (1 - p)).sum())
-    n = p.sum()
+    none = np.exp(np.log1p(-q).sum())
+    two = 1 - none * (1 + (q / (1 - q)).sum())
+    n = q.sum()
     return np.array([1.0, np.log1p(n), max(0.0, two), min(1.0, 20 * n / len(p))])
 
 
