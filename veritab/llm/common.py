@@ -177,6 +177,8 @@ def map_texts(df: DataFrame, make, schema: str, keep=("doc_id",), text: str = "t
                 yield pa.RecordBatch.from_arrays(
                     [a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, fields)],
                     schema=fields)
+            whole = batch = texts = got = arrays = None
+            pa.default_memory_pool().release_unused()
 
     ship(df.sparkSession)
     columns = list(dict.fromkeys([*keep, text, *extra]))

@@ -36,7 +36,7 @@ PER_GROUP = 24             # ... so that no more shingles than this fall into a
 LEAF = 16                  # points of a tree's leaf
 COMMON_WORDS = 200_000     # bound: words with a rarity class; all others are rarest
 LOCAL_MIN = 4              # uses within a task from which a word is counted
-WORD_CACHE = 400_000       # words whose hash a worker remembers (memory only)
+WORD_CACHE = 200_000       # words whose hash a worker remembers (memory only)
 BROADCAST_ROWS = 500_000   # up to so many 8-byte ids are broadcast; else they are joined by shuffle
 KEY_BYTES = 6
 SET_ROWS = 256             # sets, or pairs of sets, that a Python worker is handed at a time
@@ -72,7 +72,7 @@ def word_levels(docs: DataFrame, bound: int = COMMON_WORDS) -> dict[int, int]:
         for batch in batches:
             for text in batch.column("text"):
                 held.update(set(split_words(text.as_py() or "")))
-                if len(held) > 400_000:
+                if len(held) > 250_000:
                     yield flush()
         yield flush()
 

@@ -28,8 +28,8 @@ from veritab.llm.common import chunks, map_texts
 
 MARK = "▁"          # fixed value: stands for a space
 UNIGRAM, BPE = 1, 2      # fixed values: model types in a model file
-WORD_CACHE = 300_000     # words, and segments, whose ids a worker remembers (memory only)
-PAIR_CACHE = 2_000_000   # neighbours whose standing a worker remembers (memory only)
+WORD_CACHE = 200_000     # words, and segments, whose ids a worker remembers (memory only)
+PAIR_CACHE = 500_000     # neighbours whose standing a worker remembers (memory only)
 
 _MARKED = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 

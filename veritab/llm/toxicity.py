@@ -36,7 +36,7 @@ ROUNDS = 40
 RIDGE, RIDGE_OWN = 0.05, 0.02   # the latter times the number of toxic words
 SKETCH = 16              # words by which copies within the sample are told
 WORD = re.compile(r"\w+")
-_LANES = 256             # texts that go through the recursions together
+_CELLS = 300_000         # words, with padding, that go through the recursions together
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC,
@@ -84,6 +84,17 @@ class Field:
         return min(30.0, max(-30.0, self.bias + sum(w.get(f, 0.0) for f in features(word))))
 
 
+def _groups(order: list[int], sizes: list[int]):
+    """Runs of texts, sorted by length, whose padded words stay within ``_CELLS``."""
+    at = 0
+    while at < len(order):
+        end = at + 1
+        while end < len(order) and (end + 1 - at) * sizes[order[end]] <= _CELLS:
+            end += 1
+        yield order[at:end]
+        at = end
+
+
 def marginals(scores: list[np.ndarray], start: float, trans: np.ndarray,
               pairs: bool = False):
     """Forward-backward over sequences of toxic scores: each word's probability of the
@@ -94,8 +105,7 @@ def marginals(scores: list[np.ndarray], start: float, trans: np.ndarray,
     out: list = [None] * len(scores)
     steps = np.zeros((2, 2))
     order = sorted(range(len(scores)), key=lambda i: len(scores[i]))
-    for lo in range(0, len(order), _LANES):
-        group = order[lo:lo + _LANES]
+    for group in _groups(order, [len(s) for s in scores]):
         n = np.array([len(scores[i]) for i in group])
         if n[-1] == 0:
             for i in group:
@@ -284,7 +294,7 @@ class Tagger:
 
         class Scores(dict):
             def __missing__(self, word):
-                if len(self) > 500_000:   # memory only: forgotten words are scored again
+                if len(self) > 200_000:   # memory only: forgotten words are scored again
                     self.clear()
                 self[word] = s = model.emission(word)
                 return s
