@@ -153,3 +153,54 @@ def test_key_bytes_keep_order_and_value():
     keys = np.unique(np.random.default_rng(1).integers(0, 2 ** 64, 500, np.uint64))
     back = j.from_bytes(j.to_bytes(keys))
     assert (back == (keys >> np.uint64(16)).astype(np.int64)).all()
+
+
+def test_large_cells_are_searched_by_pairs_of_tiles(spark, monkeypatch):
+    monkeypatch.setattr(j, "CELL_ROWS", 8)
+    cells = spark.createDataFrame([(c, u, m) for c, m in ((1, 100), (2, 41), (3, 8), (4, 16)) for u in range(m)],
+                                  "cell long, uid long, members long")
+    met, held = {}, {}
+    for lo, hi in j.passes(13):
+        groups = {}
+        for r in j.tiled(cells, lo, hi).collect():
+            groups.setdefault((r["cell"], r["a"], r["b"]), []).append((r["uid"], r["mine"]))
+        for (c, a, b), rows in groups.items():
+            held[c] = max(held.get(c, 0), len(rows))
+            for (u, s), (v, t) in itertools.combinations(rows, 2):
+                if a == b or s != t:
+                    met.setdefault(c, []).append(frozenset((u, v)))
+    for c, m in ((1, 100), (2, 41), (3, 8), (4, 16)):     # every two members once, in groups of bounded size
+        assert len(met[c]) == len(set(met[c])) == m * (m - 1) // 2
+    assert held[1] < 50 and held[3] == 8
+
+
+def test_tiles_lose_no_link_of_a_shared_passage(spark, monkeypatch):
+    monkeypatch.setattr(j, "CELL_ROWS", 12)
+    sizes = []
+    cross = j.cross_pairs
+    monkeypatch.setattr(j, "cross_pairs", lambda cells, percent: (
+        sizes.append([r["count"] for r in cells.groupBy("cell", "a", "b").count().collect()]), cross(cells, percent))[1])
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(2000)]
+    passage = [rng.choice(words) for _ in range(60)]
+    rows = []
+    for k in range(30):               # one passage is most of each: just too little for a link, but for near copies
+        text = passage + [rng.choice(words) for _ in range(8)]
+        for _ in range(rng.randint(1, 3)):
+            new = list(text)
+            new[-1] = rng.choice(words)
+            rows.append((len(rows), " ".join(new)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want, _ = brute(rows)
+    assert sorted(tuple(r) for r in j.join(docs).collect()) == sorted(want)
+    assert len({x[2] for x in want}) > 15
+    assert len(sizes) > 2 and all(0 < max(s) < 0.75 * len(rows) for s in sizes)
+
+
+def test_search_hands_out_pairs_before_it_is_done(monkeypatch):
+    monkeypatch.setattr(j, "PAIR_ROWS", 500)
+    points, sizes = np.full((300, j.GROUPS), 2, np.int64), np.full(300, 2 * j.GROUPS)
+    lots = list(j.search(points, sizes, np.arange(300)))
+    assert sum(len(r) for r, _ in lots) == 300 * 299 // 2 and max(len(r) for r, _ in lots) < 1000
+    between = [(a, b) for r, c in j.search(points, sizes, np.arange(300), j.PERCENT, 100) for a, b in zip(r, c)]
+    assert len(set(between)) == len(between) == 100 * 200 and all(a < 100 <= b for a, b in between)

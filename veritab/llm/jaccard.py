@@ -10,8 +10,11 @@ pairs are sought within cells only. Components need connections, not all pairs:
 1. each member of a cell is paired with the cell's first and last member, the pairs are
    bounded, verified, and joined to components - this connects groups of copies of any size
    in time linear in their rows;
-2. cells that still hold several components are searched with an R-tree for pairs across
-   components, whose survivors are verified in the same way.
+2. cells that still hold several components are searched with R-trees for pairs across
+   components, whose survivors are verified in the same way. A large cell is dealt into
+   hashed tiles, and a task searches one pair of tiles; first each tile by itself, then pairs
+   of tiles at growing distances, with the components joined anew before each pass, so that
+   what earlier passes have linked is not searched again.
 
 Equal sets are one node throughout. Shingles are told apart by 44 bits of a hash (and the
 rarity class): two given sets of 1000 shingles agree by chance in one with probability 6e-8.
@@ -39,6 +42,8 @@ LOCAL_MIN = 4              # uses within a task from which a word is counted
 WORD_CACHE = 200_000       # words whose hash a worker remembers (memory only)
 BROADCAST_ROWS = 500_000   # up to so many 8-byte ids are broadcast; else they are joined by shuffle
 KEY_BYTES = 6
+CELL_ROWS = 2048           # members from which a cell is dealt into tiles of about so many
+PAIR_ROWS = 16_384         # pairs a search holds before it writes them
 SET_ROWS = 256             # sets, or pairs of sets, that a Python worker is handed at a time
 
 
@@ -211,10 +216,14 @@ class Tree:
 
 
 def search(points: np.ndarray, sizes: np.ndarray, comps: np.ndarray,
-           percent: int = PERCENT) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Rows of the pairs that may link and lie in different components."""
-    root = Tree(points, sizes, comps, np.arange(len(points)))
-    found, todo = [], [(root, root)]
+           percent: int = PERCENT, split: int | None = None):
+    """Yields rows of the pairs that may link and lie in different components, about
+    ``PAIR_ROWS`` at a time; with ``split``, those between the rows before it and the others."""
+    if not len(points) or split in (0, len(points)):
+        return
+    cut = [np.arange(len(points))] if split is None else np.split(np.arange(len(points)), [split])
+    roots = [Tree(points, sizes, comps, rows) for rows in cut]
+    found, held, todo = [], 0, [(roots[0], roots[-1])]
     while todo:
         a, b = todo.pop()
         if a.apart(b, percent):
@@ -236,7 +245,12 @@ def search(points: np.ndarray, sizes: np.ndarray, comps: np.ndarray,
             r, c = np.nonzero(ok)
             if len(r):
                 found.append((a.rows[r], b.rows[c]))
-    return found
+                held += len(r)
+            if held >= PAIR_ROWS:
+                yield tuple(np.concatenate(x) for x in zip(*found))
+                found, held = [], 0
+    if found:
+        yield tuple(np.concatenate(x) for x in zip(*found))
 
 
 # ----------------------------------------------------------------------- join
@@ -302,39 +316,60 @@ def verified(pairs: DataFrame, sets: DataFrame, scratch: Scratch, percent: int =
     return links
 
 
+def passes(tiles: int):
+    """Least and greatest distance of the tiles searched in each pass: 0, 1, 2 to 3, 4 to 7 ...
+    Tiles stand in a ring, so that none is farther than half of them from another."""
+    lo, hi = 0, 0
+    while lo <= tiles // 2:
+        yield lo, hi
+        lo, hi = hi + 1, 2 * hi + 1
+
+
+def tiled(cells: DataFrame, lo: int, hi: int) -> DataFrame:
+    """``cells(cell, uid, members, ..)`` with the pairs of tiles ``(a, b)`` each member is
+    searched in, and ``mine``, its own tile: those of distance ``lo`` to ``hi``. A cell of up
+    to ``CELL_ROWS`` members is one tile."""
+    tiles = F.ceil(F.col("members") / CELL_ROWS).cast("int")
+    far = lambda t: F.least(F.pmod(t - F.col("mine"), tiles), F.pmod(F.col("mine") - t, tiles))
+    return (cells.where(F.floor(tiles / 2) >= lo)
+            .withColumn("mine", F.pmod(F.xxhash64("uid"), tiles).cast("int"))
+            .withColumn("other", F.explode(F.filter(F.sequence(F.lit(0), tiles - 1),
+                                                    lambda t: far(t).between(lo, hi))))
+            .withColumn("a", F.least("mine", "other")).withColumn("b", F.greatest("mine", "other")).drop("other"))
+
+
 def cross_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """R-tree search within every cell ``(cell, uid, n, point, comp)`` for pairs across
-    components, a cell at a time."""
+    """R-tree search within every pair of tiles of ``(cell, a, b, mine, uid, n, point, comp)``
+    for pairs across components. A task holds one pair of tiles, and writes pairs as they are
+    found."""
     def run(batches):
         import pyarrow as pa
 
         def pairs(rows):
             if not rows:
-                return None
-            uid, n, comp = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 4))
-            got = search(np.array([fold(r[3]) for r in rows]), n, comp, percent)
-            if not got:
-                return None
-            i, j = (np.concatenate([g[k] for g in got]) for k in (0, 1))
-            fine = most_common([rows[k][3] for k in i], [rows[k][3] for k in j])
-            ok = fine >= overlap_needed(n[i] + n[j], percent)
-            r, c = uid[i[ok]], uid[j[ok]]
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(r, c)), pa.array(np.maximum(r, c))],
-                                              names=["a", "b"])
-
-        cell, held = None, []
+                return
+            uid, n, comp = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 7))
+            own, other = rows[0][1:3]
+            split = None if own == other else sum(r[3] == own for r in rows)
+            for i, j in search(np.array([fold(r[6]) for r in rows]), n, comp, percent, split):
+                fine = most_common([rows[k][6] for k in i], [rows[k][6] for k in j])
+                ok = fine >= overlap_needed(n[i] + n[j], percent)
+                r, c = uid[i[ok]], uid[j[ok]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(r, c)), pa.array(np.maximum(r, c))],
+                                                 names=["a", "b"])
+
+        tile, held = None, []
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("cell", "uid", "n", "point", "comp")]):
-                if row[0] != cell:
-                    if (out := pairs(held)) is not None:
-                        yield out
-                    cell, held = row[0], []
+            for row in zip(*[batch.column(c).to_pylist() for c in columns]):
+                if row[:3] != tile:
+                    yield from pairs(held)
+                    tile, held = row[:3], []
                 held.append(row)
-        if (out := pairs(held)) is not None:
-            yield out
+        yield from pairs(held)
 
-    return (cells.select("cell", "uid", "n", "point", "comp").repartition("cell")
-            .sortWithinPartitions("cell").mapInArrow(run, "a bigint, b bigint"))
+    columns = ["cell", "a", "b", "mine", "uid", "n", "point", "comp"]
+    return (cells.select(*columns).repartition("cell", "a", "b")
+            .sortWithinPartitions("cell", "a", "b", "mine").mapInArrow(run, "a bigint, b bigint"))
 
 
 def shingle_table(docs: DataFrame, words: int = WORDS, keep=("doc_id",)) -> DataFrame:
@@ -397,15 +432,18 @@ def classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     stars = entries.select(pair.alias("p")).select("p.a", "p.b").where("a <> b").distinct()
     one = verified(bounded(stars, points, percent), sets, scratch, percent)
 
-    comps = components(one).select(F.col("id").alias("uid"), F.col("component_id").alias("c"))
-    labelled = (entries.where("members > 3").select("cell", "uid").join(comps, "uid", "left")
-                .withColumn("comp", F.coalesce("c", "uid")).drop("c")
-                .withColumn("c0", F.min("comp").over(cell)).withColumn("c1", F.max("comp").over(cell))
-                .where("c0 <> c1").select("cell", "uid", "comp"))
-    across = cross_pairs(labelled.join(points, "uid"), percent).distinct()
-    two = verified(across, sets, scratch, percent)
-
-    final = components(one.unionByName(two)).select(F.col("id").alias("rep"), F.col("component_id").alias("class"))
+    links = one
+    largest = entries.agg(F.max("members")).first()[0] or 0
+    for lo, hi in passes(-(-largest // CELL_ROWS)):
+        comps = components(links).select(F.col("id").alias("uid"), F.col("component_id").alias("c"))
+        labelled = (entries.where(F.col("members") > (CELL_ROWS if lo else 3)).select("cell", "uid", "members")
+                    .join(comps, "uid", "left").withColumn("comp", F.coalesce("c", "uid")).drop("c")
+                    .withColumn("c0", F.min("comp").over(cell)).withColumn("c1", F.max("comp").over(cell))
+                    .where("c0 <> c1").select("cell", "uid", "members", "comp"))
+        across = cross_pairs(tiled(labelled.join(points, "uid"), lo, hi), percent).distinct()
+        links = links.unionByName(verified(across, sets, scratch, percent))
+
+    final = components(links).select(F.col("id").alias("rep"), F.col("component_id").alias("class"))
     scratch.drop("join-cells", "join-links")
     return node.join(final, "rep", "left").select("uid", F.coalesce("class", "rep").alias("class"))
 
