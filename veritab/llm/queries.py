@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from veritab.llm import (embed_dedup, fingerprint, html_main, jaccard, langid, mixing, pieces,
-                         secret_scan, token_store, toxicity)
+                         secret_scan, token_store, toxicity, vector_codes)
 from veritab.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_report(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pieces": op1_pieces,
     "op2_toxicity": op2_toxicity,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_html_main": op9_html_main,
     "op10_fingerprint": op10_fingerprint,
+    "op11_vector_codes": op11_vector_codes,
 }
 
 _OP5 = r"""
@@ -106,4 +111,49 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM k
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": _OP5}
+
+def _codes(round_: int) -> str:
+    """Assignment to the codebooks ``b{round_}``: the least (distance, index) of all entries."""
+    return f"""
+a{round_} AS MATERIALIZED (
+  SELECT rn, x.part, any_value(x.c) AS c,
+         min({{'d': CAST(list_sum(list_transform(list_zip(x.c, b.c),
+                                                 lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT),
+               'e': b.entry}}) AS near
+  FROM x JOIN b{round_} b ON x.part = b.part GROUP BY rn, x.part)"""
+
+
+def _means(round_: int) -> str:
+    """The codebooks after the assignment ``a{round_}``; entries without parts stay."""
+    return f"""
+s{round_} AS (SELECT part, near.e AS entry, i, CAST(sum(c[i]) AS BIGINT) AS s, count(*) AS n
+       FROM (SELECT *, unnest(range(1, len(c) + 1)) AS i FROM a{round_}) u GROUP BY part, near.e, i),
+m{round_} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c
+       FROM s{round_} GROUP BY part, entry),
+b{round_ + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.c, b.c) AS c
+  FROM b{round_} b LEFT JOIN m{round_} m ON m.part = b.part AND m.entry = b.entry)"""
+
+
+_OP11 = f"""
+WITH k AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) AS rn,
+         list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)),
+x AS MATERIALIZED (
+  SELECT rn, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS c
+  FROM (SELECT rn, v, unnest(range(16)) AS part FROM k) u),
+b0 AS (SELECT part, rn - 1 AS entry, c FROM x WHERE rn <= 64),
+{_codes(0)}, {_means(0)}, {_codes(1)}, {_means(1)}, {_codes(2)},
+f AS (SELECT k.vec_id, k.label, string_agg(format('{{:02x}}', near.e), '' ORDER BY part) AS code,
+             CAST(sum(near.d) AS BIGINT) AS error
+      FROM a2 JOIN k ON a2.rn = k.rn GROUP BY k.rn, k.vec_id, k.label),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS digest FROM b2)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       digest AS codebooks_sha256
+FROM f, h
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_mixing": _OP5, "op11_vector_codes": _OP11}
