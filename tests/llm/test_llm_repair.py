@@ -1,0 +1,184 @@
+"""Conversation repair: the agenda against every possible repair, chunks against the whole, the
+report against a plain version, odd rows."""
+
+import random
+import re
+import zlib
+from hashlib import sha256
+from itertools import product
+
+import pytest
+
+from veritab.llm import turn_repair as t
+
+GRAMMAR = re.compile(r"(s?(ua)+)?\Z")
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def plain(kinds):
+    """Least (cost, audit) by trying all edits, with up to two inserts in every place."""
+    best = None
+    for choice in product(*[t.edits(k) for k in kinds]):
+        for inserts in product(["", "u", "a", "ua", "au"], repeat=len(kinds) + 1):
+            roles, audit, cost = "", "", 0
+            for k in range(len(kinds) + 1):
+                roles, audit, cost = roles + inserts[k], audit + "I" * len(inserts[k]), cost + 3 * len(inserts[k])
+                if k < len(kinds):
+                    c, letter, role = choice[k]
+                    roles, audit, cost = roles + (role or ""), audit + letter, cost + c
+            if GRAMMAR.match(roles) and (best is None or (cost, audit) < best):
+                best = cost, audit
+    return best
+
+
+def test_agenda_finds_the_lightest_repair():
+    for n in range(4):
+        for kinds in product("suaxSA." if n < 3 else "suxA", repeat=n):
+            kinds = "".join(kinds)
+            assert t.lightest(kinds, {t.START: (0, "")}, True) == plain(kinds), kinds
+
+
+def layers(kinds):
+    """The same by one layer of states a row, with whole audits."""
+    big = (10 ** 9, "")
+    row = {q: big for q in range(4)}
+    row[t.START] = (0, "")
+    add = lambda w, c, letter: (w[0] + c, w[1] + letter)
+
+    def gaps(row):
+        gap = dict(row)
+        gap[t.USER] = min([row[t.USER]] + [add(row[q], 3, "I") for q in (0, 1, 3)])
+        gap[t.ASSISTANT] = min(row[t.ASSISTANT], add(gap[t.USER], 3, "I"))
+        return gap
+
+    for kind in kinds:
+        gap, row = gaps(row), {q: big for q in range(4)}
+        for q in range(4):
+            for cost, letter, role in t.edits(kind):
+                to = q if role is None else t.GRAMMAR.get((q, role))
+                if to is not None:
+                    row[to] = min(row[to], add(gap[q], cost, letter))
+    gap = gaps(row)
+    return min(gap[t.START], gap[t.ASSISTANT])
+
+
+def test_chunks_give_what_the_whole_gives(monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(t, "CHUNK", 3)
+    for _ in range(300):
+        kinds = "".join(rng.choices("suaxSUA.,", k=rng.randint(0, 20)))
+        repair = t.Repair()
+        for k in kinds:
+            repair.add(k)
+        assert repair.result() == layers(kinds), kinds
+
+
+def test_a_long_conversation_takes_linear_time():
+    import time
+    rng = random.Random(6)
+    kinds = "".join(rng.choices("suaxUA.", k=20_000))
+    began = time.perf_counter()
+    repair = t.Repair()
+    for k in kinds:
+        repair.add(k)
+    got = repair.result()
+    assert time.perf_counter() - began < 30
+    assert got == layers(kinds)
+
+
+def plain_report(rows):
+    """The contract row by row: damage, faults, repair."""
+    out = {}
+    for conv, turn, role, text in rows:
+        out.setdefault(conv, [])
+    space = lambda x: " " if x is None else str(x)
+    for conv, turn, role, text in rows:
+        role, text = space(role), space(text)
+        roll = zlib.crc32(f"{space(conv)}:{space(turn)}".encode()) % 20
+        if roll == 0:
+            continue
+        text = "" if roll == 1 else re.sub("[.!?]", "", text) if roll == 2 else text
+        out[conv] += [(turn, "user" if roll == 4 else role, text)] * (2 if roll == 3 else 1)
+    answers = []
+    for conv, turns in out.items():
+        turns.sort(key=lambda r: (r[0] is not None, r[0] or 0))
+        counts = dict.fromkeys(["blank", "duplicate", "truncated"], 0)
+        kinds, seen = "", set()
+        for _, role, text in turns:
+            own = role[:1] if role[:1] in ("s", "u", "a") else "."
+            solid = re.findall(r"[^\x20\x09-\x0D]", text)
+            fault = ("blank" if not solid else "duplicate" if (role, text) in seen else
+                     "truncated" if solid[-1] not in ".!?" else None)
+            seen.add((role, text))
+            if fault:
+                counts[fault] += 1
+            kinds += "x" if fault in ("blank", "duplicate") else own if not fault else \
+                "," if own == "." else own.upper()
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+        set_ = {r[0] for r in turns} - {None}
+        gaps = max(set_) - min(set_) + 1 - len(set_) if set_ else 0
+        cost, audit = layers(kinds)
+        lines = [f"{role}:{text}" for role, text, _ in t.edited([r[1:] for r in turns], audit)]
+        answers.append((conv, gaps, *counts.values(), illegal, cost, audit,
+                        sha256("\n".join(lines).encode()).hexdigest()))
+    return sorted(answers, key=str)
+
+
+def conversations(n, seed):
+    rng = random.Random(seed)
+    words = ["Alpha beta.", "Gamma!", "delta", " \t", "Ünïcode?", "x: y\nz.", "Eta. "]
+    rows = []
+    for conv in [None, *range(n)]:
+        for turn in range(rng.randint(1, 9)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None])
+            if rng.random() < 0.9:
+                rows.append((conv, turn if rng.random() < 0.95 else turn + 20,
+                             role, rng.choice(words) + (str(turn) + "." if rng.random() < 0.7 else "")))
+    seen = {}
+    return [seen.setdefault(r[:2], r) for r in rows if r[:2] not in seen]
+
+
+def test_report_against_a_plain_version(spark):
+    rows = conversations(150, 1) + [(700, None, "user", "No turn."), (700, 3, None, None), (701, None, "a", "b."),
+                                    (-5, -3, "user", "Minus."), (-5, -1, "assistant", "Gap.")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = t.report(t.damage(df), df)
+    assert got.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                           "repaired_sha256"]
+    assert dict(got.dtypes)["gaps"] == "bigint" and dict(got.dtypes)["cost"] == "bigint"
+    assert sorted((tuple(r) for r in got.collect()), key=str) == plain_report(rows)
+
+
+def test_repaired_turns_follow_the_grammar(spark):
+    df = spark.createDataFrame(conversations(40, 2), SCHEMA)
+    rows = t.turn_rows(df, " ")
+    turns = {}
+    for r in t.repaired_turns(rows, t.plans(rows)).collect():
+        turns.setdefault(r["conv"], []).append((r["place"], r["role"], r["text"], r["edit"]))
+    for one in turns.values():
+        one.sort()
+        assert [r[0] for r in one] == list(range(len(one)))
+        assert GRAMMAR.match("".join(r[1][:1] for r in one))
+        assert all(r[2] == "" for r in one if r[3] == "I")
+
+
+def test_ties_repeated_rows_empty_texts_clashes_and_an_empty_table(spark):
+    rows = [(1, 0, "user", "Same."), (1, 0, "user", "Same."), (1, 0, "user", "Other."), (1, 1, "assistant", "Yes."),
+            (2, 0, "user", ""), (3, 0, "assistant", "x" * 300_000 + ".")]
+    df = spark.createDataFrame([(*r, "k") for r in rows], SCHEMA + ", audit string")
+    df = df.withColumnRenamed("audit", "a").withColumn("conv", df.text)
+    got = {r["conv_id"]: r for r in t.report(df, df).collect()}
+    assert (got[1]["duplicate"], got[1]["illegal"], got[1]["cost"]) == (1, 2, 7) and got[1]["gaps"] == 0
+    assert sorted(got[1]["audit"]) == list("DIKKK")
+    assert (got[2]["blank"], got[2]["cost"], got[2]["audit"]) == (1, 4, "D")
+    assert got[2]["repaired_sha256"] == sha256(b"").hexdigest()
+    assert (got[3]["audit"], got[3]["cost"]) == ("IK", 3)
+    empty = spark.createDataFrame([], SCHEMA)
+    assert t.report(t.damage(empty), empty).collect() == []
+
+
+@pytest.mark.parametrize("turns", [1500])
+def test_a_conversation_of_many_turns(spark, turns):
+    rows = [(1, k, "user" if k % 2 == 0 else "assistant", f"Turn {k}.") for k in range(turns)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert [tuple(r) for r in t.report(t.damage(df), df).collect()] == plain_report(rows)

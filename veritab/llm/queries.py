@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from veritab.llm import (embed_dedup, fingerprint, html_main, jaccard, langid, mixing, pieces,
-                         secret_scan, token_store, toxicity, vector_codes)
+                         secret_scan, token_store, toxicity, turn_repair, vector_codes)
 from veritab.llm.common import table
 
 
@@ -59,6 +59,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.report(table(spark, sf_dir, "embeddings"))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return turn_repair.report(turn_repair.damage(conversations), conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pieces": op1_pieces,
     "op2_toxicity": op2_toxicity,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_main": op9_html_main,
     "op10_fingerprint": op10_fingerprint,
     "op11_vector_codes": op11_vector_codes,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 _OP5 = r"""
@@ -156,4 +162,94 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 FROM f, h
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": _OP5, "op11_vector_codes": _OP11}
+# crc32 bit by bit: DuckDB has no such function
+_CRC = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+         list_transform(range(1, len(key) + 1), lambda i: CAST(ord(key[i]) AS BIGINT))),
+         lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, z: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+
+def _add(state: str, cost: str, letter: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}'}}"
+
+
+def _step(role: str, states: tuple[str, ...]) -> str:
+    """The lightest way to a state by a row that becomes ``role`` after one of ``states``."""
+    if role == "s":
+        return f"CASE WHEN kind = 's' THEN {_add(states[0], 'more', 'K')} ELSE big END"
+    ways = [f"CASE WHEN kind = '{role}' THEN {_add(s, 'more', 'K')} ELSE {_add(s, '3 + more', 'R')} END"
+            for s in states]
+    return f"CASE WHEN kind = 'x' THEN big ELSE list_min([{', '.join(ways)}]) END"
+
+
+# states: 0 nothing yet, 1 system, 2 user, 3 assistant; r: after a row, p: after inserts as well
+_OP13 = rf"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations),
+w AS (SELECT *, {_CRC} % 20 AS roll FROM o),
+d AS (SELECT conv_id, turn, CASE WHEN roll = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN roll = 1 THEN '' WHEN roll = 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                  ELSE text END AS text,
+             unnest(CASE WHEN roll = 3 THEN [0, 1] ELSE [0] END) AS copy
+      FROM w WHERE roll <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (SELECT *, substr(role, 1, 1) AS own,
+             CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                  WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault,
+             lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+      FROM n),
+k AS MATERIALIZED (
+  SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'x' WHEN own IN ('s', 'u', 'a') THEN own
+                 ELSE '.' END AS kind,
+         CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more,
+         {{'c': 1000000000, 'a': ''}} AS big
+  FROM f),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (WHERE fault = 'blank') AS blank,
+             count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+             count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+             count(*) FILTER (WHERE before || own NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+      FROM k GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, 0 AS i, {{'c': 0, 'a': ''}} AS r0, {{'c': 1000000000, 'a': ''}} AS r1,
+         {{'c': 1000000000, 'a': ''}} AS r2, {{'c': 1000000000, 'a': ''}} AS r3 FROM c
+  UNION ALL
+  SELECT g.conv_id, CAST(k.i AS INTEGER), {_add('p0', '4', 'D')},
+         list_min([{_add('p1', '4', 'D')}, {_step('s', ('p0',))}]),
+         list_min([{_add('p2', '4', 'D')}, {_step('u', ('p0', 'p1', 'p3'))}]),
+         list_min([{_add('p3', '4', 'D')}, {_step('a', ('p2',))}])
+  FROM (SELECT *, list_min([r3, {_add('p2', '3', 'I')}]) AS p3
+        FROM (SELECT conv_id, i, r3, r0 AS p0, r1 AS p1,
+                     list_min([r2, {_add('r0', '3', 'I')}, {_add('r1', '3', 'I')}, {_add('r3', '3', 'I')}]) AS p2
+              FROM walk) h) g
+  JOIN k ON k.conv_id IS NOT DISTINCT FROM g.conv_id AND k.i = g.i + 1),
+e AS (SELECT walk.conv_id, list_min([r0, r3, {_add('r2', '3', 'I')}, {_add('r0', '6', 'II')},
+                                     {_add('r1', '6', 'II')}]) AS best
+      FROM walk JOIN c ON c.conv_id IS NOT DISTINCT FROM walk.conv_id AND c.n = walk.i),
+l AS (SELECT *, p - count(*) FILTER (WHERE letter = 'I') OVER w AS i,
+             count(*) FILTER (WHERE letter <> 'D') OVER w AS place
+      FROM (SELECT conv_id, p, best.a[p] AS letter
+            FROM (SELECT conv_id, best, unnest(range(1, len(best.a) + 1)) AS p FROM e) u) v
+      WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+t AS (SELECT l.conv_id, l.p, l.place, l.letter, k.role, k.text,
+             max(CASE WHEN l.place = 1 AND l.letter = 'K' AND k.kind = 's' THEN 1 ELSE 0 END)
+               OVER (PARTITION BY l.conv_id) AS lead
+      FROM l LEFT JOIN k ON k.conv_id IS NOT DISTINCT FROM l.conv_id AND k.i = l.i WHERE l.letter <> 'D'),
+s AS (SELECT conv_id, string_agg(
+               CASE WHEN letter = 'K' THEN role WHEN (place - lead) % 2 = 1 THEN 'user' ELSE 'assistant' END
+               || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS lines
+      FROM t GROUP BY conv_id)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_mixing": _OP5, "op11_vector_codes": _OP11, "op13_turn_repair": _OP13}
