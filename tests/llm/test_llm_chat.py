@@ -1,0 +1,173 @@
+"""Chat formatting: the template, the packed prefix tree, what a token sees, and digests against a
+plain version."""
+
+import random
+from hashlib import sha256
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from veritab.llm import chat_trie as c
+from veritab.llm import turns
+from veritab.llm.common import Scratch
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+PIECES = st.sampled_from(c.CONTROL + ["\\", "[", "<", "/", "]", ">", "INST]", "s>", "é", "\n", " ok ", "\\s>", "[\\"])
+TEXT = st.lists(PIECES, max_size=12).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXT, st.one_of(st.sampled_from(["user", "assistant", "system"]), TEXT))
+def test_turns_are_read_back_from_the_template(text, role):
+    before, body, after = c.turn_parts(role, text)
+    assert not any(k in body for k in c.CONTROL) and c.unescape(body) == text
+    assert c.parse_turn(before + body + after) == (role, text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=60))
+def test_tokens_give_the_text_back(text):
+    tok = c.tokenizer(c.default_tokenizer())
+    assert tok.decode_bytes(c.encode(tok, text)).decode() == text
+
+
+def test_a_text_beyond_a_split():
+    tok = c.tokenizer(c.default_tokenizer())
+    text = "aä€\U0001f600" * 60_000 + "b" * 250_000
+    assert tok.decode_bytes(c.encode(tok, text)).decode() == text
+
+
+def shared(seed, n=60):
+    """Conversations with common beginnings, copies, and ones that end within others."""
+    rng = random.Random(seed)
+    texts = ["Hello.", "Tell me [INST] more", "Yes \\ no </s>", "", None, "x" * 50]
+    made = [[("system", "Be brief.")], [("user", "Hello."), ("assistant", "Yes.")]]
+    for _ in range(n):
+        base = list(rng.choice(made))[:rng.randint(0, 6)]
+        for _ in range(rng.randint(0, 3)):
+            base.append((rng.choice(["user", "assistant", "tool", None]), rng.choice(texts)))
+        if base:
+            made.append(base)
+    ids = rng.sample(range(-500, 500), len(made))
+    return [(i, 2 * k, role, text) for i, turns_ in zip(ids, made) for k, (role, text) in enumerate(turns_)]
+
+
+def plain(rows):
+    found = {}
+    for conv, turn, role, text in rows:
+        found.setdefault(conv, []).append((turn, role or "", text or ""))
+    out = []
+    for conv, mine in found.items():
+        mine.sort(key=lambda r: r[0])
+        loss = "".join(t for _, r, t in mine if r == "assistant")
+        whole = "".join("".join(c.turn_parts(r, t)) for _, r, t in mine)
+        out.append((conv, len(mine), sha256("".join(f"{r}\n{t}\n" for _, r, t in mine).encode()).hexdigest(),
+                    len(loss), sha256(loss.encode()).hexdigest(), len(whole)))
+    return sorted(out, key=str)
+
+
+def test_report_against_a_plain_version(spark, monkeypatch):
+    rows = shared(1) + [(None, 0, "user", "No id."), (None, 1, "assistant", "So what."), (901, 0, "assistant", "w " * 40_000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = c.report(df)
+    assert got.columns == ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    assert dict(got.dtypes)["n_turns"] == dict(got.dtypes)["formatted_chars"] == dict(got.dtypes)["conv_id"] == "bigint"
+    assert sorted((tuple(r) for r in got.collect()), key=str) == plain(rows)
+    monkeypatch.setattr(c, "SEQUENCE", 100)     # many sequences: first conversations bring whole paths
+    assert sorted((tuple(r) for r in c.report(df).collect()), key=str) == plain(rows)
+
+
+def packed_rows(spark, rows, parts=1):
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        packed, _ = c.pack(turns.turn_rows(spark.createDataFrame(rows, SCHEMA)), Scratch(spark))
+        return packed.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
+
+
+def test_a_sequence_holds_every_node_once_and_depth_first(spark):
+    rows = shared(2)
+    sequence, = packed_rows(spark, rows)
+    whole = {}
+    for conv, _, role, text in sorted(rows, key=lambda r: r[:2]):
+        whole.setdefault(f"={conv}", []).append((role or "", text or ""))
+    prefixes = {tuple(turns_[:k + 1]) for turns_ in whole.values() for k in range(len(turns_))}
+    nodes = sequence["nodes"]
+    assert len(nodes) == len(prefixes) and not any(n["again"] for n in nodes)
+    tok = c.tokenizer(c.default_tokenizer())
+    end, path, at = 0, [], {}
+    for n in nodes:
+        assert n["start"] == end     # nodes follow one another without gaps
+        end += n["length"]
+        del path[n["turn"]:]         # a node's parent is the node above it on the path written last
+        path.append(tok.decode_bytes(sequence["tokens"][n["start"]:end]).decode())
+        at[n["start"]] = "".join(path)
+        assert tuple(whole[n["conv"]][:n["turn"] + 1]) in prefixes
+        assert "".join(path) == "".join("".join(c.turn_parts(*t)) for t in whole[n["conv"]][:n["turn"] + 1])
+    assert end == len(sequence["tokens"])
+    # what a token sees is what it would see alone, in order, at the same positions
+    model = c.model_inputs(sequence["tokens"], nodes)
+    for n in nodes:
+        last = n["start"] + n["length"] - 1
+        seen = [k for a, b in model["attention"][last] for k in range(a, b)]
+        assert tok.decode_bytes([sequence["tokens"][k] for k in seen]).decode() == at[n["start"]]
+        assert [model["position_ids"][k] for k in seen] == list(range(len(seen)))
+        loss = [sequence["tokens"][k] for k in range(n["start"], last + 1) if model["loss_mask"][k]]
+        role, text = whole[n["conv"]][n["turn"]]
+        assert c.unescape(tok.decode_bytes(loss).decode()) == (text if role == "assistant" else "")
+
+
+def test_every_sequence_stands_for_itself(spark, monkeypatch):
+    monkeypatch.setattr(c, "SEQUENCE", 150)
+    rows = shared(3)
+    got = packed_rows(spark, rows, parts=3)
+    assert len({r["seq"] for r in got}) > 5
+    tok = c.tokenizer(c.default_tokenizer())
+    once = set()
+    for r in got:
+        assert r["last"] and r["piece"] == 0
+        paths = set()
+        for n in r["nodes"]:
+            seen = [k for a in n["ancestors"] for k in range(a["start"], a["end"])]
+            seen += range(n["start"], n["start"] + n["length"])
+            text = tok.decode_bytes([r["tokens"][k] for k in seen]).decode()
+            assert text not in paths          # once in a sequence
+            paths.add(text)
+            if not n["again"]:
+                assert text not in once       # and one node of all of them is not a repeat
+                once.add(text)
+
+
+def test_a_long_conversation_goes_on_in_further_rows(monkeypatch):
+    monkeypatch.setattr(c, "PIECE", 40)
+    path = c.default_tokenizer()
+    turns_ = [("user" if k % 2 == 0 else "assistant", f"Turn {k} " * 5) for k in range(30)]
+    rows = [(7, 1, 0, k, "=1", True, 0, 0, 0, None, None) for k in (4, 29)]
+    rows += [(7, 1, 1, 0, "=1", True, 0, 0, 0, *t) for t in turns_]
+    rows += [(7, 2, 0, 6, "=2", False, 5, 5, 5, None, None)]
+    rows += [(7, 2, 1, 0, "=2", False, 5, 5, 5, "user", "Other"), (7, 2, 1, 0, "=2", False, 5, 5, 5, "assistant", "End")]
+    got = list(c.lay_out(iter(rows), path))
+    assert len(got) > 3 and [r[2] for r in got] == [False] * (len(got) - 1) + [True]
+    names = c.NODE.names
+    as_dicts = [(s, p, last, tokens, [dict(zip(names, n[:-1])) | {
+        "ancestors": [{"start": a, "end": b} for a, b in n[-1]]} for n in nodes]) for s, p, last, tokens, nodes in got]
+    digests = {d[:2]: d[2:] for d in c.read_digests(iter(as_dicts), path)}
+    want = {r[0]: r[1:] for r in plain([(1, k, *t) for k, t in enumerate(turns_)]
+                                       + [(2, k, *t) for k, t in enumerate(turns_[:5] + [("user", "Other"), ("assistant", "End")])])}
+    assert digests["=1", 29] == want[1] and digests["=2", 6] == want[2]
+
+
+def test_ties_repeated_rows_clashes_and_an_empty_table(spark):
+    rows = [(1, 0, "user", "Same."), (1, 0, "user", "Same."), (1, None, "system", "First."), (2, 0, "user", "Same."),
+            (3, None, "system", "First."), (3, 0, "user", "Same."), (3, 0, "user", "Same."), (3, 0, "tool", "Tie.")]
+    df = spark.createDataFrame([(*r, "k") for r in rows], SCHEMA + ", own string").withColumnRenamed("own", "conv")
+    df = df.withColumn("seq", df.text).withColumn("k", df.role)
+    got = {r["conv_id"]: r for r in c.report(df).collect()}
+    assert {k: r["n_turns"] for k, r in got.items()} == {1: 3, 2: 1, 3: 4}
+    assert got[1]["turns_sha256"] == sha256(b"system\nFirst.\nuser\nSame.\nuser\nSame.\n").hexdigest()
+    empty = spark.createDataFrame([], SCHEMA)
+    assert c.report(empty).collect() == []
+    sample, = c.report(c.with_sample(empty)).collect()
+    assert (sample["conv_id"], sample["n_turns"], sample["loss_chars"]) == (-1, 2, len(c.SAMPLE_TEXT))

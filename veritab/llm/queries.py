@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritab.llm import (embed_dedup, fingerprint, html_main, jaccard, langid, mixing, pieces,
+from veritab.llm import (chat_trie, embed_dedup, fingerprint, html_main, jaccard, langid, mixing, pieces,
                          secret_scan, token_store, toxicity, turn_repair, vector_codes)
 from veritab.llm.common import table
 
@@ -59,6 +59,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_chat_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_trie.report(chat_trie.with_sample(table(spark, sf_dir, "conversations")))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return turn_repair.report(turn_repair.damage(conversations), conversations)
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_main": op9_html_main,
     "op10_fingerprint": op10_fingerprint,
     "op11_vector_codes": op11_vector_codes,
+    "op12_chat_trie": op12_chat_trie,
     "op13_turn_repair": op13_turn_repair,
 }
 
@@ -196,9 +201,11 @@ d AS (SELECT conv_id, turn, CASE WHEN roll = 4 THEN 'user' ELSE role END AS role
       FROM w WHERE roll <> 0),
 n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
 f AS (SELECT *, substr(role, 1, 1) AS own,
-             CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+             CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
                   WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
-                  WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault,
+                  WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault,
              lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
       FROM n),
 k AS MATERIALIZED (
@@ -252,4 +259,30 @@ LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM ids.conv_id
 LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM ids.conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": _OP5, "op11_vector_codes": _OP11, "op13_turn_repair": _OP13}
+
+def _escaped_length(text: str) -> str:
+    """Characters after escaping: one more for every backslash and every control string."""
+    strings = ["\\", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]"]
+    more = [f"(len({text}) - len(replace({text}, '{s}', ''))) // {len(s)}" for s in strings]
+    return f"len({text}) + " + " + ".join(more)
+
+
+_OP12 = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+         AS turns_sha256,
+       CAST(coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                         FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({_escaped_length('text')} +
+                CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+                          ELSE 17 + {_escaped_length('role')} END) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_mixing": _OP5, "op11_vector_codes": _OP11, "op12_chat_trie": _OP12,
+                              "op13_turn_repair": _OP13}
