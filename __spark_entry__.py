@@ -36,6 +36,8 @@ from veritab.sources.adapters import (  # noqa: E402
     sales_details,
 )
 from veritab.sources.files import (  # noqa: E402
+    MALFORMED,
+    RECORD,
     materialize,
     read_csv,
     remove_dir,
@@ -301,11 +303,55 @@ def q_dq_address_rows(spark, sf_dir):
 
 # ------------------------------------------------------------- sources, runner
 
+# What is put around addresses (by id modulo 9) that a careless CSV loses or splits.
+_HARD = ["  {}  ", "\t{}", '"{}" said', "{},", "line\nbreak {}", "{}\r\n", "back\\slash {}\\", "\\n {}"]
+
+
 def q_csv_round_trip(spark, sf_dir):
+    """Details whose addresses hold blanks at both ends, quotes, separators, line breaks and
+    backslashes, or are empty or null: written as CSV and read back."""
     d = _tables(spark, sf_dir)[EMPLOYEE_DETAILS]
+    hard = F.lit("")
+    for k, text in enumerate(_HARD):
+        before, after = text.split("{}")
+        hard = F.when(F.col("id") % 9 == k, F.concat(F.lit(before), F.coalesce("address", F.lit(" ")), F.lit(after))
+                      ).otherwise(hard)
+    d = d.withColumn("address", F.when(F.col("id") % 10 != 0, hard))
     path = shared_dir(spark, "csv-round-trip")
     write_csv(d, path)
-    return read_csv(spark, path, DETAILS_SCHEMA)
+    return read_csv(spark, path, DETAILS_SCHEMA, lossless=True)
+
+
+def q_csv_mixed_headers(spark, sf_dir):
+    """Details written in files of three column orders, one with a column more, and read as one table."""
+    d = _tables(spark, sf_dir)[EMPLOYEE_DETAILS]
+    path = shared_dir(spark, "csv-mixed")
+    orders = [d.columns, ["sales_amount", "name", "id", "address"], ["address", "more", "id", "sales_amount", "name"]]
+    for k, columns in enumerate(orders):
+        write_csv(d.where(F.col("id") % 3 == k).withColumn("more", F.lit("x")).select(columns),
+                  os.path.join(path, f"order-{k}"))
+    return read_csv(spark, os.path.join(path, "*"), DETAILS_SCHEMA, lossless=True, mixed_headers=True)
+
+
+def q_csv_records(spark, sf_dir):
+    """Order lines as records of which some are short, long, or have a quote left open: what is
+    listed for each line number, with its rows and the characters of the records."""
+    line = F.col("l_linenumber")
+    cells = [F.col("l_orderkey").cast("string"), line.cast("string"), F.col("l_quantity").cast("int").cast("string")]
+    record = (F.when(line == 2, F.concat_ws(",", *cells[:2]))
+              .when(line == 3, F.concat_ws(",", *cells, F.lit("more")))
+              .when(line == 4, F.concat_ws(",", *cells[:2], F.concat(F.lit('"'), cells[2])))
+              .when(line == 5, F.concat_ws(",", *cells[:2], F.lit("many")))
+              .when(line == 6, F.concat_ws(",", *cells[:2], F.concat(F.lit('"'), cells[2], F.lit('"'))))
+              .otherwise(F.concat_ws(",", *cells)))
+    path = shared_dir(spark, "csv-records")
+    lines = load_tpch(spark, sf_dir)["lineitem"].select(record.alias("id,age,quantity"))
+    lines.write.options(header=True, sep="\2", quote="\3").csv(path)   # as they are
+    schema = T.StructType([f for f in SALES_SCHEMA if f.name in ("id", "age", "quantity")])
+    rows = read_csv(spark, path, schema, malformed=True, records=True)
+    return (rows.groupBy("age", F.array_join(MALFORMED, ",").alias("listed"))
+            .agg(F.count("*").alias("n_rows"), F.count("quantity").alias("n_quantity"),
+                 F.coalesce(F.sum(F.length(RECORD)), F.lit(0)).cast("bigint").alias("record_chars")))
 
 
 def q_csv_malformed(spark, sf_dir):
@@ -388,6 +434,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_stream": q_dq_stream,
     "csv_malformed": q_csv_malformed,
     "csv_round_trip": q_csv_round_trip,
+    "csv_mixed_headers": q_csv_mixed_headers,
+    "csv_records": q_csv_records,
     "report_status": q_report_status,
 }
 
@@ -670,7 +718,26 @@ WHERE address IS NULL OR NOT regexp_matches(address, '{_ADDRESS_RE}')""",
         _check("Employee_details", "employee_details", "col_non_negative", "sales_amount",
                _cnt("sales_amount < 0")),
         _ADDRESS]),
-    "csv_round_trip": "SELECT * FROM employee_details",
+    "csv_round_trip": r"""
+SELECT id, name,
+       CASE WHEN id % 10 = 0 THEN NULL ELSE
+         CASE id % 9 WHEN 0 THEN '  ' || a || '  ' WHEN 1 THEN chr(9) || a WHEN 2 THEN '"' || a || '" said'
+                     WHEN 3 THEN a || ',' WHEN 4 THEN 'line' || chr(10) || 'break ' || a
+                     WHEN 5 THEN a || chr(13) || chr(10) WHEN 6 THEN 'back\slash ' || a || '\'
+                     WHEN 7 THEN '\n ' || a ELSE '' END END AS address, sales_amount
+FROM (SELECT *, coalesce(address, ' ') AS a FROM employee_details) d""",
+    "csv_mixed_headers": "SELECT * FROM employee_details",
+    "csv_records": """
+SELECT CAST(l_linenumber AS INTEGER) AS age,
+       CASE WHEN l_linenumber IN (2, 3, 4) THEN '(width)' WHEN l_linenumber = 5 THEN 'quantity' ELSE '' END AS listed,
+       count(*) AS n_rows, count(*) FILTER (WHERE l_linenumber NOT IN (2, 5)) AS n_quantity,
+       CAST(sum(CASE WHEN l_linenumber IN (2, 3, 4, 5) THEN
+              len(CAST(l_orderkey AS VARCHAR)) + 1 + len(CAST(l_linenumber AS VARCHAR))
+              + CASE l_linenumber WHEN 2 THEN 0 WHEN 5 THEN 5
+                  ELSE 1 + len(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR))
+                       + CASE l_linenumber WHEN 3 THEN 5 ELSE 1 END END
+            ELSE 0 END) AS BIGINT) AS record_chars
+FROM lineitem GROUP BY l_linenumber""",
     "dq_halt": "SELECT *, NOT passed AND check_name IN ('address_format', 'zero_calls', 'col_unique') "
                "AS halts FROM (" + "\nUNION ALL\n".join(
                    _basic("Employee_calls", "employee_calls", 1000, ["calls_made", "calls_successful"])

@@ -30,8 +30,9 @@ class JobResult:
 
 def load_inputs(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     """Read each logical table (CSV or Parquet) with its fixed schema; a CSV table also
-    lists its cells that could not be read, for the suite to count."""
-    return {name: read_table(spark, path, SPECS[name].schema, malformed=True)
+    lists its cells and records that could not be read, for the suite to count, and its files
+    may have their columns in different orders."""
+    return {name: read_table(spark, path, SPECS[name].schema, malformed=True, mixed_headers=True)
             for name, path in paths.items()}
 
 
