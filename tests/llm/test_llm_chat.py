@@ -151,7 +151,7 @@ def test_a_long_conversation_goes_on_in_further_rows(monkeypatch):
     got = list(c.lay_out(iter(rows), path))
     assert len(got) > 3 and [r[2] for r in got] == [False] * (len(got) - 1) + [True]
     names = c.NODE.names
-    as_dicts = [(s, p, last, tokens, [dict(zip(names, n[:-1])) | {
+    as_dicts = [(s, p, tokens, [dict(zip(names, n[:-1])) | {
         "ancestors": [{"start": a, "end": b} for a, b in n[-1]]} for n in nodes]) for s, p, last, tokens, nodes in got]
     digests = {d[:2]: d[2:] for d in c.read_digests(iter(as_dicts), path)}
     want = {r[0]: r[1:] for r in plain([(1, k, *t) for k, t in enumerate(turns_)]

@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from hashlib import sha256
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,8 @@ BROADCAST_ROWS = 500_000   # up to so many conversations' places are broadcast;
 
 _ESCAPED = re.compile(r"\\|[\[<](?=" + "|".join(re.escape(c[1:]) for c in CONTROL) + ")")
 
+_ESCAPE = re.compile(r"\\(.)", re.DOTALL)
+
 
 def escape(text: str) -> str:
     r"""A backslash after the first character of every control string, and after every backslash;
@@ -56,7 +59,7 @@ def escape(text: str) -> str:
 
 def unescape(text: str) -> str:
     r"""The inverse: of ``\`` and the character after it, the latter."""
-    return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
+    return _ESCAPE.sub(r"\1", text) if "\\" in text else text
 
 
 def turn_parts(role: str, text: str) -> tuple[str, str, str]:
@@ -269,10 +272,10 @@ def lay_out(rows, path: str):
                     if mark:
                         forks.append(tip.copy())
                     if at - first >= PIECE:
-                        yield seq, piece, False, held, nodes
+                        yield seq, piece, False, np.array(held, np.int32), nodes
                         piece, held, nodes, first = piece + 1, [], [], at
                 k += 1
-        yield seq, piece, True, held, nodes
+        yield seq, piece, True, np.array(held, np.int32), nodes
 
 
 def sequences(rows: DataFrame, place: DataFrame, mark: DataFrame, path: str) -> DataFrame:
@@ -340,12 +343,21 @@ class Digest:
             self.formatted + len(whole), end
 
 
+def sequence_rows(batches):
+    """``(seq, piece, tokens, nodes)`` of Arrow batches of sequences; tokens are an array."""
+    for batch in batches:
+        seq, piece = (batch.column(c).to_pylist() for c in ("seq", "piece"))
+        tokens, nodes = batch.column("tokens"), batch.column("nodes")
+        for k in range(batch.num_rows):
+            yield seq[k], piece[k], tokens[k].values.to_numpy(zero_copy_only=False), nodes[k].as_py()
+
+
 def read_digests(rows, path: str):
     """Digests of the conversations' last nodes, from sequence rows in order."""
     tok = tokenizer(path)
     for _, pieces in by_key(rows):
         tip, kept, first = Digest(), [], 0
-        for _, _, _, tokens, nodes in pieces:
+        for _, _, tokens, nodes in pieces:
             for n in nodes:
                 above = n["ancestors"]
                 if sum(a["end"] - a["start"] for a in above) != n["position"]:
@@ -358,7 +370,7 @@ def read_digests(rows, path: str):
                     tip = kept[-1].copy()
                 at = n["start"] - first
                 cuts = [at, at + n["loss_from"], at + n["loss_to"], at + n["length"]]
-                parts = [tok.decode_bytes(tokens[a:b]).decode() for a, b in zip(cuts, cuts[1:])]
+                parts = [tok.decode_bytes(tokens[a:b].tolist()).decode() for a, b in zip(cuts, cuts[1:])]
                 tip.add(*parts, n["start"] + n["length"])
                 if n["mark"]:
                     kept.append(tip.copy())
@@ -371,10 +383,10 @@ def read_digests(rows, path: str):
 def digests(packed: DataFrame, path: str) -> DataFrame:
     """``DIGEST`` rows of a packed table. A sequence of one row is read where it lies; the rows of
     longer ones are brought together in order."""
-    columns = ["seq", "piece", "last", "tokens", "nodes"]
+    columns = ["seq", "piece", "tokens", "nodes"]
 
     def work(batches):
-        yield from write_batches(read_digests(rows_of(batches, columns), path), DIGEST, 1024)
+        yield from write_batches(read_digests(sequence_rows(batches), path), DIGEST, 1024)
 
     whole = F.col("last") & (F.col("piece") == 0)
     longer = packed.where(~whole).select(columns).repartition("seq").sortWithinPartitions("seq", "piece")
