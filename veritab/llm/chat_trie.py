@@ -152,8 +152,14 @@ def paths(rows: DataFrame, scratch: Scratch) -> DataFrame:
     ``hi`` each owns, and of what it owns itself (null: nothing) the first place ``own``, that row's
     ``turn``, the place ``run`` of that turn's first row, and the characters ``chars``."""
     turns = scratch.keep(prefixes(rows), "chat-prefixes")
-    owner = turns.groupBy("h", "k").agg(F.min("conv").alias("owner"))
-    spans = (turns.join(owner, ["h", "k"]).groupBy("conv", "owner")
+    # only prefixes of several conversations: all others own themselves. Written first, so that both
+    # sides of the join come fresh to it and Spark can split a prefix that most conversations share
+    owner = scratch.keep(turns.groupBy("h", "k").agg(F.min("conv").alias("owner"), F.count("*").alias("n"))
+                         .where("n > 1").select("h", "k", "owner"), "chat-owners")
+    if owner.count() <= BROADCAST_ROWS:
+        owner = F.broadcast(owner)
+    spans = (turns.join(owner, ["h", "k"], "left").withColumn("owner", F.coalesce("owner", "conv"))
+             .groupBy("conv", "owner")
              .agg(F.min(F.struct("k", "turn", "run")).alias("first"), F.max("k").alias("hi"),
                   F.sum("size").alias("chars")))
     path = F.array_sort(F.collect_list(F.struct(F.col("first.k").alias("lo"), "hi", "owner")))
@@ -419,7 +425,7 @@ def report(conversations: DataFrame, path: str | None = None) -> DataFrame:
     packed, members = pack(rows, scratch, path)
     with arrow_rows(conversations.sparkSession, 1):
         read = scratch.keep(digests(packed, path), "chat-digests")
-    scratch.drop("chat-prefixes", "chat-order", "chat-places", "chat-sequences")
+    scratch.drop("chat-prefixes", "chat-owners", "chat-order", "chat-places", "chat-sequences")
     conv_id = F.expr("substring(conv, 2)").cast(rows.schema["conv_id"].dataType)
     return members.join(read, ["owner", "hi"]).select(
         F.when(F.col("conv") != "", conv_id).alias("conv_id"), *DIGEST.names[2:])
