@@ -38,7 +38,6 @@ from veritab.sources.adapters import (  # noqa: E402
 from veritab.sources.files import (  # noqa: E402
     MALFORMED,
     RECORD,
-    materialize,
     read_csv,
     remove_dir,
     shared_dir,
@@ -184,11 +183,8 @@ _DQ_SALES_COLS = ["id", "caller_id", "age", "quantity"]
 
 
 def q_dq_report(spark, sf_dir):
-    """The whole suite. The sales view is written once with the four columns the checks
-    read: its own checks and the caller keys would each join lineitem and orders."""
-    t = _tables(spark, sf_dir, _DQ_SALES_COLS)
-    t[SALES_DETAILS] = materialize(t[SALES_DETAILS], "dq-sales")
-    return q.evaluate(t, standard_suite())
+    """The whole suite: every table is read once, and nothing is written."""
+    return q.evaluate(_tables(spark, sf_dir, _DQ_SALES_COLS), standard_suite())
 
 
 def q_dq_halt(spark, sf_dir):
@@ -254,6 +250,32 @@ def q_dq_null_rows(spark, sf_dir):
     return _rows(spark, sf_dir, q.non_null(EMPLOYEE_DETAILS, ["address"])[0])
 
 
+def q_dq_unique_columns(spark, sf_dir):
+    """Four columns of the sales view, each on its own, beside the view's other checks."""
+    return q.evaluate(_tables(spark, sf_dir, ["id", "caller_id", "age", "quantity"]),
+                      q.unique(SALES_DETAILS, ["id", "caller_id", "age", "quantity"])
+                      + q.non_negative(SALES_DETAILS, ["caller_id"])
+                      + q.referential(SALES_DETAILS, ["caller_id"], EMPLOYEE_DETAILS, ["id"]))
+
+
+def q_dq_violation_vectors(spark, sf_dir):
+    """Every offending row of calls and details with all it breaks and the values that do."""
+    t = _tables(spark, sf_dir)
+    checks = {
+        EMPLOYEE_CALLS: q.calls_successful_le_made(EMPLOYEE_CALLS) + q.rule(
+            EMPLOYEE_CALLS, "few_successes", F.col("calls_successful") * 2 < F.col("calls_made"),
+            ["calls_successful", "calls_made"]) + q.rule(
+            EMPLOYEE_CALLS, "zero_calls", F.col("calls_made") == 0, ["calls_made"], "calls_made"),
+        EMPLOYEE_DETAILS: q.non_null(EMPLOYEE_DETAILS, ["address", "sales_amount"])
+        + q.non_negative(EMPLOYEE_DETAILS, ["sales_amount"]) + q.pattern(EMPLOYEE_DETAILS, "address")}
+    parts = [q.violation_vectors(t, own).select(
+        F.lit(name).alias("dataset"), "id", F.size("failed").cast("bigint").alias("n_failed"),
+        F.array_join(F.transform("failed", lambda f: F.concat(
+            f["check_name"], F.lit(":"), F.array_join(F.map_values(f["raw"]), "/", "?"))), "; ").alias("failed"))
+        for name, own in checks.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def q_dq_stream(spark, sf_dir):
     """The customer table as a file stream; details derived per micro-batch by a
     stream-static join with nation; row-level checks run on every batch and
@@ -431,6 +453,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_unique": q_dq_unique,
     "dq_referential": q_dq_referential,
     "dq_null_rows": q_dq_null_rows,
+    "dq_unique_columns": q_dq_unique_columns,
+    "dq_violation_vectors": q_dq_violation_vectors,
     "dq_stream": q_dq_stream,
     "csv_malformed": q_csv_malformed,
     "csv_round_trip": q_csv_round_trip,
@@ -713,6 +737,27 @@ WHERE address IS NULL OR NOT regexp_matches(address, '{_ADDRESS_RE}')""",
         _unique("Sales_details", "sales_details", "id")]),
     "dq_referential": _REFERENTIAL,
     "dq_null_rows": "SELECT * FROM employee_details WHERE address IS NULL",
+    "dq_unique_columns": "\nUNION ALL\n".join([
+        *[_unique("Sales_details", "sales_details", c) for c in ("id", "caller_id", "age", "quantity")],
+        _check("Sales_details", "sales_details", "col_non_negative", "caller_id", _cnt("caller_id < 0")),
+        _REFERENTIAL]),
+    "dq_violation_vectors": f"""
+SELECT dataset, id, CAST(len(f) AS BIGINT) AS n_failed, array_to_string(f, '; ') AS failed
+FROM (SELECT 'Employee_calls' AS dataset, id, list_filter([
+        CASE WHEN calls_successful > calls_made
+             THEN 'calls_successful_gt_made:' || calls_successful || '/' || calls_made END,
+        CASE WHEN calls_successful * 2 < calls_made THEN 'few_successes:' || calls_successful || '/' || calls_made END,
+        CASE WHEN calls_made = 0 THEN 'zero_calls:' || calls_made END], lambda x: x IS NOT NULL) AS f
+      FROM employee_calls
+      UNION ALL
+      SELECT 'Employee_details', id, list_filter([
+        CASE WHEN address IS NULL THEN 'col_non_null:?' END,
+        CASE WHEN sales_amount IS NULL THEN 'col_non_null:?' END,
+        CASE WHEN sales_amount < 0 THEN 'col_non_negative:' || sales_amount END,
+        CASE WHEN address IS NULL OR NOT regexp_matches(address, '{_ADDRESS_RE}')
+             THEN 'address_format:' || coalesce(address, '?') END], lambda x: x IS NOT NULL)
+      FROM employee_details) v
+WHERE len(f) > 0""",
     "dq_stream": "\nUNION ALL\n".join([
         _non_null("Employee_details", "employee_details", "id"),
         _check("Employee_details", "employee_details", "col_non_negative", "sales_amount",

@@ -130,5 +130,21 @@ def test_orphan_lines_are_found_before_part_and_customer_lookups(spark):
 
 
 def test_suite_joins_lineitem_and_orders_once(spark):
-    plan = E.q_dq_report(spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "lineitem" not in plan   # both branches read the view written before
+    plan = _without_broadcast(spark, lambda: E.q_dq_report(spark, SF))
+    assert plan.count("lineitem.parquet") == 1, plan     # the view itself: no copy of it is written
+    # the details suite, the calls suite and the callers' ids read customer
+    assert plan.count("customer.parquet") == 3, plan
+
+
+def test_many_unique_columns_take_one_scan_and_a_narrow_shuffle(spark):
+    plan = _without_broadcast(spark, lambda: E.q_dq_unique_columns(spark, SF))
+    assert plan.count("lineitem.parquet") == 1 and "Expand" not in plan, plan
+    # what is shuffled for the keys: a slot, two longs, a count and a mark, however many columns
+    assert len(re.findall(r"Exchange hashpartitioning\(slot#\d+, k1#\d+L, k2#\d+L", plan)) == 1, plan
+    assert re.search(r"keys=\[slot#\d+, k1#\d+L, k2#\d+L\], functions=\[partial_sum\(n#\d+\), partial_max\(p#\d+\)\]", plan), plan
+
+
+def test_violation_vectors_scan_each_table_once(spark):
+    plan = _plan(E.q_dq_violation_vectors(spark, SF))
+    assert plan.count("orders.parquet") == 1 and plan.count("nation.parquet") == 1, plan
+    assert plan.count("customer.parquet") == 2, plan     # calls and details are both views of it

@@ -324,3 +324,96 @@ def test_referential_shuffles_each_side_once(spark):
         assert (row["total"], row["violations"]) == (4, 2)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+# ------------------------------------------------- several keys in one aggregate
+
+def _mixed(spark):
+    rows = [(1, "a", 1.0, 5), (1, "b", -0.0, 5), (2, "b", 0.0, None), (None, None, float("nan"), 7),
+            (None, "a b", float("nan"), 9), (3, "", None, 9), (0, "c", 1.5, -1)]
+    return spark.createDataFrame(rows, "id long, code string, score double, caller_id int")
+
+
+def _beyond_distinct(df, column):
+    return df.count() - df.select(column).distinct().count()
+
+
+def test_keys_counted_together_agree_with_distinct(spark):
+    df, parent = _mixed(spark), spark.createDataFrame([(5,), (9,), (9,), (None,)], "id long")
+    tables = {"T": df, "P": parent}
+    checks = (q.row_count("T", 6) + q.unique("T", ["id", "code", "score", "caller_id"])
+              + q.non_null("T", ["id"]) + q.non_negative("T", ["score", "caller_id"])
+              + q.referential("T", ["caller_id"], "P", ["id"]))
+    got = {(r["check_name"], r["column_name"]): (r["total"], r["violations"], r["passed"])
+           for r in q.evaluate(tables, checks).collect()}
+    for c in ("id", "code", "score", "caller_id"):
+        n = _beyond_distinct(df, c)
+        assert got["col_unique", c] == (7, n, n == 0)
+    assert got["row_count", None] == (7, 1, False)
+    assert got["col_non_null", "id"] == (7, 2, False)
+    assert got["col_non_negative", "score"] == (7, 0, True)
+    assert got["col_non_negative", "caller_id"] == (7, 1, False)
+    assert got["referential_integrity", "caller_id"] == (5, 2, False)   # 5, null, 7, 9, -1; 7 and -1 unknown
+
+
+def test_keys_counted_together_of_an_empty_table(spark):
+    df = _mixed(spark).limit(0)
+    checks = (q.row_count("T", 0) + q.unique("T", ["id", "code"]) + q.non_null("T", ["id"])
+              + q.referential("T", ["caller_id"], "P", ["id"]))
+    rows = q.evaluate({"T": df, "P": _ints(spark, [1])}, checks).collect()
+    assert [(r["total"], r["violations"], r["passed"]) for r in rows] == [(0, 0, True)] * 5
+
+
+def test_composite_and_unlike_keys(spark):
+    child = spark.createDataFrame([(1, None, "x"), (None, 1, "x"), (1, 1, "y"), (1, 1, "y")], "a int, b int, c string")
+    parent = spark.createDataFrame([(1, None, "1", 1.0), (1, 1, "y", 7.5)], "a int, b int, c string, d double")
+    tables = {"C": child, "P": parent}
+    checks = (q.unique("C", ["a"]) + q.referential("C", ["a", "b"], "P", ["a", "b"])
+              + q.referential("C", ["c"], "P", ["c"]) + q.referential("C", ["a"], "P", ["d"]))
+    got = {r["column_name"]: (r["total"], r["violations"]) for r in q.evaluate(tables, checks).collect()
+           if r["check_name"] == "referential_integrity"}
+    # the last check's keys are of two types: joined as Spark compares them
+    assert got == {"a,b": (3, 1), "c": (2, 1), "a": (2, 1)}
+
+
+def test_a_value_that_fills_a_third_of_the_rows(spark):
+    df = spark.range(30_000).selectExpr("id % 3 * id AS id", "CAST(id % 3 * id AS STRING) AS code",
+                                        "CAST(id % 3 AS INT) AS caller_id")
+    checks = q.unique("T", ["id", "code"]) + q.referential("T", ["caller_id"], "P", ["id"])
+    rows = q.evaluate({"T": df, "P": _ints(spark, [0, 1])}, checks).collect()
+    assert [(r["total"], r["violations"]) for r in rows] == [
+        (30_000, _beyond_distinct(df, "id")), (30_000, _beyond_distinct(df, "code")), (3, 1)]
+
+
+# ------------------------------------------------------------ violation vectors
+
+def test_violation_vectors(tables):
+    checks = (q.non_null("Employee_details", ["address", "sales_amount"])
+              + q.non_negative("Employee_details", ["sales_amount"]) + q.pattern("Employee_details"))
+    got = {r["name"]: [(f["check_name"], f["column_name"], f["raw"]) for f in r["failed"]]
+           for r in q.violation_vectors(tables, checks).collect()}
+    assert got == {
+        "B": [("col_non_negative", "sales_amount", {"sales_amount": "-1.0"}), ("address_format", "address", {"address": "bad"})],
+        "C": [("col_non_null", "address", {"address": None}), ("col_non_null", "sales_amount", {"sales_amount": None}),
+              ("address_format", "address", {"address": None})]}
+    rule = q.calls_successful_le_made("Employee_calls")
+    row, = q.violation_vectors(tables, rule).collect()
+    assert row["failed"][0]["raw"] == {"calls_successful": "5", "calls_made": "2"}
+
+
+def test_violation_vectors_agree_with_the_counts(tables):
+    checks = (q.non_null("Employee_details", ["name", "address"])
+              + q.non_negative("Employee_details", ["sales_amount"]) + q.pattern("Employee_details"))
+    counted = {(r["check_name"], r["column_name"]): r["violations"] for r in q.evaluate(tables, checks).collect()}
+    listed = dict.fromkeys(counted, 0)
+    for r in q.violation_vectors(tables, checks).collect():
+        for f in r["failed"]:
+            listed[f["check_name"], f["column_name"]] += 1
+    assert listed == counted
+
+
+def test_violation_vectors_are_for_row_level_checks_of_one_dataset(tables):
+    with pytest.raises(ValueError, match="col_unique"):
+        q.violation_vectors(tables, q.unique("Employee_details", ["id"]))
+    with pytest.raises(ValueError, match="several"):
+        q.violation_vectors(tables, q.non_null("Employee_details", ["id"]) + q.non_null("Employee_calls", ["id"]))

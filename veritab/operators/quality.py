@@ -8,9 +8,11 @@ DataFrame with a row per (check, column)::
 * every table-local check of a dataset (row count, non-null, non-negative,
   row rules, text patterns, and one uniqueness column) shares ONE aggregate,
   i.e. one scan of that table;
-* each further uniqueness column gets its own aggregate (several distinct
-  counts in one aggregate make Catalyst copy every row once per column);
-* a referential check is one null-safe left join of the child's aggregated
+* a dataset with several keys to count (uniqueness columns, referential checks) has all its
+  checks in one aggregate over ``(slot, key)``: a row gives one entry for each of its keys and
+  one for each rule it breaks, parents' keys join them as entries that count nothing. Tasks
+  add entries up before the one shuffle, whose rows do not widen with the columns;
+* a referential check by itself is one null-safe left join of the child's aggregated
   keys with the parent's distinct keys.
 
 All of them are unioned, so the whole suite runs as a single Spark action. The
@@ -154,19 +156,27 @@ def _distinct_with_null(c: Column) -> Column:
     return F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
 
 
-def _violation_count(chk: Check) -> Column:
+ROW_LEVEL = {"non_null", "non_negative", "rule", "pattern"}   # kinds that see one row at a time
+
+
+def _violation(chk: Check) -> Column:
+    """True on a row that breaks a row-level check (null: it does not)."""
     c = F.col(chk.column) if chk.column else None
     if chk.kind == "non_null":
-        return F.count_if(c.isNull())
+        return c.isNull()
     if chk.kind == "non_negative":
-        return F.count_if(c < 0)
+        return c < 0
     if chk.kind == "rule":
-        return F.count_if(chk.violation)
+        return chk.violation
     if chk.kind == "pattern":
-        return F.count_if(not_matching(c, chk.pattern))
+        return not_matching(c, chk.pattern)
     raise ValueError(chk.kind)
 
 
+def _violation_count(chk: Check) -> Column:
+    return F.count_if(_violation(chk))
+
+
 def _sql_str(value) -> str:
     if value is None:
         return "CAST(NULL AS STRING)"
@@ -188,14 +198,11 @@ def _result_rows(agg: DataFrame, rows: list[tuple[Check, str, str]]) -> DataFram
     return agg.select(F.expr(f"inline(array({structs}))"))
 
 
-def _table_checks(df: DataFrame, checks: list[Check]) -> list[DataFrame]:
-    uniques = [c for c in checks if c.kind == "unique"]
-    shared_unique, own_unique = uniques[:1], uniques[1:]
-    local = [c for c in checks if c.kind not in ("unique", "referential")]
-
+def _table_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """The table-local checks and at most one uniqueness column in one aggregate."""
     aggs: list[Column] = [F.count(F.lit(1)).alias("_total")]
     rows = []
-    for i, chk in enumerate(local + shared_unique):
+    for i, chk in enumerate(checks):
         if chk.kind == "row_count":
             rows.append((chk, "_total", f"abs(_total - {int(chk.expected)})"))
             continue
@@ -206,12 +213,78 @@ def _table_checks(df: DataFrame, checks: list[Check]) -> list[DataFrame]:
         else:
             aggs.append(_violation_count(chk).alias(name))
             rows.append((chk, "_total", name))
-    out = [_result_rows(df.agg(*aggs), rows)] if rows else []
-    for chk in own_unique:
-        agg = df.agg(F.count(F.lit(1)).alias("_total"),
-                     _distinct_with_null(F.col(chk.column)).alias("_d"))
-        out.append(_result_rows(agg, [(chk, "_total", "_total - _d")]))
-    return out
+    return _result_rows(df.agg(*aggs), rows)
+
+
+_INTEGRAL = {"byte", "short", "integer", "long"}
+
+
+def _key(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """A key as two bigints. One integer column is its own value, so equal pairs are equal keys;
+    of any other key they are 128 bits of a hash. Null is a value of its own."""
+    if len(columns) == 1 and df.schema[columns[0]].dataType.typeName() in _INTEGRAL:
+        value = F.col(columns[0]).cast("bigint")
+        return [F.coalesce(value, F.lit(0).cast("bigint")), F.when(value.isNull(), 1).otherwise(0).cast("bigint")]
+    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *reversed(parts))]
+
+
+def _countable(tables: dict[str, DataFrame], chk: Check) -> bool:
+    """True if child and parent keys of a referential check are alike as ``_key`` has them."""
+    if chk.kind != "referential":
+        return True
+    kinds = [[t.schema[k].dataType for k in keys] for t, keys in (
+        (tables[chk.dataset], chk.keys), (tables[chk.parent], chk.parent_keys))]
+    whole = all(len(k) == 1 and k[0].typeName() in _INTEGRAL for k in kinds)
+    return whole or kinds[0] == kinds[1]
+
+
+def _counted_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """All checks of one dataset, which has keys to count, from one aggregate over ``(slot, key)``."""
+    df = tables[checks[0].dataset]
+    zero = [F.lit(0).cast("bigint")] * 2
+
+    def entry(slot: int, key: list[Column]) -> Column:
+        return F.struct(F.lit(slot).alias("slot"), key[0].alias("k1"), key[1].alias("k2"))
+
+    keys, broken, parents = [], [], []
+    for slot, chk in enumerate(checks):
+        if chk.kind == "unique":
+            keys.append(entry(slot, _key(df, [chk.column])))
+        elif chk.kind == "referential":
+            keys.append(entry(slot, _key(df, chk.keys)))
+            parent = tables[chk.parent]
+            parents.append(parent.select(F.lit(slot).alias("slot"), *[
+                k.alias(n) for k, n in zip(_key(parent, chk.parent_keys), ("k1", "k2"))]))
+        elif chk.kind != "row_count":
+            broken.append(F.when(_violation(chk), entry(slot, zero)))
+    entries = F.array(*keys)
+    if broken:
+        entries = F.concat(entries, F.array_compact(F.array(*broken)))
+    counted = df.select(F.explode(entries).alias("e")).select("e.*", F.lit(1).alias("n"), F.lit(0).alias("p"))
+    for parent in parents:
+        counted = counted.unionByName(parent.withColumns({"n": F.lit(0), "p": F.lit(1)}))
+    groups = counted.groupBy("slot", "k1", "k2").agg(F.sum("n").alias("n"), F.max("p").alias("p"))
+
+    total = next(slot for slot, chk in enumerate(checks) if chk.kind in ("unique", "referential"))
+    here = lambda slot: F.col("slot") == slot
+    rows_of = lambda slot: F.coalesce(F.sum(F.when(here(slot), F.col("n"))), F.lit(0))
+    aggs, rows = [rows_of(total).alias("_total")], []
+    for slot, chk in enumerate(checks):
+        if chk.kind == "row_count":
+            rows.append((chk, "_total", f"abs(_total - {int(chk.expected)})"))
+        elif chk.kind == "unique":
+            aggs.append(F.count_if(here(slot)).alias(f"_d{slot}"))
+            rows.append((chk, "_total", f"_total - _d{slot}"))
+        elif chk.kind == "referential":
+            child = here(slot) & (F.col("n") > 0)
+            aggs += [F.count_if(child).alias(f"_d{slot}"),
+                     F.count_if(child & (F.col("p") == 0)).alias(f"_v{slot}")]
+            rows.append((chk, f"_d{slot}", f"_v{slot}"))
+        else:
+            aggs.append(rows_of(slot).alias(f"_v{slot}"))
+            rows.append((chk, "_total", f"_v{slot}"))
+    return _result_rows(groups.agg(*aggs), rows)
 
 
 def _null_safe_on(left: DataFrame, lkeys: Sequence[str], right: DataFrame,
@@ -321,8 +394,15 @@ def evaluate(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame
     for chk in checks:
         by_dataset.setdefault(chk.dataset, []).append(chk)
     for dataset, group in by_dataset.items():
-        parts.extend(_table_checks(tables[dataset], group))
-        parts.extend(_referential(tables, c) for c in group if c.kind == "referential")
+        apart = [c for c in group if not _countable(tables, c)]
+        together = [c for c in group if c not in apart]
+        if sum(c.kind in ("unique", "referential") for c in together) < 2:
+            apart += [c for c in together if c.kind == "referential"]
+            together = [c for c in together if c.kind != "referential"]
+            parts += [_table_checks(tables[dataset], together)] if together else []
+        else:
+            parts.append(_counted_checks(tables, together))
+        parts += [_referential(tables, c) for c in apart]
     if not parts:
         raise ValueError("no checks given")
     # every part comes from ``_result_rows``: same columns in the same order
@@ -356,16 +436,31 @@ def violations(tables: dict[str, DataFrame], chk: Check, keys: DataFrame | None
         parent = tables[chk.parent]
         pk = parent.select([parent[p].alias(f"_p{i}") for i, p in enumerate(chk.parent_keys)])
         return df.join(pk, _null_safe_on(df, chk.keys, pk, pk.columns), "left_anti")
-    c = F.col(chk.column) if chk.column else None
-    if chk.kind == "non_null":
-        return df.filter(c.isNull())
-    if chk.kind == "non_negative":
-        return df.filter(c < 0)
-    if chk.kind == "rule":
-        return df.filter(F.coalesce(chk.violation, F.lit(False)))
-    if chk.kind == "pattern":
-        return df.filter(not_matching(c, chk.pattern))
-    raise ValueError(chk.kind)
+    return df.filter(_violation(chk))
+
+
+def violation_vectors(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
+    """Every row of one dataset that breaks any of these row-level ``checks``, with ``failed``: an
+    array of ``(check_name, column_name, raw)`` in the order of the checks, ``raw`` mapping the columns
+    a check looks at to their values as text (null stays null).
+
+    One scan whatever the number of checks; rows are told by the checks' predicates
+    alone, the arrays are made for offending rows only."""
+    checks = list(checks)
+    validate(tables, checks)
+    wrong = sorted({c.name for c in checks if c.kind not in ROW_LEVEL})
+    if wrong or len({c.dataset for c in checks}) != 1:
+        raise ValueError(f"not row-level checks of one dataset: {', '.join(wrong) or 'several datasets'}")
+    df = tables[checks[0].dataset]
+
+    def failure(chk: Check) -> Column:
+        raw = [x for c in dict.fromkeys(_needed_columns(chk)) for x in (F.lit(c), F.col(c).cast("string"))]
+        return F.when(_violation(chk), F.struct(
+            F.lit(chk.name).alias("check_name"), F.lit(chk.column).cast("string").alias("column_name"),
+            F.create_map(*raw).alias("raw")))
+
+    bad = reduce(lambda a, b: a | b, [F.coalesce(_violation(c), F.lit(False)) for c in checks])
+    return df.where(bad).withColumn("failed", F.array_compact(F.array(*[failure(c) for c in checks])))
 
 
 # ------------------------------------------------------------------------ gate

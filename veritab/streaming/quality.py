@@ -23,11 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from veritab.operators.quality import Check, evaluate
+from veritab.operators.quality import ROW_LEVEL, Check, evaluate
 from veritab.sources.files import make_dir, parse_cells, shared_dir
 
-ROW_LEVEL = {"non_null", "non_negative", "rule", "pattern"}
-
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
                 max_files_per_trigger: int | None = None, malformed: bool = False) -> DataFrame:
