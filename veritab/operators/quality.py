@@ -257,10 +257,13 @@ def _counted_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFr
             parents.append(parent.select(F.lit(slot).alias("slot"), *[
                 k.alias(n) for k, n in zip(_key(parent, chk.parent_keys), ("k1", "k2"))]))
         elif chk.kind != "row_count":
-            broken.append(F.when(_violation(chk), entry(slot, zero)))
+            broken.append((_violation(chk), entry(slot, zero)))
     entries = F.array(*keys)
-    if broken:
-        entries = F.concat(entries, F.array_compact(F.array(*broken)))
+    if broken:   # few rows break a rule: the others' arrays are not put together
+        none = F.slice(entries, 1, 0)
+        some = F.concat(entries, *[F.when(bad, F.array(e)).otherwise(none) for bad, e in broken])
+        entries = F.when(reduce(lambda a, b: a | b, [F.coalesce(bad, F.lit(False)) for bad, _ in broken]),
+                         some).otherwise(entries)
     counted = df.select(F.explode(entries).alias("e")).select("e.*", F.lit(1).alias("n"), F.lit(0).alias("p"))
     for parent in parents:
         counted = counted.unionByName(parent.withColumns({"n": F.lit(0), "p": F.lit(1)}))

@@ -58,13 +58,15 @@ def unescape_text(c: Column) -> Column:
 
 
 def _integer(text: Column, kind: T.DataType) -> Column:
-    """A whole number that may be written as ``3.0`` or ``1e2``; no digit of it is rounded away."""
+    """A whole number that may be written as ``3.0`` or ``1e2``; no digit of it is rounded away. The
+    patterns come first: a failing cast costs more than all of them."""
+    digits = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
     point = text.rlike(r"^\s*[+-]?[0-9]+\.0*\s*$")
     power = text.rlike(r"^\s*[+-]?[0-9]{1,19}(\.[0-9]{0,9})?[eE][+-]?[0-9]\s*$")
     number = text.try_cast(T.DecimalType(38, 18))   # holds all digits of such a text
-    return F.coalesce(text.try_cast(kind),
-                      F.when(point, F.substring_index(text, ".", 1).try_cast(kind))
-                      .when(power & (number == F.floor(number)), number.try_cast(kind)))
+    return (F.when(digits, text.try_cast(kind))
+            .when(point, F.substring_index(text, ".", 1).try_cast(kind))
+            .when(power, F.when(number == F.floor(number), number.try_cast(kind))))
 
 
 def _cell(text: Column, kind: T.DataType) -> Column:
