@@ -10,6 +10,7 @@ views; the adapter views are repeated there as CTEs.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -52,14 +53,24 @@ from veritab.sources.schemas import (  # noqa: E402
 )
 from veritab.streaming import totals, watch  # noqa: E402
 
-try:  # the corpus operators and their pipeline are optional
+
+
+def _present(*modules: str) -> bool:
+    try:
+        return all(importlib.util.find_spec(m) is not None for m in modules)
+    except ImportError:   # not even the folder a module should be in
+        return False
+
+
+# the corpus operators and their pipeline are optional; if they are there they must import
+if _present("corpus_pipeline", "veritab.llm.queries"):
     import corpus_pipeline  # noqa: E402
     from veritab.llm import queries as corpus  # noqa: E402
-except ImportError:
-    CORPUS, CORPUS_SQL = {}, {}
-else:
+
     CORPUS = corpus.QUERIES | {"pipeline": corpus_pipeline.run}
     CORPUS_SQL = corpus.ORACLE_SQL
+else:
+    CORPUS, CORPUS_SQL = {}, {}
 
 # Report parameters that select real groups in the test data
 # (segments and nation names stand in for departments and countries).
@@ -396,34 +407,66 @@ def q_csv_malformed(spark, sf_dir):
 BROKEN = "broken_report"
 
 
-def q_report_status(spark, sf_dir):
-    """Every registered report and one that fails, through the runner: status, rows read
-    back from what was written, and whether the error names the report."""
-    t = load_tpch(spark, sf_dir)
+def _bound_reports(t):
+    """Every registered report with the parameters that select real groups here."""
     bound = {"it_data": {"area": TOP_AREA}, "marketing_address_info": {"area": SPLIT_AREA},
              "top_3_most_sold_per_department_netherlands": {"country": COUNTRY}}
     lines = {"top_3_most_sold_per_department_netherlands": sales_details(t, _R5_COLS),
              "best_salesperson": sales_details(t, _R6_COLS)}
 
     def bind(folder, fn):
+        if R.takes_people(fn):
+            return lambda calls, details, _, people=None: fn(calls, details, None, people=people,
+                                                             **bound.get(folder, {}))
         return lambda calls, details, _: fn(calls, details, lines.get(folder), **bound.get(folder, {}))
 
-    runs = {BROKEN: lambda calls, details, _: calls.select("no_such_column")}
-    runs |= {folder: bind(folder, fn) for folder, fn in R.REPORTS.items()}
+    return {folder: bind(folder, fn) for folder, fn in R.REPORTS.items()}
+
+
+def _written_rows(spark, out, report):
+    return spark.read.option("header", True).csv(os.path.join(out, report)).count()
+
+
+def q_report_status(spark, sf_dir):
+    """Every registered report and one that fails, through the runner: status, rows read
+    back from what was written, and whether the error names the report."""
+    t = load_tpch(spark, sf_dir)
+    runs = {BROKEN: lambda calls, details, _: calls.select("no_such_column")} | _bound_reports(t)
     out = shared_dir(spark, "reports")
-    rows = []
     try:
-        for s in R.run_reports(employee_calls(t), employee_details(t), None, out, runs):
-            n = None
-            if s.status == R.SUCCESS:
-                n = spark.read.option("header", True).csv(os.path.join(out, s.report)).count()
-            rows.append((s.report, s.status, n, s.error is not None and s.report in s.error))
+        rows = [(s.report, s.status, _written_rows(spark, out, s.report) if s.status == R.SUCCESS else None,
+                 s.error is not None and s.report in s.error)
+                for s in R.run_reports(employee_calls(t), employee_details(t), None, out, runs)]
     finally:
         remove_dir(spark, out)
     return spark.createDataFrame(rows, "report string, status string, n_rows bigint, "
                                        "error_names_report boolean")
 
 
+KILLED = "department_breakdown"
+
+
+def q_report_resume(spark, sf_dir):
+    """A run in which one report dies while it writes, and the same run taken up again: both
+    statuses, what the second run left as it was, and the rows that are there at last. Calls and
+    details are joined once in each."""
+    t = load_tpch(spark, sf_dir)
+    runs = _bound_reports(t)
+    killed = runs | {KILLED: lambda calls, details, _, people=None: runs[KILLED](
+        calls, details, _, people=people).withColumn("died", F.raise_error(F.lit("killed")).cast("string"))}
+    out = shared_dir(spark, "reports")
+    calls, details = employee_calls(t), employee_details(t)
+    try:
+        first, second = ({s.report: s for s in R.run_reports(calls, details, None, out, r, run_id="q1", share=True)}
+                         for r in (killed, runs))
+        rows = [(name, first[name].status, s.status, s.resumed, _written_rows(spark, out, name))
+                for name, s in second.items()]
+    finally:
+        remove_dir(spark, out)
+    return spark.createDataFrame(rows, "report string, first_status string, status string, resumed boolean, "
+                                       "n_rows bigint")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_n_by_sales": q_top_n_by_sales,
     "address_split": q_address_split,
@@ -461,6 +504,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_mixed_headers": q_csv_mixed_headers,
     "csv_records": q_csv_records,
     "report_status": q_report_status,
+    "report_resume": q_report_resume,
 }
 
 
@@ -797,15 +841,16 @@ FROM lineitem GROUP BY l_linenumber""",
         _check("Sales_details", "lineitem", "large", "quantity",
                _cnt("l_linenumber NOT IN (6, 7) AND l_quantity > 25"))]),
 }
+_REPORT_KEYS = {"it_data": "top_n_by_sales", "marketing_address_info": "address_split",
+                "department_breakdown": "area_breakdown_formatted", "top_3": "top3_performers",
+                "top_3_most_sold_per_department_netherlands": "top3_products", "best_salesperson": "best_per_country"}
 _ORACLE_BODIES["report_status"] = "\nUNION ALL\n".join([
     f"SELECT '{BROKEN}' AS report, 'FAILED' AS status, CAST(NULL AS BIGINT) AS n_rows, "
-    "true AS error_names_report",
-    _written("it_data", "top_n_by_sales"),
-    _written("marketing_address_info", "address_split"),
-    _written("department_breakdown", "area_breakdown_formatted"),
-    _written("top_3", "top3_performers"),
-    _written("top_3_most_sold_per_department_netherlands", "top3_products"),
-    _written("best_salesperson", "best_per_country")])
+    "true AS error_names_report", *[_written(report, key) for report, key in _REPORT_KEYS.items()]])
+_ORACLE_BODIES["report_resume"] = "\nUNION ALL\n".join(
+    f"SELECT '{report}' AS report, '{'FAILED' if report == KILLED else 'SUCCESS'}' AS first_status, "
+    f"'SUCCESS' AS status, {str(report != KILLED).lower()} AS resumed, count(*) AS n_rows "
+    f"FROM ({_ORACLE_BODIES[key]}) q" for report, key in _REPORT_KEYS.items())
 
 
 def oracle_sql() -> dict[str, str]:

@@ -234,3 +234,59 @@ def test_single_file_is_for_summaries_only(spark, out_dir):
     R.run_reports(df, df, df, out_dir, runs, single_file=True)
     parts = {f: len([p for p in os.listdir(f"{out_dir}/{f}") if p.startswith("part-")]) for f in runs}
     assert parts == {"best_salesperson": 1, "marketing_address_info": 4}
+
+
+# ------------------------------------------------------------ resume, shared join
+
+def _mtimes(folder):
+    return {f: os.stat(os.path.join(folder, f)).st_mtime_ns for f in os.listdir(folder)}
+
+
+def test_a_run_is_taken_up_where_it_stopped(spark, out_dir):
+    df = spark.range(3).selectExpr("id", "'x' AS area")
+    good = {f"r{k}": lambda c, d, s, k=k: c.where(f"id < {k}") for k in (1, 2, 3)}
+    dead = good | {"r2": lambda c, d, s: c.selectExpr("raise_error('gone') AS x")}
+    first = R.run_reports(df, df, df, out_dir, dead, run_id="2024/1 %")
+    assert [(s.status, s.resumed) for s in first] == [("SUCCESS", False), ("FAILED", False), ("SUCCESS", False)]
+    before = _mtimes(os.path.join(out_dir, "r1"))
+    second = R.run_reports(df, df, df, out_dir, good, run_id="2024/1 %")
+    assert [(s.status, s.resumed) for s in second] == [("SUCCESS", True), ("SUCCESS", False), ("SUCCESS", True)]
+    assert _mtimes(os.path.join(out_dir, "r1")) == before
+    assert spark.read.option("header", True).csv(os.path.join(out_dir, "r2")).count() == 2
+    # another run writes everything, and the first one's marks are gone with what they stood for
+    assert not any(s.resumed for s in R.run_reports(df, df, df, out_dir, good, run_id="2024/2"))
+    assert not any(s.resumed for s in R.run_reports(df, df, df, out_dir, good, run_id="2024/1 %"))
+
+
+def test_a_report_without_its_commit_mark_is_written_again(spark, out_dir):
+    df = spark.range(3)
+    runs = {"r": lambda c, d, s: c}
+    R.run_reports(df, df, df, out_dir, runs, run_id="a")
+    os.rename(os.path.join(out_dir, "r", "_SUCCESS"), os.path.join(out_dir, "r", "_old"))
+    assert [s.resumed for s in R.run_reports(df, df, df, out_dir, runs, run_id="a")] == [False]
+
+
+def test_calls_and_details_are_joined_once_for_four_reports(spark, out_dir):
+    rows = [(k, "IT" if k % 2 else "Marketing", 4, 4, f"n{k}", f"Kade, {k}, 7001 QX", float(k)) for k in range(20)]
+    df = spark.createDataFrame(rows, "id long, area string, calls_made long, calls_successful long, name string, "
+                                     "address string, sales_amount double")
+    df.write.parquet(os.path.join(out_dir, "in"))
+    df = spark.read.parquet(os.path.join(out_dir, "in"))
+    calls, details = df.select("id", "area", "calls_made", "calls_successful"), df.select("id", "name", "address", "sales_amount")
+    sharing = [f for f, fn in R.REPORTS.items() if R.takes_people(fn)]
+    assert len(sharing) == 4
+    reports = {f: R.REPORTS[f] for f in sharing}
+    got = {}
+    for share in (False, True):
+        plans = {}
+
+        def write(out, path):
+            plans[os.path.basename(path)] = out._jdf.queryExecution().optimizedPlan().toString()
+            got[share, os.path.basename(path)] = sorted(map(str, out.collect()))
+
+        shared = spark.conf.get("spark.checkpoint.dir")
+        before = set(os.listdir(shared)) if os.path.exists(shared) else set()
+        R.run_reports(calls, details, None, out_dir, reports, writer=write, share=share)
+        assert sum(plan.count("Join Inner") for plan in plans.values()) == (0 if share else 4)
+        assert set(os.listdir(shared)) == before if os.path.exists(shared) else True   # the join's table is gone
+    assert all(got[True, f] == got[False, f] != [] for f in sharing)

@@ -37,6 +37,7 @@ def parse(argv=None) -> argparse.Namespace:
     stage.add_argument("--no-stage", dest="stage", action="store_false",
                        help="read the inputs directly in every pass")
     p.add_argument("--single-file", action="store_true", help="one CSV part per summary report (row-level reports stay parallel)")
+    p.add_argument("--run-id", help="take up an unfinished run of this id: only what it did not finish is written")
     return p.parse_args(argv)
 
 
@@ -61,7 +62,7 @@ def main(argv=None) -> int:
                                  SALES_DETAILS: args.sales})
     try:
         result = run_job(spark, tables, args.output_dir, halt_set(args),
-                         stage=should_stage(args), single_file=args.single_file)
+                         stage=should_stage(args), single_file=args.single_file, run_id=args.run_id)
     except RuntimeError as exc:
         logging.getLogger("veritab").error("stopped: %s", exc)
         return 1

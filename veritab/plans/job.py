@@ -51,24 +51,25 @@ def stage_inputs(spark: SparkSession, tables: dict[str, DataFrame], folder: str)
 
 def run_job(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
             halt_on: Iterable[str] = (), expected_rows: dict | None = None,
-            stage: bool = False, single_file: bool = False) -> JobResult:
+            stage: bool = False, single_file: bool = False, run_id: str | None = None) -> JobResult:
     """Quality suite (raises if a halting check fails, before any report is
     written), then all registered reports with per-report failure isolation.
-    Staged copies of the inputs are removed when the job ends, however it ends."""
+    Staged copies of the inputs are removed when the job ends, however it ends. A job with
+    the ``run_id`` of an earlier one writes only the reports that one did not finish."""
     if not stage:
-        return _run(tables, out_dir, halt_on, expected_rows, single_file)
+        return _run(tables, out_dir, halt_on, expected_rows, single_file, run_id)
     folder = shared_dir(spark, "inputs")
     try:
-        return _run(stage_inputs(spark, tables, folder), out_dir, halt_on, expected_rows, single_file)
+        return _run(stage_inputs(spark, tables, folder), out_dir, halt_on, expected_rows, single_file, run_id)
     finally:
         remove_dir(spark, folder)
 
 
-def _run(tables, out_dir, halt_on, expected_rows, single_file) -> JobResult:
+def _run(tables, out_dir, halt_on, expected_rows, single_file, run_id) -> JobResult:
     quality = run_quality(tables, halt_on, standard_suite(expected_rows))
     clean = {name: df.drop(MALFORMED) for name, df in tables.items()}
     statuses = run_reports(clean[EMPLOYEE_CALLS], clean[EMPLOYEE_DETAILS],
-                           clean[SALES_DETAILS], out_dir, single_file=single_file)
+                           clean[SALES_DETAILS], out_dir, single_file=single_file, run_id=run_id, share=True)
     for s in statuses:
         if s.error:
             log.error(s.error)

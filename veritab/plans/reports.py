@@ -13,11 +13,14 @@ caller with a third of all sales arrives at the join as a handful of rows.
 
 from __future__ import annotations
 
+import inspect
 import logging
 import os
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +30,7 @@ from veritab.functions import count_text, money_text, percent_text, ratio
 from veritab.operators.aggregate import ratio_breakdown, summed_top_k
 from veritab.operators.split import split_pattern
 from veritab.operators.topn import top_k_per_group, top_n
-from veritab.sources.files import write_csv
+from veritab.sources.files import make_dir, materialize_at, path_exists, remove_dir, shared_dir, write_csv
 
 log = logging.getLogger(__name__)
 
@@ -58,28 +61,33 @@ PRODUCT_COUNTRY = "Netherlands"
 ROW_LEVEL = {"marketing_address_info"}
 
 
+def join_people(calls: DataFrame, details: DataFrame, people: DataFrame | None = None) -> DataFrame:
+    """Calls and details by id; ``people`` is that join made before, if a run shares it."""
+    return calls.join(details, on="id", how="inner") if people is None else people
+
+
 @report("it_data")
 def top_sales(calls: DataFrame, details: DataFrame, sales: DataFrame | None = None,
-              area: str = IT_AREA, n: int = TOP_N) -> DataFrame:
+              area: str = IT_AREA, n: int = TOP_N, people: DataFrame | None = None) -> DataFrame:
     """The ``n`` people of ``area`` with the highest sales (null counts as 0.0;
     ties broken by id)."""
-    joined = calls.join(details, on="id", how="inner").filter(F.col("area") == area)
+    joined = join_people(calls, details, people).filter(F.col("area") == area)
     return top_n(joined, "sales_amount", n, fill=0.0, tie_breakers=["id"])
 
 
 @report("marketing_address_info")
 def address_info(calls: DataFrame, details: DataFrame, sales: DataFrame | None = None,
-                 area: str = MARKETING_AREA) -> DataFrame:
+                 area: str = MARKETING_AREA, people: DataFrame | None = None) -> DataFrame:
     """name, address without its postcode, and the postcode, for ``area``."""
-    joined = calls.join(details, on="id", how="inner").filter(F.col("area") == area)
+    joined = join_people(calls, details, people).filter(F.col("area") == area)
     return split_pattern(joined, "address", "zip_code").select("name", "address", "zip_code")
 
 
 @report("department_breakdown")
 def department_breakdown(calls: DataFrame, details: DataFrame, sales: DataFrame | None = None,
-                         display: bool = True) -> DataFrame:
+                         display: bool = True, people: DataFrame | None = None) -> DataFrame:
     """Per area: total sales, and successful / made calls in percent."""
-    b = ratio_breakdown(calls.join(details, on="id", how="inner"), ["area"], "sales_amount",
+    b = ratio_breakdown(join_people(calls, details, people), ["area"], "sales_amount",
                         "calls_successful", "calls_made")
     if not display:
         return b.select("area", "total_sales", "success_rate")
@@ -90,10 +98,10 @@ def department_breakdown(calls: DataFrame, details: DataFrame, sales: DataFrame
 @report("top_3")
 def top_performers(calls: DataFrame, details: DataFrame, sales: DataFrame | None = None,
                    threshold: float = RATE_THRESHOLD, k: int = TOP_K,
-                   display: bool = True) -> DataFrame:
+                   display: bool = True, people: DataFrame | None = None) -> DataFrame:
     """Per area, the top ``k`` by sales then success rate among people whose
     success rate is strictly above ``threshold`` (ties share a rank)."""
-    joined = (calls.join(details, on="id", how="inner")
+    joined = (join_people(calls, details, people)
               .withColumn("success_rate", ratio("calls_successful", "calls_made"))
               .filter(F.col("success_rate") > threshold))
     ranked = top_k_per_group(joined, ["area"],
@@ -160,14 +168,46 @@ STATUS_SCHEMA = T.StructType([T.StructField("report", T.StringType()),
 
 @dataclass(frozen=True)
 class ReportStatus:
+    """``resumed``: written by an earlier run of the same ``run_id`` and left as it is."""
+
     report: str
     status: str
     error: str | None = None
+    resumed: bool = False
+
+
+class Manifest:
+    """Which reports of a run are finished: a folder ``_finished/<report>/<run id>`` beside the
+    reports, made after a report is committed and removed before it is written again. A
+    report whose own commit mark is missing is not finished, whatever the manifest says."""
+
+    def __init__(self, spark: SparkSession, out_dir: str, run_id: str):
+        self.spark, self.out_dir, self.name = spark, out_dir, quote(run_id, safe="")
+
+    def _mark(self, folder: str) -> str:
+        return os.path.join(self.out_dir, "_finished", folder)
+
+    def finished(self, folder: str) -> bool:
+        return (path_exists(self.spark, os.path.join(self._mark(folder), self.name))
+                and path_exists(self.spark, os.path.join(self.out_dir, folder, "_SUCCESS")))
 
+    def begin(self, folder: str) -> None:
+        remove_dir(self.spark, self._mark(folder))
 
-def _run_one(folder: str, fn: Report, tables: tuple, out_dir: str, write) -> ReportStatus:
+    def end(self, folder: str) -> None:
+        make_dir(self.spark, os.path.join(self._mark(folder), self.name))
+
+
+def _run_one(folder: str, fn: Report, tables: tuple, out_dir: str, write, manifest: Manifest | None) -> ReportStatus:
     try:
+        if manifest is not None:
+            if manifest.finished(folder):
+                log.info("%s was written before", folder)
+                return ReportStatus(folder, SUCCESS, resumed=True)
+            manifest.begin(folder)
         write(fn(*tables), os.path.join(out_dir, folder))
+        if manifest is not None:
+            manifest.end(folder)
         log.info("%s written", folder)
         return ReportStatus(folder, SUCCESS)
     except Exception as exc:  # noqa: BLE001 - isolate one report's failure
@@ -175,10 +215,18 @@ def _run_one(folder: str, fn: Report, tables: tuple, out_dir: str, write) -> Rep
         return ReportStatus(folder, FAILED, f"{folder}: {exc}")
 
 
+def takes_people(fn: Report) -> bool:
+    """True for a report that can read the shared join of calls and details."""
+    try:
+        return "people" in inspect.signature(fn).parameters
+    except ValueError:   # a builtin that does not tell
+        return False
+
+
 def run_reports(calls: DataFrame, details: DataFrame, sales: DataFrame, out_dir: str,
                 reports: dict[str, Report] | None = None, single_file: bool = False,
                 writer: Callable[..., None] | None = None,
-                parallelism: int = 3) -> list[ReportStatus]:
+                parallelism: int = 3, run_id: str | None = None, share: bool = False) -> list[ReportStatus]:
     """Build and write every report to ``out_dir/<folder>``.
 
     A report that fails (at analysis or while writing) is recorded as FAILED
@@ -191,19 +239,36 @@ def run_reports(calls: DataFrame, details: DataFrame, sales: DataFrame, out_dir:
     in registration order. ``single_file`` writes each summary report as one part;
     row-level reports (``ROW_LEVEL``) and unknown ones are written in parallel all the
     same, since one task would have to hold as many rows as the inputs have.
+
+    With ``run_id`` a run can be taken up again: reports that a run of that id has finished in
+    ``out_dir`` are left alone (``resumed``), the others are written. The id stands for the inputs
+    and parameters; give another one when they change. ``share`` joins calls and details once,
+    into a table in the shared folder that is removed at the end, for all reports that have a
+    ``people`` parameter - if more than one of them is to be written.
     """
     def write_one(df: DataFrame, path: str) -> None:
         name = os.path.basename(path)
         write_csv(df, path, single_file=single_file and name in SUMMARIES)
 
     write = writer or write_one
-    todo = list((reports if reports is not None else REPORTS).items())
+    todo = dict(reports if reports is not None else REPORTS)
     tables = (calls, details, sales)
-    if parallelism <= 1 or len(todo) <= 1:
-        return [_run_one(f, fn, tables, out_dir, write) for f, fn in todo]
-    with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="report") as pool:
-        futures = [pool.submit(_run_one, f, fn, tables, out_dir, write) for f, fn in todo]
-        return [f.result() for f in futures]
+    manifest = Manifest(calls.sparkSession, out_dir, run_id) if run_id is not None else None
+    sharing = [f for f, fn in todo.items() if share and takes_people(fn)
+               and not (manifest is not None and manifest.finished(f))]
+    folder = shared_dir(calls.sparkSession, "people") if len(sharing) > 1 else None
+    if folder is not None:
+        people = materialize_at(join_people(calls, details), folder)
+        todo |= {f: partial(todo[f], people=people) for f in sharing}
+    try:
+        if parallelism <= 1 or len(todo) <= 1:
+            return [_run_one(f, fn, tables, out_dir, write, manifest) for f, fn in todo.items()]
+        with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="report") as pool:
+            futures = [pool.submit(_run_one, f, fn, tables, out_dir, write, manifest) for f, fn in todo.items()]
+            return [f.result() for f in futures]
+    finally:
+        if folder is not None:
+            remove_dir(calls.sparkSession, folder)
 
 
 def status_frame(spark: SparkSession, statuses: list[ReportStatus]) -> DataFrame:

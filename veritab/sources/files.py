@@ -334,6 +334,11 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop_path(spark, path)
+    return fs.exists(target)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system it lies on."""
     fs, target = _hadoop_path(spark, path)
