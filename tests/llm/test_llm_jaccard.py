@@ -204,3 +204,22 @@ def test_search_hands_out_pairs_before_it_is_done(monkeypatch):
     assert sum(len(r) for r, _ in lots) == 300 * 299 // 2 and max(len(r) for r, _ in lots) < 1000
     between = [(a, b) for r, c in j.search(points, sizes, np.arange(300), j.PERCENT, 100) for a, b in zip(r, c)]
     assert len(set(between)) == len(between) == 100 * 200 and all(a < 100 <= b for a, b in between)
+
+
+def test_a_pair_is_written_in_the_first_cell_it_shares(spark, monkeypatch):
+    cross, written = j.cross_pairs, []
+
+    def counted(cells, percent):
+        pairs = cross(cells, percent).cache()
+        written.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(j, "cross_pairs", counted)
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(5000)]
+    passage = [rng.choice(words) for _ in range(150)]      # most of each text: dozens of cells are shared by all
+    rows = [(k, " ".join(passage + [rng.choice(words) for _ in range(rng.randint(8, 30))])) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want, _ = brute(rows)
+    assert sorted(tuple(r) for r in j.join(docs).collect()) == sorted(want)
+    assert written[0][1] > 10 and written[0][0] <= 1.05 * written[0][1]

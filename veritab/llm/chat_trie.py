@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.llm.common import Scratch, aliased, arrow_rows, ship
+from veritab.llm.common import Scratch, aliased, arrow_rows, lean, ship, worker_cache
 from veritab.llm.turns import ROWS, by_key, rows_of, turn_rows, write_batches
 
 # The template's control strings.
@@ -80,22 +80,17 @@ def parse_turn(formatted: str) -> tuple[str, str]:
     return unescape(role), unescape(text)
 
 
-_TOKENIZERS: dict[str, object] = {}
-
-
+@worker_cache
 def tokenizer(path: str):
     """A byte-level tokenizer of ranked byte strings; nothing of a text is special to it."""
-    if path not in _TOKENIZERS:
-        import base64
+    import base64
 
-        import public_tokenizers
-        import tiktoken
+    import public_tokenizers
+    import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _TOKENIZERS[path] = tiktoken.Encoding("chat", pat_str=public_tokenizers.PATTERN,
-                                              mergeable_ranks=ranks, special_tokens={})
-    return _TOKENIZERS[path]
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("chat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def default_tokenizer() -> str:
@@ -144,7 +139,7 @@ def prefixes(rows: DataFrame) -> DataFrame:
     narrow = (rows.select("conv", F.col("turn").cast("bigint").alias("turn"), "a", "b",
                           size.cast("bigint").alias("size")).repartition("conv")
               .sortWithinPartitions("conv", F.col("turn").asc_nulls_first(), "a", "b").select(columns))
-    return narrow.mapInArrow(work, PREFIXES)
+    return narrow.mapInArrow(lean(work), PREFIXES)
 
 
 def paths(rows: DataFrame, scratch: Scratch) -> DataFrame:
@@ -301,7 +296,7 @@ def sequences(rows: DataFrame, place: DataFrame, mark: DataFrame, path: str) ->
 
     return (texts.unionByName(heads).repartition("seq")
             .sortWithinPartitions("seq", "place", "head", "k", F.col("turn").asc_nulls_first(), "a", "b")
-            .select(columns).mapInArrow(work, SEQUENCES))
+            .select(columns).mapInArrow(lean(work), SEQUENCES))
 
 
 def model_inputs(tokens: list[int], nodes: list) -> dict:
@@ -396,8 +391,8 @@ def digests(packed: DataFrame, path: str) -> DataFrame:
 
     whole = F.col("last") & (F.col("piece") == 0)
     longer = packed.where(~whole).select(columns).repartition("seq").sortWithinPartitions("seq", "piece")
-    return (packed.where(whole).select(columns).mapInArrow(work, DIGEST)
-            .unionByName(longer.mapInArrow(work, DIGEST)))
+    return (packed.where(whole).select(columns).mapInArrow(lean(work), DIGEST)
+            .unionByName(longer.mapInArrow(lean(work), DIGEST)))
 
 
 def pack(rows: DataFrame, scratch: Scratch, path: str | None = None) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ import re
 import tempfile
 import zipfile
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,6 +149,50 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+_CACHES: list = []
+
+
+def worker_cache(make):
+    """``make(path)``, kept by a Python worker for its next tasks (the last one only)."""
+    kept = lru_cache(1)(make)
+    _CACHES.append((make.__module__, kept))
+    return kept
+
+
+def lean(run, module: str | None = None):
+    """A function of Arrow batches whose tasks leave little in their worker, which Spark uses again for
+    whatever comes next: what other modules' caches keep goes first, and at the end memory
+    that is free goes back to the system."""
+    module = module or run.__module__
+
+    def work(batches):
+        import sys
+
+        for owner, kept in list(getattr(sys.modules.get("veritab.llm.common"), "_CACHES", [])):
+            if owner != module:
+                kept.cache_clear()
+        give_back()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return work
+
+
+def give_back() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):   # another C library
+        pass
+
+
 def map_texts(df: DataFrame, make, schema: str, keep=("doc_id",), text: str = "text",
               extra=()) -> DataFrame:
     """Run a text function over every row in Arrow batches.
@@ -182,7 +227,7 @@ def map_texts(df: DataFrame, make, schema: str, keep=("doc_id",), text: str = "t
 
     ship(df.sparkSession)
     columns = list(dict.fromkeys([*keep, text, *extra]))
-    return df.select(*columns).mapInArrow(run, T.StructType(kept.fields + added.fields))
+    return df.select(*columns).mapInArrow(lean(run, make.__module__), T.StructType(kept.fields + added.fields))
 
 
 @contextmanager

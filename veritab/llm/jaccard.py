@@ -16,6 +16,14 @@ pairs are sought within cells only. Components need connections, not all pairs:
    of tiles at growing distances, with the components joined anew before each pass, so that
    what earlier passes have linked is not searched again.
 
+A pair is to be found in the first cell it shares only. There, its places in the two sets bound
+what can be common (this cell and what is left of the smaller rest), and a pair that has one
+of the ``BACK`` shingles before the cell in common as well is passed over: it was in an
+earlier cell.
+
+Whole sets are made twice rather than written: once for the points and prefixes of all documents,
+once more, from their texts, for those of the pairs that have to be verified.
+
 Equal sets are one node throughout. Shingles are told apart by 44 bits of a hash (and the
 rarity class): two given sets of 1000 shingles agree by chance in one with probability 6e-8.
 """
@@ -23,13 +31,14 @@ rarity class): two given sets of 1000 shingles agree by chance in one with proba
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.llm.common import Scratch, aliased, arrow_rows, components, map_texts, ship
+from veritab.llm.common import Scratch, aliased, arrow_rows, components, lean, map_texts, ship
 from veritab.sources.files import materialize
 
 WORDS = 4                  # words of a shingle, unless a caller says otherwise
@@ -45,6 +54,7 @@ KEY_BYTES = 6
 CELL_ROWS = 2048           # members from which a cell is dealt into tiles of about so many
 PAIR_ROWS = 16_384         # pairs a search holds before it writes them
 SET_ROWS = 256             # sets, or pairs of sets, that a Python worker is handed at a time
+BACK = 16                  # shingles before a cell by which pairs of earlier cells are known
 
 
 def split_words(text: str) -> list[bytes]:
@@ -82,7 +92,7 @@ def word_levels(docs: DataFrame, bound: int = COMMON_WORDS) -> dict[int, int]:
         yield flush()
 
     ship(docs.sparkSession)
-    top = (docs.select("text").mapInArrow(count, schema).groupBy("word").agg(F.sum("n").alias("n"))
+    top = (docs.select("text").mapInArrow(lean(count), schema).groupBy("word").agg(F.sum("n").alias("n"))
            .orderBy(F.col("n").desc(), "word").limit(bound).toArrow())
     if not top.num_rows:
         return {}
@@ -264,6 +274,12 @@ def restrict(table: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     return table.join(keys, keys.columns, how)
 
 
+def matched(table: DataFrame, keyed: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """``table`` joined with a written table that has one row a key: broadcast while that is small,
+    else by a shuffle in which Spark can split a key that most rows of ``table`` have."""
+    return table.join(F.broadcast(keyed) if keyed.count() <= BROADCAST_ROWS // 2 else keyed, on, how)
+
+
 def bounded(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs whose points allow a link."""
     def keep(batches):
@@ -281,11 +297,38 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> Data
 
     one = points.select(F.col("uid").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
     two = points.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
-    return pairs.join(one, "a").join(two, "b").mapInArrow(keep, "a bigint, b bigint")
+    return pairs.join(one, "a").join(two, "b").mapInArrow(lean(keep), "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
-    """The pairs that link, compared on their whole sets. Only sets of these pairs move,
+def whole_sets(rows: DataFrame, wanted: DataFrame, levels: dict[int, int], words: int) -> DataFrame:
+    """``(uid, n, keys)`` of the sets of ``wanted(uid, k1, k2)``, made from the texts of ``rows`` again; of
+    repeated rows a task makes the first."""
+    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("n", T.LongType()),
+                           T.StructField("keys", T.BinaryType())])
+
+    def make(batches):
+        import pyarrow as pa
+
+        shingles, seen = Shingler(levels, words), set()
+        for b in batches:
+            out = []
+            for k, uid in enumerate(b.column("uid").to_pylist()):
+                if uid not in seen:
+                    seen.add(uid)
+                    keys = shingles(b.column("text")[k].as_py() or "")
+                    out.append((uid, len(keys), to_bytes(keys)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f) for c, f in zip(
+                    zip(*out), (pa.int64(), pa.int64(), pa.binary()))], names=schema.names)
+
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    return (rows.select("text", "k1", "k2").join(wanted, ["k1", "k2"]).select("uid", "text")
+            .mapInArrow(lean(make), schema).dropDuplicates(["uid"]))
+
+
+def verified(pairs: DataFrame, sets: "Sets", scratch: Scratch, percent: int = PERCENT) -> DataFrame:
+    """The pairs that link, compared on their whole sets. Only sets of these pairs are made and move,
     and a task holds one batch of pairs."""
     pairs = scratch.keep(pairs, "join-pairs")
 
@@ -306,13 +349,14 @@ def verified(pairs: DataFrame, sets: DataFrame, scratch: Scratch, percent: int =
             yield pa.RecordBatch.from_arrays([x.filter(mask) for x in cols[:2]], names=["a", "b"])
 
     ids = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct(), "join-ids")
-    some = restrict(sets.select("uid", "n", "keys"), ids, "left_semi")
-    one = some.select(F.col("uid").alias("a"), F.col("n").alias("na"), F.col("keys").alias("sa"))
-    two = some.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("keys").alias("sb"))
-    links = pairs.join(one, "a").join(two, "b").mapInArrow(keep, "a bigint, b bigint")
-    with arrow_rows(sets.sparkSession, SET_ROWS):
+    wanted = scratch.keep(restrict(sets.table.select("uid", "k1", "k2"), ids, "left_semi"), "join-wanted")
+    with arrow_rows(sets.table.sparkSession, SET_ROWS):
+        some = scratch.keep(whole_sets(sets.rows, wanted, sets.levels, sets.words), "join-sets")
+        one = some.select(F.col("uid").alias("a"), F.col("n").alias("na"), F.col("keys").alias("sa"))
+        two = some.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("keys").alias("sb"))
+        links = pairs.join(one, "a").join(two, "b").mapInArrow(lean(keep), "a bigint, b bigint")
         links = scratch.keep(links, "join-links")
-    scratch.drop("join-pairs", "join-ids")
+    scratch.drop("join-pairs", "join-ids", "join-wanted", "join-sets")
     return links
 
 
@@ -339,9 +383,9 @@ def tiled(cells: DataFrame, lo: int, hi: int) -> DataFrame:
 
 
 def cross_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """R-tree search within every pair of tiles of ``(cell, a, b, mine, uid, n, point, comp)``
-    for pairs across components. A task holds one pair of tiles, and writes pairs as they are
-    found."""
+    """R-tree search within every pair of tiles of ``(cell, a, b, mine, uid, n, point, comp, place, back)``
+    for pairs across components whose first common cell this can be. A task holds one pair of
+    tiles, and writes pairs as they are found."""
     def run(batches):
         import pyarrow as pa
 
@@ -349,9 +393,20 @@ def cross_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
             if not rows:
                 return
             uid, n, comp = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 7))
+            rest = n - np.array([r[8] for r in rows], np.int64)   # of each set, from this shingle on
+            back = np.full((len(rows), BACK), -1, np.int64)
+            for k, r in enumerate(rows):
+                back[k, :len(r[9]) // KEY_BYTES] = from_bytes(r[9])
+            other_back = np.where(back < 0, -2, back)
             own, other = rows[0][1:3]
             split = None if own == other else sum(r[3] == own for r in rows)
             for i, j in search(np.array([fold(r[6]) for r in rows]), n, comp, percent, split):
+                ok = np.minimum(rest[i], rest[j]) >= overlap_needed(n[i] + n[j], percent)
+                i, j = i[ok], j[ok]
+                met = [(back[i[at:at + 4096], :, None] == other_back[j[at:at + 4096], None, :]).any((1, 2))
+                       for at in range(0, len(i), 4096)]
+                new = ~np.concatenate(met) if met else np.zeros(0, bool)
+                i, j = i[new], j[new]
                 fine = most_common([rows[k][6] for k in i], [rows[k][6] for k in j])
                 ok = fine >= overlap_needed(n[i] + n[j], percent)
                 r, c = uid[i[ok]], uid[j[ok]]
@@ -367,14 +422,29 @@ def cross_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
                 held.append(row)
         yield from pairs(held)
 
-    columns = ["cell", "a", "b", "mine", "uid", "n", "point", "comp"]
+    columns = ["cell", "a", "b", "mine", "uid", "n", "point", "comp", "place", "back"]
     return (cells.select(*columns).repartition("cell", "a", "b")
-            .sortWithinPartitions("cell", "a", "b", "mine").mapInArrow(run, "a bigint, b bigint"))
+            .sortWithinPartitions("cell", "a", "b", "mine").mapInArrow(lean(run), "a bigint, b bigint"))
+
+
+@dataclass
+class Sets:
+    """The shingle sets of some rows: ``table`` has for each row its ``uid``, the ``keep`` columns, the set's
+    size ``n``, ``same`` (a 128-bit hash of it), ``prefix`` and ``point``, and the row's key ``(k1, k2)``, by
+    which ``rows`` has its text."""
+
+    table: DataFrame
+    rows: DataFrame
+    levels: dict[int, int]
+    words: int
+
+
+def row_keys(doc_id, text) -> dict:
+    return {"k1": F.xxhash64(doc_id, text), "k2": F.xxhash64(F.lit(1), text, doc_id)}
 
 
-def shingle_table(docs: DataFrame, words: int = WORDS, keep=("doc_id",)) -> DataFrame:
-    """Every row's shingle set: ``uid`` (of the row), the ``keep`` columns, ``n``, ``same``
-    (a 128-bit hash of the set), ``keys`` and ``point``; written to the shared folder."""
+def shingle_table(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, keep=("doc_id",)) -> Sets:
+    """The sets of ``docs(text, k1, k2, ..)``; the table is written to the shared folder."""
     levels = word_levels(docs)
 
     def make():
@@ -386,62 +456,74 @@ def shingle_table(docs: DataFrame, words: int = WORDS, keep=("doc_id",)) -> Data
             out = []
             for t in texts:
                 keys = shingles(t)
-                data = to_bytes(keys)
-                out.append((len(keys), xxh3_128_digest(keys.tobytes()), data,
-                            point(from_bytes(data)).tobytes()))
+                cut = to_bytes(keys)
+                out.append((len(keys), xxh3_128_digest(keys.tobytes()),
+                            cut[:KEY_BYTES * prefix_size(len(keys), percent)] if len(keys) else b"",
+                            point(from_bytes(cut)).tobytes()))
             return [list(c) for c in zip(*out)] if out else [[]] * 4
         return work
 
-    made = map_texts(docs, make, "n bigint, same binary, keys binary, point binary", keep=keep)
-    return materialize(made.withColumn("uid", F.monotonically_increasing_id()), "shingles")
+    made = map_texts(docs, make, "n bigint, same binary, prefix binary, point binary",
+                     keep=[*keep, "k1", "k2"])
+    table = materialize(made.withColumn("uid", F.monotonically_increasing_id()), "shingles")
+    return Sets(table, docs, levels, words)
 
 
-def classes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def members(unique: DataFrame) -> DataFrame:
+    """``(cell, uid, place)``: a row for every shingle of every prefix, with its place in the set."""
+    def explode(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            held = [from_bytes(data) for data in b.column("prefix").to_pylist()]
+            if held:
+                size = [len(x) for x in held]
+                uid = np.repeat(b.column("uid").to_numpy(), size)
+                place = np.arange(len(uid)) - np.repeat(np.cumsum([0, *size[:-1]]), size)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held)), pa.array(uid), pa.array(place)],
+                                                 names=["cell", "uid", "place"])
+
+    return unique.select("uid", "prefix").mapInArrow(lean(explode), "cell bigint, uid bigint, place bigint")
+
+
+def classes(sets: Sets, percent: int = PERCENT) -> DataFrame:
     """``(uid, class)`` of every set that is not empty; the class is the least uid that is
     reachable by links."""
-    spark = sets.sparkSession
+    spark = sets.table.sparkSession
     scratch = Scratch(spark)
     ship(spark)
-    some = sets.where("n > 0")
+    some = sets.table.where("n > 0")
     first = some.groupBy("same").agg(F.min("uid").alias("rep"))
     node = materialize(some.select("uid", "same").join(first, "same").select("uid", "rep"), "set-nodes")
     unique = restrict(some, node.where("uid <> rep").select("uid"), "left_anti")
-    points = unique.select("uid", "n", "point")
+    points = unique.select("uid", "n", "point", "prefix")
+    back = F.expr(f"substring(prefix, greatest(0, place - {BACK}) * {KEY_BYTES} + 1, least(place, {BACK}) * {KEY_BYTES})")
 
-    def explode(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            ids, cells = [], []
-            for u, n, data in zip(*[b.column(c).to_pylist() for c in ("uid", "n", "keys")]):
-                keys = from_bytes(data[:KEY_BYTES * prefix_size(n, percent)])
-                cells.append(keys)
-                ids.append(np.full(len(keys), u, np.int64))
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)),
-                                                  pa.array(np.concatenate(ids))], names=["cell", "uid"])
-
-    cell = Window.partitionBy("cell")
-    entries = (unique.select("uid", "n", "keys").mapInArrow(explode, "cell bigint, uid bigint")
-               .withColumn("lo", F.min("uid").over(cell)).withColumn("hi", F.max("uid").over(cell))
-               .where("lo <> hi").withColumn("members", F.count("*").over(cell)))
-    with arrow_rows(spark, SET_ROWS):
-        entries = scratch.keep(entries, "join-cells")
+    member = members(unique)
+    cells = scratch.keep(member.groupBy("cell").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"),
+                                                    F.count("*").alias("members")).where("members > 1"), "join-cells")
+    # of up to three members these are all pairs
     pair = F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("uid").alias("b")),
                              F.struct(F.col("uid").alias("a"), F.col("hi").alias("b"))))
-    stars = entries.select(pair.alias("p")).select("p.a", "p.b").where("a <> b").distinct()
+    stars = matched(member, cells, "cell").select(pair.alias("p")).select("p.a", "p.b").where("a <> b").distinct()
     one = verified(bounded(stars, points, percent), sets, scratch, percent)
 
     links = one
-    largest = entries.agg(F.max("members")).first()[0] or 0
+    largest = cells.agg(F.max("members")).first()[0] or 0
     for lo, hi in passes(-(-largest // CELL_ROWS)):
         comps = components(links).select(F.col("id").alias("uid"), F.col("component_id").alias("c"))
-        labelled = (entries.where(F.col("members") > (CELL_ROWS if lo else 3)).select("cell", "uid", "members")
-                    .join(comps, "uid", "left").withColumn("comp", F.coalesce("c", "uid")).drop("c")
-                    .withColumn("c0", F.min("comp").over(cell)).withColumn("c1", F.max("comp").over(cell))
-                    .where("c0 <> c1").select("cell", "uid", "members", "comp"))
-        across = cross_pairs(tiled(labelled.join(points, "uid"), lo, hi), percent).distinct()
-        links = links.unionByName(verified(across, sets, scratch, percent))
+        large = cells.where(F.col("members") > (CELL_ROWS if lo else 3)).select("cell", "members")
+        comp = F.coalesce("c", "uid")
+        mixed = scratch.keep(
+            matched(member, scratch.keep(large, "join-large"), "cell").join(comps, "uid", "left").groupBy("cell")
+            .agg(F.min(comp).alias("c0"), F.max(comp).alias("c1"), F.first("members").alias("members"))
+            .where("c0 <> c1").select("cell", "members"), "join-mixed")
+        labelled = (matched(member, mixed, "cell").join(comps, "uid", "left").withColumn("comp", comp).drop("c")
+                    .join(points, "uid").withColumn("back", back.cast("binary")).drop("prefix"))
+        with arrow_rows(spark, CELL_ROWS):
+            across = scratch.keep(cross_pairs(tiled(labelled, lo, hi), percent), "join-across")
+        links = links.unionByName(verified(across.distinct(), sets, scratch, percent))
+        scratch.drop("join-large", "join-mixed", "join-across")
 
     final = components(links).select(F.col("id").alias("rep"), F.col("component_id").alias("class"))
     scratch.drop("join-cells", "join-links")
@@ -454,12 +536,19 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     Null and empty texts, and texts without words, have no shingles and are alone; repeated
     rows link as equal sets; the component is its smallest id that is not null. Other
     columns are ignored; an empty table gives an empty result."""
-    sets = shingle_table(docs.select("doc_id", "text"), words)
-    own = sets.select("uid", "doc_id", "n").join(classes(sets, percent), "uid", "left")
-    least = own.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
-    return own.join(least, "class", "left").select(
+    scratch = Scratch(docs.sparkSession)
+    rows, at, _ = aliased(docs)
+    doc_id, text = F.col(at["doc_id"]), F.col(at["text"])
+    rows = rows.select(doc_id.alias("doc_id"), text.alias("text")).withColumns(row_keys(F.col("doc_id"), F.col("text")))
+    sets = shingle_table(rows, words, percent)
+    own = scratch.keep(sets.table.select("uid", "doc_id", "n").join(classes(sets, percent), "uid", "left"), "join-classes")
+    # most classes are one row, whose id is the answer; only the others are joined
+    least = scratch.keep(own.where("class IS NOT NULL").groupBy("class")
+                         .agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+                         .where("rows > 1").select("class", "least", F.lit(True).alias("several")), "join-least")
+    return matched(own, least, "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+        F.when(F.col("several"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -471,10 +560,9 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     rows, at, back = aliased(docs)
     doc_id, text = F.col(at["doc_id"]), F.col(at["text"])
-    rows = rows.withColumns({"k1": F.xxhash64(doc_id, text), "k2": F.xxhash64(F.lit(1), text, doc_id)})
-    sets = shingle_table(rows.select(doc_id.alias("doc_id"), text.alias("text"), "k1", "k2"), words,
-                         keep=("doc_id", "k1", "k2"))
-    keyed = sets.select("uid", "doc_id", "k1", "k2").join(classes(sets, percent), "uid")
+    rows = rows.withColumns(row_keys(doc_id, text))
+    sets = shingle_table(rows.select(doc_id.alias("doc_id"), text.alias("text"), "k1", "k2"), words, percent)
+    keyed = sets.table.select("uid", "doc_id", "k1", "k2").join(classes(sets, percent), "uid")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid", "k1", "k2"))
     best = keyed.groupBy("class").agg(first.alias("w")).select("w.k1", "w.k2")
     counted = keyed.groupBy("k1", "k2").agg(F.count("*").alias("copies"))

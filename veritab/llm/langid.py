@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.llm.common import held_out, map_texts
+from veritab.llm.common import held_out, map_texts, worker_cache
 
 PROFILE = 400          # n-grams in a language's profile
 DOCUMENT = 300         # n-grams of a document that are compared
@@ -146,7 +146,7 @@ class Classifier:
         return self.langs[j], float(1 - distance[j] / (len(mine) * self.size))
 
 
-@lru_cache(2)
+@worker_cache
 def _classifier(profiles: tuple) -> Classifier:
     return Classifier({lang: list(p) for lang, p in profiles})
 

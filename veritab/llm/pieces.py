@@ -17,14 +17,13 @@ Characters without a piece fall back to their UTF-8 bytes.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from os.path import commonprefix
 from zlib import crc32
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from veritab.llm.common import chunks, map_texts
+from veritab.llm.common import chunks, map_texts, worker_cache
 
 MARK = "▁"          # fixed value: stands for a space
 UNIGRAM, BPE = 1, 2      # fixed values: model types in a model file
@@ -288,12 +287,12 @@ class Decoder:
         return text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
 
 
-@lru_cache(1)
+@worker_cache
 def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-@lru_cache(1)
+@worker_cache
 def _decoder(path: str) -> Decoder:
     return Decoder(path)
 

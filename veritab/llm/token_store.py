@@ -18,7 +18,6 @@ import hashlib
 import os
 import re
 from array import array
-from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.llm.common import Scratch, chunks, map_texts, ship
+from veritab.llm.common import chunks, map_texts, ship, worker_cache, Scratch
 from veritab.sources.files import shared_dir
 
 MAGIC = b"TIDS0001"
@@ -134,7 +133,7 @@ class Parts(dict):
         return ids
 
 
-@lru_cache(1)
+@worker_cache
 def _encoder(path: str) -> WordEncoder:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return WordEncoder(path)

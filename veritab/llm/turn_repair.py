@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.llm.common import Scratch, aliased, arrow_rows, ship
+from veritab.llm.common import Scratch, aliased, arrow_rows, lean, ship
 from veritab.llm.turns import ROWS, by_key, conv_key, rows_of, turn_rows, write_batches
 
 # What edits cost, and what an undeleted truncated row adds.
@@ -242,7 +242,7 @@ def plans(rows: DataFrame) -> DataFrame:
         yield from write_batches(found, PLAN)
 
     ship(rows.sparkSession)
-    return narrow.mapInArrow(run, PLAN)
+    return narrow.mapInArrow(lean(run), PLAN)
 
 
 def planned_rows(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -275,7 +275,7 @@ def repaired_turns(rows: DataFrame, plan: DataFrame) -> DataFrame:
         found = ((conv, k, *turn) for conv, _, _, turns in _repaired(batches) for k, turn in enumerate(turns))
         yield from write_batches(found, schema, ROWS)
 
-    return planned_rows(rows, plan).mapInArrow(run, schema)
+    return planned_rows(rows, plan).mapInArrow(lean(run), schema)
 
 
 def digests(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -292,7 +292,7 @@ def digests(rows: DataFrame, plan: DataFrame) -> DataFrame:
         found = ((conv, *counts, audit, digest(turns)) for conv, counts, audit, turns in _repaired(batches))
         yield from write_batches(found, schema)
 
-    return planned_rows(rows, plan).mapInArrow(run, schema)
+    return planned_rows(rows, plan).mapInArrow(lean(run), schema)
 
 
 def report(rows: DataFrame, conversations: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.llm.common import Scratch, aliased, ship
+from veritab.llm.common import Scratch, aliased, lean, ship
 
 PARTS = 16
 ENTRIES = 64               # of a codebook: the bits of a mask
@@ -158,7 +158,7 @@ def learn(kept: DataFrame, width: int, parts: int = PARTS, entries: int = ENTRIE
         return run
 
     for _ in range(rounds):
-        cells = (kept.select("v").mapInArrow(sums(books), "cell bigint, place bigint, s bigint, n bigint")
+        cells = (kept.select("v").mapInArrow(lean(sums(books)), "cell bigint, place bigint, s bigint, n bigint")
                  .groupBy("cell", "place").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect())
         moved = np.array(books)
         for r in cells:
@@ -190,7 +190,7 @@ def encode(kept: DataFrame, books: list[np.ndarray]) -> DataFrame:
                 [batch.column("vec_id"), batch.column("label"), pa.array(codes, pa.string()),
                  pa.array(squared.sum(1))], names=["vec_id", "label", "code", "error"])
 
-    return kept.mapInArrow(run, out)
+    return kept.mapInArrow(lean(run), out)
 
 
 def decode(code: str, books: list[np.ndarray]) -> np.ndarray:
