@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -111,3 +112,62 @@ def test_formulas_stay_in_the_text(trees):
     page = ("<article><p>Here <math display='inline'><mrow><mi>a</mi><mo>=</mo><mspace width='1em'/>"
             "<msup><mi>b</mi><mn>2</mn></msup></mrow></math> holds.</p><p>And so on, as before.</p></article>")
     assert h.Extractor(trees)([page]) == ["Here a=b2 holds.\n\nAnd so on, as before."]
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 500_000 + "</i>" * 400_000, "<b>" * 500_000 + "<p></p>" * 200_000, "<div>" * 300_000 + "<td></td>" * 150_000,
+    "<a " * 1_000_000, "<!" * 1_500_000, "<ul>" + "<li>word" * 380_000, "<p>" * 1_000_000, "<a \"'>" * 500_000,
+    "<!-- " * 600_000 + ">", "&amp" * 750_000], ids=lambda p: p[:4] + p[-4:])
+def test_pages_of_three_million_characters_take_linear_time(page):
+    assert len(page) >= 2_800_000
+    began = time.perf_counter()
+    root, blocks, _ = h.parse(page)
+    assert len(h.features(root, blocks)) == len(blocks)
+    assert time.perf_counter() - began < 60
+
+
+def test_broken_markup_against_plain_rules():
+    """Where elements close, against stacks that are searched element by element."""
+    rng = random.Random(12)
+    tags = ["b", "p", "div", "li", "ul", "td", "tr", "table", "a", "dt", "dl", "option", "select"]
+    for _ in range(2000):
+        marks = [rng.choice(["<%s>", "</%s>"]) % rng.choice(tags) for _ in range(rng.randint(1, 25))]
+        stack, want = [], []
+
+        def close(place):
+            while len(stack) > place:
+                want.append(("end", stack.pop()))
+
+        for mark in marks:
+            name = mark.strip("</>")
+            if mark[1] == "/":
+                if name in stack:
+                    close(len(stack) - 1 - stack[::-1].index(name))
+                continue
+            for i in range(len(stack) - 1, -1, -1):
+                if name in h.CLOSES_P:
+                    if stack[i] == "p":
+                        close(i)
+                        break
+                    if stack[i] not in h.INLINE:
+                        break
+                elif name in h.CLOSES:
+                    if stack[i] in h.STOPS[name]:
+                        break
+                    if stack[i] in h.CLOSES[name]:
+                        close(i)
+                        break
+            stack.append(name)
+            want.append(("start", name))
+        edges = [n.tag for n, text in h.parse("".join(marks))[2] if text is None]
+        assert edges == [tag for _, tag in want if tag not in h.INLINE], marks
+
+
+def test_the_text_beside_a_block_is_that_of_its_siblings_at_any_size():
+    for n in (3, 2500):
+        root, blocks, _ = h.parse("<ul>" + "".join(f"<li>{'x' * (k % 5)}</li>" for k in range(n)) + "</ul>")
+        rows = h.features(root, blocks)
+        at = len(h.TAG_GROUPS) + 2 * len(h.TOKEN_GROUPS) + len(h.UNDER_TAGS) + 8
+        total = sum(k % 5 for k in range(n))
+        for k in range(0, n, 7):
+            assert rows[2 + k][at] == pytest.approx(np.log1p((total - k % 5) / (n - 1)))

@@ -5,8 +5,11 @@ import hashlib
 import json
 import random
 import re
+import time
 import zlib
 
+import pytest
+
 from veritab.llm import secret_scan as s
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -83,3 +86,29 @@ def test_redact_replaces_and_keeps_the_rest(spark):
     texts = {r["doc_id"]: r["text"] for r in got}
     assert texts[1] == "[assign] and İ secret: 'q w" and texts[6] == "clean words only" and texts[2] is None
     assert s.merged([("assign", 0, 9), ("hex", 5, 12), ("hex", 12, 14)]) == [("assign", 0, 12), ("hex", 12, 14)]
+
+
+@pytest.mark.parametrize("unit, n", [("eyJ", 1_000_000), ("eyJa.", 600_000), ("eyJ_" * 50 + ".", 15_000), ("token ", 500_000),
+                                     ("akia", 750_000), ("ghp_", 750_000), ("-----BEGIN PRIVATE KEY-----", 110_000)])
+def test_texts_of_nothing_but_keywords_take_linear_time(unit, n):
+    began = time.perf_counter()
+    s.Scanner()(unit * n)
+    assert time.perf_counter() - began < 20
+
+
+def test_a_failed_run_hides_no_later_token():
+    head = base64.urlsafe_b64encode(b'{"alg": "none"}').decode().rstrip("=")
+    token = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", re.A)
+    rng, scan, seen = random.Random(4), s.Scanner(), 0
+    for _ in range(3000):
+        text = "".join(rng.choices(["eyJ", ".", "a", "-", " ", head, f"{head}.e30.", "EYJ"], k=rng.randint(1, 14)))
+        want, free = [], 0
+        for at in range(len(text)):      # from every place that no match before took
+            m = token.match(text, at) if at >= free else None
+            if m is not None:
+                free = m.end()
+                if s.jwt_header_ok(m):
+                    want.append(m.span())
+        assert [x[1:] for x in scan(text) if x[0] == "jwt"] == want, text
+        seen += len(want)
+    assert seen > 200

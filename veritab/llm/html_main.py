@@ -80,6 +80,13 @@ class Node:
         self.text = self.links = self.marks = self.nodes = 0
 
 
+def _unfinished(m: re.Match) -> bool:
+    """True for a comment, or an element whose content is no markup, that nothing ends."""
+    if m["raw"]:
+        return re.search(rf"</{m['raw']}\s*>\Z", m[0], re.I) is None
+    return m[0].startswith("<!--") and not (m[0].endswith("-->") and len(m[0]) >= 7)
+
+
 def parse(page: str) -> tuple[Node, list[Node], list[tuple[Node, str]]]:
     """Root, block nodes in page order, and the page's runs of text with their block;
     ``None`` instead of a text marks the edge of a block. Never fails: stray end tags
@@ -88,13 +95,13 @@ def parse(page: str) -> tuple[Node, list[Node], list[tuple[Node, str]]]:
     blocks = [root]
     runs: list = []
     stack = [root]          # open elements
+    within = [root]         # of each, the block it is or lies in
+    opened: dict[str, list[int]] = {}   # places in the stack by tag
     at, links, hidden = 0, 0, 0
 
     def put(raw: str):
         if not hidden and raw:
-            owner = stack[-1]
-            while not owner.block:
-                owner = owner.parent
+            owner = within[-1]
             text = html.unescape(raw) if "&" in raw else raw
             n = len(text) - text.count(" ")
             if n:
@@ -106,63 +113,60 @@ def parse(page: str) -> tuple[Node, list[Node], list[tuple[Node, str]]]:
     def pop():
         nonlocal links, hidden
         node = stack.pop()
+        within.pop()
+        opened[node.tag].pop()
         links -= node.tag == "a"
         hidden -= node.tag in NEVER
         if node.block:
             runs.append((node, None))
 
-    for m in _TOKEN.finditer(page):
+    def close(place: int):
+        while len(stack) > place:
+            pop()
+
+    def innermost(tags: set[str]) -> int:
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
+    last = page.rfind(">") + 1     # behind it there is no tag: looking for one's end would read all of it
+    unfinished = False
+    for m in _TOKEN.finditer(page, 0, last):
         put(page[at:m.start()])
+        unfinished = m.end() == last and _unfinished(m)
         at = m.end()
         name = m["name"] or m["name2"]
         if name is None:
             continue
         name = name.lower()
         if m["end"] or m["end2"]:
-            if name == "p" and all(n.tag != "p" for n in stack):
-                continue
-            if any(n.tag == name for n in stack[1:]):
-                while stack[-1].tag != name:
-                    pop()
-                pop()
+            if opened.get(name):
+                close(opened[name][-1])
             continue
         if name in VOID:
             if name in ("br", "hr"):
                 put(" ")
             continue
         if name in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    while len(stack) > i:
-                        pop()
-                    break
-                if stack[i].block:
-                    break
+            if within[-1].tag == "p":
+                close(opened["p"][-1])
         elif name in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in STOPS[name]:
-                    break
-                if stack[i].tag in CLOSES[name]:
-                    while len(stack) > i:
-                        pop()
-                    break
+            place = innermost(CLOSES[name])
+            if place > innermost(STOPS[name]):
+                close(place)
         attrs = m["attrs"] or m["attrs2"] or ""
         tokens = frozenset(_WORD.findall(" ".join(_ATTR.findall(attrs)).lower())) if attrs else frozenset()
         block = name not in INLINE
-        owner = stack[-1]
-        node = Node(owner, name, tokens, block)
+        node = Node(within[-1], name, tokens, block)
         if block:
-            up = owner
-            while not up.block:
-                up = up.parent
-            node.parent = up
-            up.kids.append(node)
+            within[-1].kids.append(node)
             blocks.append(node)
             runs.append((node, None))
         links += name == "a"
         hidden += name in NEVER
+        opened.setdefault(name, []).append(len(stack))
         stack.append(node)
-    put(page[at:])
+        within.append(node if block else within[-1])
+    if not unfinished:
+        put(page[at:].partition("<!--")[0])
     return root, blocks, runs
 
 
@@ -177,6 +181,7 @@ def features(root: Node, blocks: list[Node]) -> np.ndarray:
             p.links += n.links
             p.marks += n.marks
             p.nodes += n.nodes
+    beside = {id(n): n.text - t for n, t in zip(blocks, own)}   # the text of all kids of a block
     total = max(1, root.text)
     seen = 0
     under: dict[int, tuple] = {id(None): (0, (0,) * len(UNDER_TAGS), (0,) * len(TOKEN_GROUPS))}
@@ -187,7 +192,7 @@ def features(root: Node, blocks: list[Node]) -> np.ndarray:
         has = [1.0 if n.tokens and not n.tokens.isdisjoint(g) else 0.0 for g in TOKEN_GROUPS]
         kids = n.parent.kids if n.parent is not None else [n]
         text = n.text
-        around = sum(k.text for k in kids) - text if len(kids) < 2000 else total
+        around = beside[id(n.parent)] - text if n.parent is not None else 0
         rows.append([*mine, *has, *tags, *toks, depth, np.log1p(text), text / total,
                      n.links / (text or 1), n.marks / (text or 1), text / n.nodes, np.log1p(own[i]),
                      np.log1p(len(kids)), np.log1p(around / max(1, len(kids) - 1)),

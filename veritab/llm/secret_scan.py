@@ -57,11 +57,14 @@ def jwt_header_ok(m: re.Match) -> bool:
 
 
 class Rule:
-    """A kind with its keywords (lowercase), its expression and which matches to keep."""
+    """A kind with its keywords (lowercase), its expression and which matches to keep. ``run``: where
+    the expression fails, it fails from every later place of this run of characters as well, so
+    hits within it are passed over and the work stays in proportion to the text."""
 
-    def __init__(self, kind, keywords, pattern, keep, flags=0):
+    def __init__(self, kind, keywords, pattern, keep, flags=0, run=None):
         self.kind, self.keywords, self.keep = kind, keywords, keep
         self.match = re.compile(pattern, re.ASCII | flags).match
+        self.run = re.compile(run).match if run else None
 
 
 def rules() -> list[Rule]:
@@ -72,7 +75,8 @@ def rules() -> list[Rule]:
         Rule("github", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"),
              r"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])", token_checksum_ok),
         Rule("npm", ("npm_",), r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])", token_checksum_ok),
-        Rule("jwt", ("eyj",), r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", jwt_header_ok),
+        Rule("jwt", ("eyj",), r"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", jwt_header_ok,
+             run=r"[A-Za-z0-9_-]+"),
         Rule("private_key", ("-----begin ",),
              r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----[A-Za-z0-9+/=\s]+"
              r"-----END (?:[A-Z]+ )?PRIVATE KEY-----", lambda m: True),
@@ -115,6 +119,8 @@ class Scanner:
                     free = m.end()
                     if rule.keep(m):
                         found.append((rule.kind, m.start(), m.end()))
+                elif rule.run is not None and (r := rule.run(text, at)) is not None:
+                    free = r.end()
         found.sort(key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
         return found
 
