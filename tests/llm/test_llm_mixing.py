@@ -117,15 +117,46 @@ def test_repeat_rows_follow_the_mix(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     mixed = mixing.mix(docs, split_last=False)
     want = {}
-    for i, n, _, _, taken in {r for r in brute(rows, {}, False)}:
-        want[i] = taken // n if n else 1
+    for i, n, _, _, taken in brute(rows, {}, False):   # rows of one id and text count together
+        want[i] = want.get(i, 0) + (taken // n if n else 1)
     got = {}
     for r in mixing.repeat_rows(docs, mixed).collect():
         got[r["doc_id"]] = got.get(r["doc_id"], 0) + 1
-    want[205] *= 2   # that row is there twice
     assert got == {i: n for i, n in want.items() if n}
 
 
 def test_query_matches_its_sql(spark):
     problems, n, _ = compare(spark, duck(SF), queries.QUERIES["op5_mixing"], queries.ORACLE_SQL["op5_mixing"], SF)
     assert not problems and n
+
+
+def test_equal_rows_are_repeated_as_often_as_all_of_them_are_taken(spark):
+    ten = "w " * 10
+    rows = [(1, ten, "a", k) for k in range(7)] + [(2, "x " * 14, "b", 0)]   # a's share of 84 words is 60
+    docs = spark.createDataFrame(rows, SCHEMA + ", more int")
+    mixed = mixing.mix(docs, split_last=False).cache()
+    assert mixed.where("source = 'a'").agg({"taken": "sum"}).first()[0] == 60
+    out = mixing.repeat_rows(docs, mixed).collect()
+    assert sum(r["doc_id"] == 1 for r in out) == 6 and len({r["more"] for r in out if r["doc_id"] == 1}) == 1
+    # one id and text in two sources: each as its own source has it
+    both = spark.createDataFrame([(1, ten, "a", 0), (1, ten, "b", 1), (3, "y " * 40, "b", 2)], SCHEMA + ", more int")
+    mixed = mixing.mix(both, split_last=False)
+    times = {r["source"]: r["taken"] // r["size"] for r in mixed.where("doc_id = 1").collect()}
+    got = [r["source"] for r in mixing.repeat_rows(both, mixed).where("doc_id = 1").collect()]
+    assert {s: got.count(s) for s in times} == times
+
+
+def test_equal_ids_and_sizes_are_drawn_alike_in_a_rerun(spark):
+    rows = [(1, f"w{k} w", "a") for k in range(40)] + [(2, "x " * 10, "b")]
+    draws = [sorted((r["text_hash"], r["taken"]) for r in mixing.mix(
+        spark.createDataFrame(rows[::step], SCHEMA).repartition(n)).collect()) for n, step in ((1, 1), (7, -1))]
+    assert draws[0] == draws[1] and len({t for _, t in draws[0]}) > 1
+
+
+def test_buckets_of_a_hot_source_are_alike(spark):
+    docs = spark.range(300_000).withColumn("u", mixing._uniform("id", "seed")).selectExpr(
+        "-ln(u) / element_at(array(0.25D, 0.5D, 1D), CAST(id % 3 AS INT) + 1) AS key")
+    sizes = sorted(r["count"] for r in docs.groupBy(mixing.key_bucket("key", 128)).count().collect())
+    assert len(sizes) == 128 and sizes[-1] <= 3 * sizes[64]
+    order = docs.withColumn("b", mixing.key_bucket("key", 128)).groupBy("b").agg({"key": "min"}).orderBy("b").collect()
+    assert [r[1] for r in order] == sorted(r[1] for r in order)

@@ -19,6 +19,7 @@ WEIGHTS = (5, 2, 1)   # by source in code point order, null last, repeating
 MAX_REPEATS = 3       # no source is taken more often than this
 BUCKETS = 4096        # key buckets of a source
 SEED = "mix-1"
+BROADCAST_ROWS = 500_000   # up to so many keys of repeated rows are broadcast; else they are joined by shuffle
 
 # quality label -> weight of a document's key; unlabelled documents lie between
 GOOD, UNLABELLED, POOR = 1.0, 0.5, 0.25
@@ -42,6 +43,14 @@ def _uniform(doc_id: str, seed: str) -> Column:
     return (n.cast("double") + 1.0) / F.lit(float(2 ** 52 + 2))
 
 
+def key_bucket(key: str, buckets: int = BUCKETS) -> Column:
+    """Which of ``buckets`` ranges a key lies in, in the order of keys. Keys of weight w are below k with
+    probability 1 - exp(-w k); the mean of that over the weights deals documents of any of them
+    into buckets of like size."""
+    below = 1.0 - sum((F.exp(F.col(key) * -w) for w in (GOOD, UNLABELLED, POOR)), F.lit(0.0)) / 3
+    return F.least(F.floor(below * buckets), F.lit(buckets - 1)).cast("int")
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """``(source, source_size, target)`` from ``(source, source_size)``.
 
@@ -74,7 +83,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REP
 
 def mix(docs: DataFrame, weight: DataFrame | None = None, *, seed: str = SEED,
         split_last: bool = True, buckets: int = BUCKETS) -> DataFrame:
-    """``(doc_id, text_hash, size, source_size, target, taken)`` for every row of ``docs``.
+    """``(doc_id, source, text_hash, size, source_size, target, taken)`` for every row of ``docs``.
 
     ``docs`` needs ``doc_id, text, source``; other columns are ignored. ``weight``
     is ``(doc_id, weight)``: a larger weight makes an early place, so the fractional
@@ -85,7 +94,8 @@ def mix(docs: DataFrame, weight: DataFrame | None = None, *, seed: str = SEED,
 
     Null or empty texts have size 0 and are taken with 0 words; a null source is a
     source of its own; a null id draws the key of an empty id; equal keys are ordered
-    by id and size; an empty table gives an empty result.
+    by id, size and a hash of the text, so that a rerun takes the same words; an empty table
+    gives an empty result.
     """
     base = docs.select("doc_id", "source", word_count().alias("size"),
                        F.xxhash64("text").alias("text_hash"))
@@ -96,8 +106,7 @@ def mix(docs: DataFrame, weight: DataFrame | None = None, *, seed: str = SEED,
                 .withColumn("weight", F.coalesce("weight", F.lit(UNLABELLED))))
     key = -F.log(_uniform("doc_id", seed)) / F.col("weight")
     base = base.withColumn("key", key)
-    bucket = F.least(F.floor((1.0 - F.exp(-F.col("key"))) * buckets), F.lit(buckets - 1))
-    base = materialize(base.withColumn("bucket", bucket.cast("int")).drop("weight"), "mix-keys")
+    base = materialize(base.withColumn("bucket", key_bucket("key", buckets)).drop("weight"), "mix-keys")
 
     # one row per (source, bucket): the words before it, and its source's target
     totals = base.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -111,7 +120,7 @@ def mix(docs: DataFrame, weight: DataFrame | None = None, *, seed: str = SEED,
                       "start", "source_size", "target"))
     joined = base.join(starts, F.col("source").eqNullSafe(F.col("s"))
                        & (F.col("bucket") == F.col("k")))
-    inside = (Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
+    inside = (Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "text_hash")
               .rowsBetween(Window.unboundedPreceding, -1))
     epochs = F.when(F.col("source_size") > 0,
                     F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -124,18 +133,33 @@ def mix(docs: DataFrame, weight: DataFrame | None = None, *, seed: str = SEED,
     part = F.greatest(F.lit(0), F.least("size", "left")) if split_last else \
         F.when(F.col("left") * 2 >= F.col("size"), F.col("size")).otherwise(0)
     return placed.select(
-        "doc_id", "text_hash", "size", "source_size", "target",
+        "doc_id", "source", "text_hash", "size", "source_size", "target",
         (F.col("epochs") * F.col("size") + part).cast("bigint").alias("taken"))
 
 
 def repeat_rows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """``docs`` with each row as often as a whole-document mix takes it (0 to 3
-    times). Documents without words take no budget and stay once."""
-    times = (mixed.groupBy("doc_id", "text_hash")
-             .agg(F.max(F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size")))
-                        .otherwise(1)).cast("int").alias("times")))
+    """``docs`` with each row as often as a whole-document mix takes it (0 to 3 times). Documents without
+    words take no budget and stay once.
+
+    Rows equal in id, text and source are taken as often as all of them together; where they
+    differ in another column, it is one of them that is repeated. They are few keys, whose
+    rows tasks cut to one each before any shuffle."""
+    key = ["doc_id", "source", "text_hash"]
+    once = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(1)
+    times = materialize(mixed.groupBy(*key).agg(F.sum(once).cast("int").alias("times"), F.count("*").alias("rows")),
+                        "mix-times")
     rows, at, back = aliased(docs)
-    joined = rows.withColumn("hash", F.xxhash64(at["text"])).join(
-        times, F.col(at["doc_id"]).eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")))
-    return back(joined.where("times > 0")
-                .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))))
+    rows = rows.withColumn("hash", F.xxhash64(at["text"]))
+
+    def taken(some: DataFrame) -> DataFrame:
+        return rows.join(some, F.col(at["doc_id"]).eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+                         & F.col(at["source"]).eqNullSafe(F.col("source"))).where("times > 0")
+
+    out = taken(times.where("rows = 1"))
+    several = times.where("rows > 1")
+    n = several.count()
+    if n:
+        if n <= BROADCAST_ROWS:
+            several = F.broadcast(several)
+        out = out.unionByName(taken(several).dropDuplicates(["doc_id", "source", "text_hash"]))
+    return back(out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))))

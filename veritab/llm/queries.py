@@ -31,7 +31,7 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     weight = mixing.quality_weight(table(spark, sf_dir, "labels"))
-    return mixing.mix(table(spark, sf_dir, "documents"), weight).drop("text_hash")
+    return mixing.mix(table(spark, sf_dir, "documents"), weight).drop("text_hash", "source")
 
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
