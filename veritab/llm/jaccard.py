@@ -493,8 +493,11 @@ def classes(sets: Sets, percent: int = PERCENT) -> DataFrame:
     scratch = Scratch(spark)
     ship(spark)
     some = sets.table.where("n > 0")
-    first = some.groupBy("same").agg(F.min("uid").alias("rep"))
-    node = materialize(some.select("uid", "same").join(first, "same").select("uid", "rep"), "set-nodes")
+    first = scratch.keep(some.groupBy("same").agg(F.min("uid").alias("rep"), F.count("*").alias("rows"))
+                         .where("rows > 1").select("same", "rep"), "join-same")
+    node = materialize(matched(some.select("uid", "same"), first, "same", "left")
+                       .select("uid", F.coalesce("rep", "uid").alias("rep")), "set-nodes")
+    scratch.drop("join-same")
     unique = restrict(some, node.where("uid <> rep").select("uid"), "left_anti")
     points = unique.select("uid", "n", "point", "prefix")
     back = F.expr(f"substring(prefix, greatest(0, place - {BACK}) * {KEY_BYTES} + 1, least(place, {BACK}) * {KEY_BYTES})")
