@@ -505,31 +505,32 @@ def classes(sets: Sets, percent: int = PERCENT) -> DataFrame:
     member = members(unique)
     cells = scratch.keep(member.groupBy("cell").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi"),
                                                     F.count("*").alias("members")).where("members > 1"), "join-cells")
+    # all that is left to search, and little of it: most shingles are in one set only
+    entries = scratch.keep(matched(member, cells, "cell"), "join-entries")
     # of up to three members these are all pairs
     pair = F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("uid").alias("b")),
                              F.struct(F.col("uid").alias("a"), F.col("hi").alias("b"))))
-    stars = matched(member, cells, "cell").select(pair.alias("p")).select("p.a", "p.b").where("a <> b").distinct()
+    stars = entries.select(pair.alias("p")).select("p.a", "p.b").where("a <> b").distinct()
     one = verified(bounded(stars, points, percent), sets, scratch, percent)
 
     links = one
     largest = cells.agg(F.max("members")).first()[0] or 0
     for lo, hi in passes(-(-largest // CELL_ROWS)):
         comps = components(links).select(F.col("id").alias("uid"), F.col("component_id").alias("c"))
-        large = cells.where(F.col("members") > (CELL_ROWS if lo else 3)).select("cell", "members")
         comp = F.coalesce("c", "uid")
-        mixed = scratch.keep(
-            matched(member, scratch.keep(large, "join-large"), "cell").join(comps, "uid", "left").groupBy("cell")
-            .agg(F.min(comp).alias("c0"), F.max(comp).alias("c1"), F.first("members").alias("members"))
-            .where("c0 <> c1").select("cell", "members"), "join-mixed")
-        labelled = (matched(member, mixed, "cell").join(comps, "uid", "left").withColumn("comp", comp).drop("c")
-                    .join(points, "uid").withColumn("back", back.cast("binary")).drop("prefix"))
+        large = (entries.where(F.col("members") > (CELL_ROWS if lo else 3)).select("cell", "uid", "place", "members")
+                 .join(comps, "uid", "left").withColumn("comp", comp).drop("c"))
+        mixed = scratch.keep(large.groupBy("cell").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+                             .where("c0 <> c1").select("cell"), "join-mixed")
+        labelled = (matched(large, mixed, "cell").join(points, "uid").withColumn("back", back.cast("binary"))
+                    .drop("prefix"))
         with arrow_rows(spark, CELL_ROWS):
             across = scratch.keep(cross_pairs(tiled(labelled, lo, hi), percent), "join-across")
         links = links.unionByName(verified(across.distinct(), sets, scratch, percent))
-        scratch.drop("join-large", "join-mixed", "join-across")
+        scratch.drop("join-mixed", "join-across")
 
     final = components(links).select(F.col("id").alias("rep"), F.col("component_id").alias("class"))
-    scratch.drop("join-cells", "join-links")
+    scratch.drop("join-cells", "join-entries", "join-links")
     return node.join(final, "rep", "left").select("uid", F.coalesce("class", "rep").alias("class"))
 
 
