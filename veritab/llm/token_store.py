@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veritab.llm.common import chunks, map_texts, ship, worker_cache, Scratch
+from veritab.llm.common import Scratch, chunks, map_texts, ship, worker_cache
 from veritab.sources.files import shared_dir
 
 MAGIC = b"TIDS0001"
