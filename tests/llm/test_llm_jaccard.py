@@ -100,6 +100,13 @@ def test_repeated_rows_null_ids_long_texts_and_empty_tables(spark):
     assert j.join(docs.limit(0)).collect() == [] and j.keep_one(docs.limit(0)).collect() == []
 
 
+def test_likeliest_partners_first_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(j, "MANY", 4)
+    rows = corpus(4, 10)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in j.join(docs).collect()) == sorted(brute(rows)[0])
+
+
 def test_tree_search_loses_no_link():
     rng = np.random.default_rng(5)
     sets = []

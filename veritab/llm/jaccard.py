@@ -54,6 +54,7 @@ KEY_BYTES = 6
 CELL_ROWS = 2048           # members from which a cell is dealt into tiles of about so many
 PAIR_ROWS = 16_384         # pairs a search holds before it writes them
 SET_ROWS = 256             # sets, or pairs of sets, that a Python worker is handed at a time
+MANY = 64                  # members of a cell from which likeliest partners are verified before all pairs
 BACK = 16                  # shingles before a cell by which pairs of earlier cells are known
 
 
@@ -383,6 +384,17 @@ def tiled(cells: DataFrame, lo: int, hi: int) -> DataFrame:
 
 
 def cross_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """All pairs of ``tile_pairs``."""
+    return tile_pairs(cells, percent)
+
+
+def nearest_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Of ``tile_pairs``, for every set its likeliest partner only. What these connect is not searched
+    again: many near copies give as many pairs, not the square of it."""
+    return tile_pairs(cells, percent, True)
+
+
+def tile_pairs(cells: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
     """R-tree search within every pair of tiles of ``(cell, a, b, mine, uid, n, point, comp, place, back)``
     for pairs across components whose first common cell this can be. A task holds one pair of
     tiles, and writes pairs as they are found."""
@@ -409,7 +421,13 @@ def cross_pairs(cells: DataFrame, percent: int = PERCENT) -> DataFrame:
                 i, j = i[new], j[new]
                 fine = most_common([rows[k][6] for k in i], [rows[k][6] for k in j])
                 ok = fine >= overlap_needed(n[i] + n[j], percent)
-                r, c = uid[i[ok]], uid[j[ok]]
+                i, j, fine = i[ok], j[ok], fine[ok]
+                if nearest and len(i):
+                    both, at = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
+                    order = np.lexsort((-(fine / (n[i] + n[j]))[at], both))
+                    first = np.unique(both[order], return_index=True)[1]
+                    i, j = i[keep := np.unique(at[order][first])], j[keep]
+                r, c = uid[i], uid[j]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(r, c)), pa.array(np.maximum(r, c))],
                                                  names=["a", "b"])
 
@@ -515,19 +533,23 @@ def classes(sets: Sets, percent: int = PERCENT) -> DataFrame:
 
     links = one
     largest = cells.agg(F.max("members")).first()[0] or 0
+    comp = F.coalesce("c", "uid")
     for lo, hi in passes(-(-largest // CELL_ROWS)):
-        comps = components(links).select(F.col("id").alias("uid"), F.col("component_id").alias("c"))
-        comp = F.coalesce("c", "uid")
-        large = (entries.where(F.col("members") > (CELL_ROWS if lo else 3)).select("cell", "uid", "place", "members")
-                 .join(comps, "uid", "left").withColumn("comp", comp).drop("c"))
-        mixed = scratch.keep(large.groupBy("cell").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-                             .where("c0 <> c1").select("cell"), "join-mixed")
-        labelled = (matched(large, mixed, "cell").join(points, "uid").withColumn("back", back.cast("binary"))
-                    .drop("prefix"))
-        with arrow_rows(spark, CELL_ROWS):
-            across = scratch.keep(cross_pairs(tiled(labelled, lo, hi), percent), "join-across")
-        links = links.unionByName(verified(across.distinct(), sets, scratch, percent))
-        scratch.drop("join-mixed", "join-across")
+        least = CELL_ROWS if lo else 3
+        for search_of, members_over in ((nearest_pairs, max(least, MANY)), (cross_pairs, least)):
+            if largest <= members_over:
+                continue
+            comps = components(links).select(F.col("id").alias("uid"), F.col("component_id").alias("c"))
+            large = (entries.where(F.col("members") > members_over).select("cell", "uid", "place", "members")
+                     .join(comps, "uid", "left").withColumn("comp", comp).drop("c"))
+            mixed = scratch.keep(large.groupBy("cell").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+                                 .where("c0 <> c1").select("cell"), "join-mixed")
+            labelled = (matched(large, mixed, "cell").join(points, "uid")
+                        .withColumn("back", back.cast("binary")).drop("prefix"))
+            with arrow_rows(spark, CELL_ROWS):
+                across = scratch.keep(search_of(tiled(labelled, lo, hi), percent), "join-across")
+            links = links.unionByName(verified(across.distinct(), sets, scratch, percent))
+            scratch.drop("join-mixed", "join-across")
 
     final = components(links).select(F.col("id").alias("rep"), F.col("component_id").alias("class"))
     scratch.drop("join-cells", "join-entries", "join-links")
