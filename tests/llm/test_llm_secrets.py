@@ -112,3 +112,13 @@ def test_a_failed_run_hides_no_later_token():
         assert [x[1:] for x in scan(text) if x[0] == "jwt"] == want, text
         seen += len(want)
     assert seen > 200
+
+
+def test_a_keyword_in_other_case_hides_no_token_behind_it():
+    head = base64.urlsafe_b64encode(b'{"alg": "none"}').decode().rstrip("=")
+    for before in ("EYJ", "EyJ", "a-eyj_", "EYJEYJ"):
+        text = f"{before}{head}.e30.x"
+        assert s.Scanner()(text) == [("jwt", len(before), len(text))], text
+    began = time.perf_counter()
+    assert s.Scanner()("EYJeyJ" * 200_000) == []
+    assert time.perf_counter() - began < 20

@@ -59,7 +59,8 @@ def jwt_header_ok(m: re.Match) -> bool:
 class Rule:
     """A kind with its keywords (lowercase), its expression and which matches to keep. ``run``: where
     the expression fails, it fails from every later place of this run of characters as well, so
-    hits within it are passed over and the work stays in proportion to the text."""
+    hits within it are passed over and the work stays in proportion to the text. A keyword in other
+    letter case begins no run: the expression may still match further on."""
 
     def __init__(self, kind, keywords, pattern, keep, flags=0, run=None):
         self.kind, self.keywords, self.keep = kind, keywords, keep
@@ -76,7 +77,7 @@ def rules() -> list[Rule]:
              r"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])", token_checksum_ok),
         Rule("npm", ("npm_",), r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])", token_checksum_ok),
         Rule("jwt", ("eyj",), r"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", jwt_header_ok,
-             run=r"[A-Za-z0-9_-]+"),
+             run=r"eyJ[A-Za-z0-9_-]+"),
         Rule("private_key", ("-----begin ",),
              r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----[A-Za-z0-9+/=\s]+"
              r"-----END (?:[A-Z]+ )?PRIVATE KEY-----", lambda m: True),
