@@ -177,3 +177,21 @@ def test_the_error_of_the_likeness(spark):
         *[fp.fingerprint_words(F.col(c)).alias(c + "w") for c in "ab"])
     df = df.select("*", *[fp.counters(F.col(c + "w")).alias(c + "s") for c in "ab"])
     assert df.select(fp.likeness("aw", "bw", "as", "bs").alias("x")).first()["x"] > 0.5
+
+
+def test_words_at_the_ends_of_blocks(spark):
+    """Counters are narrow while up to ``BLOCK`` paragraphs are counted."""
+    texts = [kind.join(f"{'same' if same else i}" for i in range(n)) + kind
+             for n in (1, 62, 63, 64, 125, 126, 127, 1000) for same in (True, False) for kind in ("\n", ". ")]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select("text", fp.fingerprint_words(F.col("text")).alias("w")).collect()
+    assert {r["text"]: list(r["w"]) for r in got} == {t: plain_words(t) for t in texts}
+
+
+def test_a_text_is_cut_and_hashed_once(spark):
+    """Each place of the pattern in the plan is work on every text."""
+    docs = spark.createDataFrame(ROWS, SCHEMA)
+    cuts = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("(?<=[.!?])")
+    assert cuts(docs.select(fp.fingerprint_words(F.col("text")).alias("w"))) == 1
+    assert cuts(fp.fingerprint(docs)) == 1
+    assert cuts(fp.edit_report(docs)) == 3          # the text, the edited one, the next one

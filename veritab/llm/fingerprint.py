@@ -32,6 +32,9 @@ _ONES = 1 | 1 << 30
 _LOW = (1 << 30) - 1
 _SUM = (1 << 60) - 1
 WORDS = 3 + 2 * SHIFTS
+LANE = 6                                         # bits of a counter while up to BLOCK paragraphs are counted
+BLOCK = 2 ** LANE - 1
+_LANES = sum(1 << k for k in range(0, 2 * SHIFTS, LANE))
 HEX = 15                                         # hex digits of one word
 
 
@@ -44,24 +47,45 @@ def paragraphs(text: Column) -> Column:
     return F.filter(F.transform(cut, lambda p: F.trim(p)), lambda p: p != "")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` made once, however often ``use`` names it: Spark makes what
+    stands in several array functions anew for each."""
+    return F.transform(F.array(value), use)[0]
+
+
 def fingerprint_words(text: Column) -> Column:
     """``array<bigint>`` of ``WORDS`` words for a text (null counts as empty)."""
     parts = paragraphs(F.coalesce(text, F.lit("")))
     hashes = F.transform(parts, lambda p: F.struct(F.xxhash64(p).alias("h"),
                                                    F.xxhash64(p, F.lit(1)).alias("g")))
-
-    def bits(x: Column) -> Column:
-        return F.array(*[F.shiftrightunsigned(x[c], k).bitwiseAND(F.lit(_ONES)) for c in "hg" for k in range(SHIFTS)])
+    zero = F.lit(0).cast("bigint")
 
     def sums(acc: Column, x: Column) -> Column:
         return F.struct(*[(acc[c] + x[c].bitwiseAND(F.lit(_SUM))).bitwiseAND(F.lit(_SUM)).alias(c) for c in "hg"])
 
-    zero = F.lit(0).cast("bigint")
-    # no text has so many paragraphs that a counter would reach the next before the end
-    counted = F.aggregate(hashes, F.array_repeat(zero, 2 * SHIFTS),
-                          lambda acc, x: F.zip_with(acc, bits(x), lambda a, b: a + b))
-    total = F.aggregate(hashes, F.struct(zero.alias("h"), zero.alias("g")), sums)
-    return F.concat(F.array(F.size(hashes).cast("bigint"), total["h"], total["g"]), counted)
+    def narrow(acc: Column, x: Column) -> Column:
+        """Word k of each hash's ``LANE`` counts bits k, k + ``LANE``, ... in counters of ``LANE`` bits."""
+        return F.array(*[acc[j * LANE + k] + F.shiftrightunsigned(x[c], k).bitwiseAND(F.lit(_LANES))
+                         for j, c in enumerate("hg") for k in range(LANE)])
+
+    def wide(acc: Column) -> Column:
+        return F.array(*[F.shiftrightunsigned(acc[j * LANE + k % LANE], k - k % LANE).bitwiseAND(F.lit(BLOCK * _ONES))
+                         for j in range(2) for k in range(SHIFTS)])
+
+    def words(hashes: Column) -> Column:
+        n = F.size(hashes)
+
+        def block(i: Column) -> Column:
+            some = F.slice(hashes, i * BLOCK + 1, F.lit(BLOCK))
+            return _once(F.aggregate(some, F.array_repeat(zero, 2 * LANE), narrow), wide)
+
+        # no text has so many paragraphs that a wide counter would reach the next before the end
+        counted = F.aggregate(F.sequence(F.lit(0), F.floor(n / BLOCK).cast("int")), F.array_repeat(zero, 2 * SHIFTS),
+                              lambda acc, i: F.zip_with(acc, block(i), lambda a, b: a + b))
+        total = F.aggregate(hashes, F.struct(zero.alias("h"), zero.alias("g")), sums)
+        return _once(total, lambda t: F.concat(F.array(n.cast("bigint"), t["h"], t["g"]), counted))
+
+    return _once(hashes, words)
 
 
 def _lanes(words: Column, one, two) -> Column:
